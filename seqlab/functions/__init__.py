@@ -5,7 +5,6 @@ from seqlab.functions.draws import (  # noqa: F401
     draw_uniform,
     scale_hash,
     stream_draw,
-    stream_step,
 )
 from seqlab.functions.text import (  # noqa: F401
     basename,

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -53,11 +54,7 @@ def draw_choice(options: Sequence[str], seed: int, purpose: str, *keys) -> Colum
     return F.element_at(F.array(*[F.lit(o) for o in options]), index)
 
 
-def stream_step(h: Column, i: Column) -> Column:
-    """State number ``i`` of the 32-bit stream that starts at ``h``."""
-    return (h + i.cast("bigint") * F.lit(_STEP)).bitwiseAND(F.lit(_MASK))
-
-
-def stream_draw(x: Column) -> Column:
-    """32-bit draw of a stream state; ``x`` is used twice, so bind it to a column or lambda variable first."""
-    return (x.bitwiseXOR(F.shiftright(x, 16)) * F.lit(_MIX)).bitwiseAND(F.lit(_MASK))
+def stream_draw(h: np.ndarray, i: np.ndarray) -> np.ndarray:
+    """32-bit draw number ``i`` of the stream that starts at ``h``, for arrays of int64."""
+    x = (h + i * _STEP) & _MASK
+    return ((x ^ (x >> 16)) * _MIX) & _MASK

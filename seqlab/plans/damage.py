@@ -46,12 +46,12 @@ def damage_reads(reads: DataFrame, params: DataFrame, seed: int, marker: str = "
         draw_uniform(seed, "keep", "sample_id", "pair_id") < F.col("keep_fraction")
     )
     cut_ok = F.col("cut_h").isNull() | within_own_cut(seed)
-    stream = draw_hash(seed, "quality", "sample_id", "pair_id", "mate")
-    kept = joined.where(fraction_ok & cut_ok).withColumn("_h", F.when(F.col("min_q").isNotNull(), stream))
+    kept = joined.where(fraction_ok & cut_ok)
 
     sequence, quality = F.col("sequence"), F.col("quality")
+    h = draw_hash(seed, "quality", "sample_id", "pair_id", "mate")
     quality = (
-        F.when(F.col("min_q").isNotNull(), degraded_quality(sequence, F.col("_h"), F.col("min_q"), F.col("max_q")))
+        F.when(F.col("min_q").isNotNull(), degraded_quality(sequence, h, F.col("min_q"), F.col("max_q")))
         .when(F.col("decrement").isNotNull(), decremented_quality(quality, F.col("decrement")))
         .when(F.col("truncate_to").isNotNull(), truncated(quality, F.col("truncate_to")))
         .otherwise(quality)
