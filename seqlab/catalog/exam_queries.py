@@ -68,15 +68,14 @@ def dataset_sheet(spark: SparkSession, sf: str) -> DataFrame:
 # --- error introduction --------------------------------------------------------------------------------------
 
 
-def document_errors(spark: SparkSession, sf: str) -> errors.Exam:
+def document_error_parameters(spark: SparkSession, sf: str) -> DataFrame:
     """Every source is a sample of the host language; the other languages are contaminants."""
-    host, foreign = host_and_foreign(spark, sf)
     documents = table(spark, sf, "documents").select("source", "lang")
     sheet = documents.where(F.col("lang") == HOST).select(F.col("source").alias("sample_name"), F.col("lang").alias("species")).distinct()
     contaminants = documents.select(
         F.col("lang").alias("sample_name"), F.col("lang").alias("species"), F.concat(F.lit("GCA_"), "lang").alias("assembly")
     ).distinct()
-    return errors.introduce_errors(host, sheet, contaminants, foreign, 0.6, 42, SINGLE_END)
+    return errors.error_parameters(sheet, contaminants, 0.6, 42)
 
 
 ERROR_SHEET = f"""
@@ -124,7 +123,8 @@ SELECT sample_id, pair_id, origin, md5(sequence) AS sequence_md5, md5(quality) A
 
 @query(_error_reads_sql())
 def introduce_errors(spark: SparkSession, sf: str) -> DataFrame:
-    reads = document_errors(spark, sf).reads
+    host, foreign = host_and_foreign(spark, sf)
+    reads = errors.damaged_reads(host, foreign, document_error_parameters(spark, sf), 42, SINGLE_END)
     return reads.select("sample_id", "pair_id", "origin", md5_of("sequence"), md5_of("quality"))
 
 
@@ -139,7 +139,7 @@ SELECT sample_name, species, public_name, public_name || '_R1.fastq.gz' AS r1, p
 FROM named LEFT JOIN given USING (sample_name)
 """)
 def error_answers(spark: SparkSession, sf: str) -> DataFrame:
-    return document_errors(spark, sf).answers
+    return errors.error_answers(document_error_parameters(spark, sf), ["sample_name", "species"])
 
 
 # --- titration -----------------------------------------------------------------------------------------------
@@ -162,17 +162,14 @@ strains AS (SELECT s.* FROM doc_sheet s JOIN main m ON s.species = m.species AND
 MIXED = "(SELECT doc_id AS pair_id, text AS sequence FROM documents WHERE source || '-' || lang = (SELECT sample_name FROM {}))"
 
 
-def document_titration(spark: SparkSession, sf: str) -> errors.Exam:
-    reads = document_reads(spark, sf, "lang").withColumn("sample_id", F.concat_ws("-", "sample_id", "lang")).drop("lang")
-    return titration_plan.titration(reads, document_sheet(spark, sf), HOST, "ST", 10, 42, SINGLE_END)
-
-
 @query(f"""
 WITH {TITRATION}, {series_sql(MIXED.format('main'), MIXED.format('foe'))}
 SELECT 'sample' || {zfill('step', 2)} AS sample_id, pair_id, origin, md5(sequence) AS sequence_md5 FROM series
 """)
 def titration(spark: SparkSession, sf: str) -> DataFrame:
-    return document_titration(spark, sf).reads.select("sample_id", "pair_id", "origin", md5_of("sequence"))
+    reads = document_reads(spark, sf, "lang").withColumn("sample_id", F.concat_ws("-", "sample_id", "lang")).drop("lang")
+    exam = titration_plan.titration(reads, document_sheet(spark, sf), HOST, "ST", 10, 42, SINGLE_END)
+    return exam.reads.select("sample_id", "pair_id", "origin", md5_of("sequence"))
 
 
 @query(f"""
@@ -185,7 +182,8 @@ SELECT main.*, step, percentage, public_name, CASE WHEN percentage >= 10 THEN 'F
 FROM main, steps
 """)
 def titration_sheets(spark: SparkSession, sf: str) -> DataFrame:
-    return document_titration(spark, sf).answers
+    main, contaminant = titration_plan.choose_samples(document_sheet(spark, sf), HOST, "ST", 42)
+    return titration_plan.titration_sheet(main, contaminant, 10)
 
 
 # --- typing exam ---------------------------------------------------------------------------------------------
@@ -245,8 +243,7 @@ def typing_answers(spark: SparkSession, sf: str) -> DataFrame:
 # --- assembly exam -------------------------------------------------------------------------------------------
 
 
-def document_assembly(spark: SparkSession, sf: str) -> errors.Exam:
-    host, foreign = host_and_foreign(spark, sf)
+def document_assembly_parameters(spark: SparkSession, sf: str) -> DataFrame:
     name = F.col("source")
     samples = table(spark, sf, "documents").where(F.col("lang") == HOST).select(
         name.alias("sample_name"),
@@ -255,7 +252,7 @@ def document_assembly(spark: SparkSession, sf: str) -> errors.Exam:
     ).distinct()
     others = table(spark, sf, "documents").where(F.col("lang") != HOST).select(F.col("lang").alias("sample_name")).distinct()
     contaminant = choose_one(others, "sample_name", 42, "contaminant")
-    return exams.assembly_exam(host, samples, contaminant, foreign, exams.REAL_LABELS, 42, SINGLE_END)
+    return exams.assembly_parameters(samples, contaminant, exams.REAL_LABELS, 42)
 
 
 ASSEMBLY = f"""
@@ -283,7 +280,8 @@ SELECT sample_id, pair_id, origin, md5(sequence) AS sequence_md5, md5(quality) A
 
 @query(_assembly_sql())
 def assembly_exam(spark: SparkSession, sf: str) -> DataFrame:
-    reads = document_assembly(spark, sf).reads
+    host, foreign = host_and_foreign(spark, sf)
+    reads = exams.assembly_reads(host, foreign, document_assembly_parameters(spark, sf), 42, SINGLE_END)
     return reads.select("sample_id", "pair_id", "origin", md5_of("sequence"), md5_of("quality"))
 
 
@@ -300,7 +298,7 @@ SELECT sample_name, public_name, species, CASE WHEN label = 'NORMAL' THEN 'PASSE
 FROM dealt
 """)
 def assembly_answers(spark: SparkSession, sf: str) -> DataFrame:
-    return document_assembly(spark, sf).answers
+    return exams.assembly_answers(document_assembly_parameters(spark, sf))
 
 
 # --- outbreak exam -------------------------------------------------------------------------------------------

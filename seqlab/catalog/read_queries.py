@@ -11,7 +11,6 @@ from seqlab.functions import div, draw_choice, draw_int
 from seqlab.operators import mixing, sampling, stats
 from seqlab.operators import reads as read_ops
 from seqlab.operators.screen import kmer_containment as containment
-from seqlab.session import land
 
 HOST, FOREIGN = "en", ["de", "es", "fr"]
 SINGLE_END = "true"
@@ -116,10 +115,11 @@ SELECT source, doc_id, text FROM r JOIN q USING (source) WHERE r <= quota
 """)
 def subsample_quota(spark: SparkSession, sf: str) -> DataFrame:
     documents = table(spark, sf, "documents").select("source", "doc_id", "text")
-    quotas = sampling.pair_counts(documents, "source", "doc_id", SINGLE_END).select(
-        "grp", F.lit("all").alias("slot"), div(F.col("pairs"), F.lit(3)).alias("quota")
-    )
-    return sampling.subsample_quota(documents, "source", "doc_id", land(quotas, "quotas"), first=SINGLE_END)
+
+    def third(sizes: DataFrame) -> DataFrame:
+        return sizes.select("grp", F.lit("all").alias("slot"), div(F.col("pairs"), F.lit(3)).alias("quota"))
+
+    return sampling.subsample_share(documents, "source", "doc_id", third, first=SINGLE_END)
 
 
 @query(f"""
@@ -174,7 +174,7 @@ def source_plan(spark: SparkSession, sf: str) -> DataFrame:
 @query(f"WITH {mixing_sql(SOURCE_PLAN)} SELECT sample_id, pair_id, origin, sequence FROM mixed")
 def mix_contaminant(spark: SparkSession, sf: str) -> DataFrame:
     host, foreign = host_and_foreign(spark, sf)
-    mixed = mixing.mix_contaminant(host, foreign, source_plan(spark, sf), first=SINGLE_END)
+    mixed, _ = mixing.mix_contaminant(host, foreign, source_plan(spark, sf), first=SINGLE_END)
     return mixed.select("sample_id", "pair_id", "origin", "sequence")
 
 
@@ -185,9 +185,8 @@ FROM sized s LEFT JOIN mixed m USING (sample_id) GROUP BY ALL
 """)
 def mixing_audit(spark: SparkSession, sf: str) -> DataFrame:
     host, foreign = host_and_foreign(spark, sf)
-    plan = source_plan(spark, sf)
-    mixed = mixing.mix_contaminant(host, foreign, plan, first=SINGLE_END)
-    return mixing.mixing_audit(mixed, mixing.mixing_plan(host, plan, SINGLE_END), SINGLE_END)
+    mixed, mixture = mixing.mix_contaminant(host, foreign, source_plan(spark, sf), first=SINGLE_END)
+    return mixing.mixing_audit(mixed, mixture.sized, SINGLE_END)
 
 
 def series_sql(own: str, other: str, steps: int = 10) -> str:

@@ -357,7 +357,7 @@ def label_sql(key: str) -> str:
 
 def labelled_sql(source: str, key: str, proportion: float = 0.6) -> str:
     """source plus error and hit (picked by the proportion)."""
-    rank = f"row_number() OVER (ORDER BY {h('sample', chr(39) + 'all' + chr(39), key)}, {key})"
+    rank = f"row_number() OVER (ORDER BY {h('sample', key)}, {key})"
     return (
         f"SELECT *, CASE WHEN hit THEN {label_sql(key)} ELSE 'NONE' END AS error FROM ("
         f"SELECT *, {rank} <= floor(count(*) OVER () * CAST({proportion} AS DOUBLE)) AS hit FROM {source})"

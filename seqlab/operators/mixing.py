@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from seqlab.functions import div, draw_hash
-from seqlab.operators.sampling import pair_counts, pair_keys, sampling_cuts, within_cut
+from seqlab.operators.sampling import bucket_counts, group_sizes, pair_keys, sampling_cuts, within_cut
 from seqlab.session import land
 
 PURPOSE = "mix"
@@ -20,36 +22,49 @@ def foreign_group(sample) -> Column:
     return F.concat(F.lit("foreign|"), F.col(sample).cast("string"))
 
 
-def mixing_plan(host: DataFrame, plan: DataFrame, first: str | None = None) -> DataFrame:
-    """Target counts. plan: (sample_id, contaminant_id, pct) -> adds pairs, n_own, n_foreign.
+@dataclass
+class Mixture:
+    """Sampled sides of planned mixtures: target counts per sample, and the closing rows of both sides."""
 
-    The total stays the number of host pairs; a fractional foreign count is rounded down.
-    """
-    pairs = pair_counts(host, "sample_id", "pair_id", first)
-    foreign = div(F.col("pairs") * F.col("pct"), F.lit(100))
-    sized = plan.join(pairs.withColumnRenamed("grp", "sample_id"), "sample_id").select(
-        "sample_id", "contaminant_id", "pct", "pairs", (F.col("pairs") - foreign).alias("n_own"), foreign.alias("n_foreign")
-    )
-    return land(sized, "mixing")
+    sized: DataFrame
+    cuts: DataFrame
 
 
-def mixing_cuts(
-    host: DataFrame, contaminants: DataFrame, sized: DataFrame, seed: int, first: str | None = None
-) -> DataFrame:
-    """Closing rows of both sides in one pass; slot is the sample that receives the reads.
+def plan_mixture(
+    host: DataFrame,
+    contaminants: DataFrame,
+    plan: DataFrame,
+    seed: int,
+    first: str | None = None,
+    n_foreign: Column | None = None,
+    n_own: Column | None = None,
+) -> Mixture:
+    """plan: (sample_id, contaminant_id, pct, ...), a small table read from storage.
 
-    A contaminant set that serves several samples is ranked once.
+    The total stays the number of host pairs, a fractional foreign count is rounded down; other counts can be given
+    as expressions over ``pairs`` and the plan's columns. A contaminant set that serves several samples is ranked
+    once; ``slot`` is the sample that receives the reads.
     """
-    quotas = sized.select(
-        own_group("sample_id").alias("grp"), F.col("sample_id").alias("slot"), F.col("n_own").alias("quota")
-    ).unionByName(
-        sized.select(
-            foreign_group("contaminant_id").alias("grp"), F.col("sample_id").alias("slot"), F.col("n_foreign").alias("quota")
-        )
+    own_keys = host.join(plan.select("sample_id"), "sample_id", "left_semi")
+    foreign_keys = contaminants.join(plan.select(F.col("contaminant_id").alias("sample_id")), "sample_id", "left_semi")
+    keys = pair_keys(own_keys, own_group("sample_id"), "pair_id", first).unionByName(
+        pair_keys(foreign_keys, foreign_group("sample_id"), "pair_id", first)
     )
-    keys = pair_keys(host.join(sized.select("sample_id"), "sample_id", "left_semi"), own_group("sample_id"), "pair_id", first)
-    foreign = pair_keys(contaminants, foreign_group("sample_id"), "pair_id", first)
-    return sampling_cuts(keys.unionByName(foreign), quotas, seed, PURPOSE)
+    counts = bucket_counts(keys, seed, PURPOSE)
+    foreign = div(F.col("pairs") * F.col("pct"), F.lit(100)) if n_foreign is None else n_foreign
+    own = F.col("pairs") - foreign if n_own is None else n_own
+    sizes = group_sizes(counts)
+    sized = (
+        plan.withColumn("grp", own_group("sample_id"))
+        .join(sizes, "grp")
+        .select(*plan.columns, "pairs", own.alias("n_own"), foreign.alias("n_foreign"))
+    )
+
+    def quotas(grp: Column, quota: str) -> DataFrame:
+        return sized.select(grp.alias("grp"), F.col("sample_id").alias("slot"), F.col(quota).alias("quota"))
+
+    wanted = quotas(own_group("sample_id"), "n_own").unionByName(quotas(foreign_group("contaminant_id"), "n_foreign"))
+    return Mixture(sized, sampling_cuts(keys, counts, wanted, seed, PURPOSE))
 
 
 def within_own_cut(seed: int) -> Column:
@@ -65,17 +80,16 @@ def foreign_reads(contaminants: DataFrame, cuts: DataFrame, seed: int) -> DataFr
 
 def mix_contaminant(
     host: DataFrame, contaminants: DataFrame, plan: DataFrame, seed: int = 42, first: str | None = None
-) -> DataFrame:
+) -> tuple[DataFrame, Mixture]:
     """Replace pct % of the pairs of each planned sample by pairs of its contaminant.
 
     Adds ``origin``: contaminant or host. Samples without a plan row are not in the result.
     """
-    sized = mixing_plan(host, plan, first)
-    cuts = mixing_cuts(host, contaminants, sized, seed, first)
-    own = host.withColumn("grp", own_group("sample_id")).join(cuts, "grp").where(within_own_cut(seed))
+    mixture = plan_mixture(host, contaminants, land(plan, "plan"), seed, first)
+    own = host.withColumn("grp", own_group("sample_id")).join(mixture.cuts, "grp").where(within_own_cut(seed))
     own = own.select(*host.columns, F.lit("host").alias("origin"))
-    foreign = foreign_reads(contaminants, cuts, seed).withColumn("origin", F.lit("contaminant"))
-    return foreign.unionByName(own)
+    foreign = foreign_reads(contaminants, mixture.cuts, seed).withColumn("origin", F.lit("contaminant"))
+    return foreign.unionByName(own), mixture
 
 
 def mixing_audit(mixed: DataFrame, sized: DataFrame, first: str | None = None) -> DataFrame:
@@ -104,20 +118,19 @@ def contamination_series(
 
     Both sides are ranked once for all steps. Adds ``step`` and ``origin``.
     """
-    pairs = pair_keys(host, F.lit("own"), "pair_id", first).agg(F.count(F.lit(1)).alias("pairs"))
-    foreign = div(F.col("pairs") * F.col("step"), F.lit(steps))
-    sized = pairs.select("pairs", F.explode(F.sequence(F.lit(1), F.lit(steps))).alias("step"))
-    slot = F.col("step").cast("string").alias("slot")
-    quotas = land(
-        sized.select(F.lit("own").alias("grp"), slot, (F.col("pairs") - foreign).alias("quota")).unionByName(
-            sized.select(F.lit("foreign").alias("grp"), slot, foreign.alias("quota"))
-        ),
-        "quotas",
-    )
     keys = pair_keys(host, F.lit("own"), "pair_id", first).unionByName(
         pair_keys(contaminant, F.lit("foreign"), "pair_id", first)
     )
-    cuts = sampling_cuts(keys, quotas, seed, PURPOSE)
+    counts = bucket_counts(keys, seed, PURPOSE)
+    pairs = counts.where(F.col("grp") == "own").agg(F.coalesce(F.sum("n"), F.lit(0)).alias("pairs"))
+    sized = pairs.select("pairs", F.explode(F.sequence(F.lit(1), F.lit(steps))).alias("step"))
+    foreign = div(F.col("pairs") * F.col("step"), F.lit(steps))
+
+    def quotas(grp: str, quota: Column) -> DataFrame:
+        return sized.select(F.lit(grp).alias("grp"), F.col("step").cast("string").alias("slot"), quota.alias("quota"))
+
+    wanted = quotas("own", F.col("pairs") - foreign).unionByName(quotas("foreign", foreign))
+    cuts = sampling_cuts(keys, counts, wanted, seed, PURPOSE)
 
     def expand(reads: DataFrame, grp: str, origin: str) -> DataFrame:
         tagged = reads.withColumn("grp", F.lit(grp)).join(cuts, "grp")

@@ -7,27 +7,44 @@ wide rows are never shuffled.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from seqlab.functions import div, draw_hash, draw_uniform
+from seqlab.operators.positions import shuffled_position
 from seqlab.session import land
 
 BUCKET_BITS = 12
 
 
-def sampling_cuts(
-    keys: DataFrame, quotas: DataFrame, seed: int, purpose: str, bucket_bits: int = BUCKET_BITS
-) -> DataFrame:
-    """Closing row of each wanted sample.
+def bucket_counts(keys: DataFrame, seed: int, purpose: str) -> DataFrame:
+    """(grp, bucket, n): how many pairs of each group fall into each hash bucket; landed, at most 4096 rows a group.
 
-    keys: (grp, key), one row per pair, key unique in its group. quotas: (grp, slot, quota); one group can
-    have many slots, which gives nested samples. Returns (grp, slot, taken, cut_h, cut_key), one row per
-    quota; a group smaller than its quota is kept whole, and cut_h is -1 where nothing is kept.
+    keys: (grp, key), one row per pair, key unique in its group. This is the only full count of the keys: group
+    sizes and closing rows follow from it.
     """
+    counts = _bucketed(keys, seed, purpose).groupBy("grp", "bucket").agg(F.count(F.lit(1)).alias("n"))
+    return land(counts, "counts")
+
+
+def _bucketed(keys: DataFrame, seed: int, purpose: str) -> DataFrame:
     hashed = keys.select("grp", "key", draw_hash(seed, purpose, "grp", "key").alias("h"))
-    bucketed = hashed.withColumn("bucket", F.shiftright("h", 32 - bucket_bits))
-    counts = bucketed.groupBy("grp", "bucket").agg(F.count(F.lit(1)).alias("n"))
+    return hashed.withColumn("bucket", F.shiftright("h", 32 - BUCKET_BITS))
+
+
+def group_sizes(counts: DataFrame) -> DataFrame:
+    """(grp, pairs) from bucket counts."""
+    return counts.groupBy("grp").agg(F.sum("n").alias("pairs"))
+
+
+def sampling_cuts(keys: DataFrame, counts: DataFrame, quotas: DataFrame, seed: int, purpose: str) -> DataFrame:
+    """Closing row of each wanted sample: (grp, slot, taken, cut_h, cut_key), one row per quota.
+
+    quotas: (grp, slot, quota); one group can have many slots, which gives nested samples. A group smaller than
+    its quota is kept whole, and cut_h is -1 where nothing is kept.
+    """
     upto = Window.partitionBy("grp").orderBy("bucket").rowsBetween(Window.unboundedPreceding, 0)
     prefix = counts.select(
         "grp",
@@ -43,10 +60,11 @@ def sampling_cuts(
         .select("grp", "slot", "bucket", (want - F.col("upto") + F.col("n")).alias("nth"), want.alias("taken"))
     )
     wanted = land(wanted, "wanted")
-    # Only the buckets that hold a closing row are ranked: one in 2**bucket_bits of a group, narrow rows.
-    edge = bucketed.join(wanted.select("grp", "bucket").distinct(), ["grp", "bucket"], "left_semi")
-    ranked = edge.withColumn("nth", F.row_number().over(Window.partitionBy("grp", "bucket").orderBy("h", "key")))
-    found = wanted.join(ranked.withColumn("nth", F.col("nth").cast("bigint")), ["grp", "bucket", "nth"]).select(
+    # Only the buckets that hold a closing row are ranked: one in 4096 of a group, narrow rows.
+    edge = _bucketed(keys, seed, purpose).join(wanted.select("grp", "bucket"), ["grp", "bucket"], "left_semi")
+    order = Window.partitionBy("grp", "bucket").orderBy("h", "key")
+    ranked = edge.withColumn("nth", F.row_number().over(order).cast("bigint"))
+    found = ranked.join(wanted, ["grp", "bucket", "nth"]).select(
         "grp", "slot", "taken", F.col("h").alias("cut_h"), F.col("key").alias("cut_key")
     )
     cuts = quotas.select("grp", "slot").join(found, ["grp", "slot"], "left")
@@ -54,8 +72,8 @@ def sampling_cuts(
         cuts.select(
             "grp",
             "slot",
-            F.coalesce("taken", F.lit(0)).cast("bigint").alias("taken"),
-            F.coalesce("cut_h", F.lit(-1)).cast("bigint").alias("cut_h"),
+            F.coalesce("taken", F.lit(0).cast("bigint")).alias("taken"),
+            F.coalesce("cut_h", F.lit(-1).cast("bigint")).alias("cut_h"),
             "cut_key",
         ),
         "cuts",
@@ -102,27 +120,37 @@ def subsample_quota(
 
     ``df`` may hold several rows per pair (mates): pairs are counted once and kept or dropped whole.
     """
-    cuts = sampling_cuts(pair_keys(df, F.col(group), key, first), quotas, seed, "count")
+    keys = pair_keys(df, F.col(group), key, first)
+    return _keep(df, group, key, keys, bucket_counts(keys, seed, "count"), quotas, seed)
+
+
+def subsample_share(
+    df: DataFrame, group: str, key: str, quota: Callable[[DataFrame], DataFrame], seed: int = 42, first: str | None = None
+) -> DataFrame:
+    """As ``subsample_quota``, with quotas that depend on the group sizes: ``quota`` maps (grp, pairs) to
+    (grp, slot, quota)."""
+    keys = pair_keys(df, F.col(group), key, first)
+    counts = bucket_counts(keys, seed, "count")
+    return _keep(df, group, key, keys, counts, quota(group_sizes(counts)), seed)
+
+
+def _keep(df: DataFrame, group: str, key: str, keys: DataFrame, counts: DataFrame, quotas: DataFrame, seed: int) -> DataFrame:
+    cuts = sampling_cuts(keys, counts, quotas, seed, "count")
     named = cuts.select(F.col("grp").alias(group), "cut_h", "cut_key")
     kept = df.join(named, group).where(within_cut(draw_hash(seed, "count", group, key), F.col(key)))
     return kept.select(*df.columns)
 
 
-def pair_counts(df: DataFrame, group: str, key: str, first: str | None = None) -> DataFrame:
-    """(grp, pairs): number of pairs of each group."""
-    return pair_keys(df, F.col(group), key, first).groupBy("grp").agg(F.count(F.lit(1)).alias("pairs"))
-
-
 def low_coverage(
     df: DataFrame, group: str, key: str, percent: DataFrame, seed: int = 42, first: str | None = None
 ) -> DataFrame:
     """Keep ``percent`` % of the pairs of each group by count; percent: (grp, percent)."""
-    quotas = (
-        pair_counts(df, group, key, first)
-        .join(percent, "grp")
-        .select("grp", F.lit("all").alias("slot"), div(F.col("pairs") * F.col("percent"), F.lit(100)).alias("quota"))
-    )
-    return subsample_quota(df, group, key, land(quotas, "quotas"), seed, first)
+
+    def quota(sizes: DataFrame) -> DataFrame:
+        share = div(F.col("pairs") * F.col("percent"), F.lit(100))
+        return sizes.join(percent, "grp").select("grp", F.lit("all").alias("slot"), share.alias("quota"))
+
+    return subsample_share(df, group, key, quota, seed, first)
 
 
 def sample_n(df: DataFrame, n: int, key: str, seed: int = 42) -> DataFrame:
@@ -131,15 +159,12 @@ def sample_n(df: DataFrame, n: int, key: str, seed: int = 42) -> DataFrame:
     return df.orderBy(h, F.col(key)).limit(n)
 
 
+def proportion_size(rows: int, proportion: float) -> int:
+    """floor(rows * proportion)."""
+    return int(rows * proportion)
+
+
 def sample_proportion(df: DataFrame, proportion: float, key: str, seed: int = 42) -> DataFrame:
-    """floor(rows * proportion) rows without replacement; the size grows with the table, so it is a filter."""
-    marked = df.withColumn("_grp", F.lit("all"))
-    quotas = marked.groupBy(F.col("_grp").alias("grp")).agg(
-        F.floor(F.count(F.lit(1)) * F.lit(float(proportion))).alias("quota")
-    )
-    quotas = land(quotas.select("grp", F.lit("all").alias("slot"), F.col("quota").cast("bigint")), "quotas")
-    cuts = sampling_cuts(marked.select(F.col("_grp").alias("grp"), F.col(key).alias("key")), quotas, seed, "sample")
-    kept = marked.join(cuts.select(F.col("grp").alias("_grp"), "cut_h", "cut_key"), "_grp").where(
-        within_cut(draw_hash(seed, "sample", "_grp", key), F.col(key))
-    )
-    return kept.select(*df.columns)
+    """floor(rows * proportion) rows without replacement, for sheets; no single task holds the sample."""
+    placed = shuffled_position(df, key, seed, "sample", "_place")
+    return placed.where(F.col("_place") <= proportion_size(df.count(), proportion)).drop("_place")

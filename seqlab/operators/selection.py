@@ -7,8 +7,7 @@ from pyspark.sql import functions as F
 
 from seqlab.functions import draw_choice, draw_hash, draw_int, draw_uniform
 from seqlab.operators.positions import shuffled_position
-from seqlab.operators.sampling import sample_proportion, subsample_count
-from seqlab.session import land
+from seqlab.operators.sampling import proportion_size
 
 # Error names and their chances in the order they are tried.
 ERROR_TYPES = ("TRUNCATED", "CORRUPT", "CONTAMINATED", "POOR_QUALITY", "LOW_COVERAGE")
@@ -53,7 +52,8 @@ def sample_with_topup(df: DataFrame, n: int, key: str, seed: int = 42) -> DataFr
     """
     rows = df.count()
     if n <= rows:
-        chosen = df if n == rows else subsample_count(df, key, n, seed)
+        placed = shuffled_position(df, key, seed, "topup", "_index")
+        chosen = placed.where(F.col("_index") <= n).drop("_index")
         return chosen.withColumn("replicate", F.lit(0).cast("bigint"))
     if rows == 0:
         return df.withColumn("replicate", F.lit(0).cast("bigint"))
@@ -89,10 +89,9 @@ def error_label(seed: int, key: str) -> Column:
 
 def assign_errors(df: DataFrame, key: str, proportion: float, seed: int = 42) -> DataFrame:
     """Give floor(rows * proportion) samples an error; adds qc, error, notes."""
-    hit = sample_proportion(df.select(key), proportion, key, seed).withColumn("_hit", F.lit(True))
-    marked = df.join(hit, key, "left")
-    chosen = F.col("_hit").isNotNull()
-    return marked.select(
+    placed = shuffled_position(df, key, seed, "sample", "_place")
+    chosen = F.col("_place") <= proportion_size(df.count(), proportion)
+    return placed.select(
         *df.columns,
         F.when(chosen, F.lit("FAILED")).otherwise(F.lit("PASSED")).alias("qc"),
         F.when(chosen, error_label(seed, key)).otherwise(F.lit("NONE")).alias("error"),
@@ -118,6 +117,6 @@ def deal_pool(df: DataFrame, key: str, pool: DataFrame, pool_key: str, seed: int
     if size == 0:
         raise ValueError("The pool is empty.")
     placed = shuffled_position(df, key, seed, "deal", "_place")
-    slots = land(shuffled_position(pool, pool_key, seed, "pool", "_slot"), "pool")
+    slots = shuffled_position(pool, pool_key, seed, "pool", "_slot")
     wanted = placed.withColumn("_slot", (F.col("_place") - 1) % F.lit(size) + 1)
     return wanted.join(slots, "_slot").drop("_slot", "_place")

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from seqlab.operators.joins import contaminant_pool
-from seqlab.operators.mixing import mixing_cuts, mixing_plan, own_group
+from seqlab.operators.mixing import own_group, plan_mixture
 from seqlab.operators.selection import assign_errors, deal_pool, drawn_fraction, drawn_parameter
 from seqlab.operators.sheet import blank_sheet, number_samples
 from seqlab.plans.damage import corrupt_targets, damage_columns, damage_reads, with_foreign_reads
@@ -33,22 +33,18 @@ class Exam:
 
 def error_parameters(sheet: DataFrame, contaminants: DataFrame, proportion: float, seed: int) -> DataFrame:
     """Sheet with public name, error, drawn parameters and, for contaminated samples, the contaminant."""
-    pool = land(contaminant_pool(contaminants, sheet).select("sample_name", "species", "assembly"), "pool")
+    pool = land(contaminant_pool(contaminants, sheet).select(F.col("sample_name").alias("contaminant")), "pool")
     if pool.isEmpty():
         raise ValueError("No contaminants found in the contamination list.")
     labelled = land(assign_errors(sheet, "sample_name", proportion, seed), "labelled")
-    named = number_samples(labelled, "sample_name")
     contaminated = labelled.where(F.col("error") == "CONTAMINATED").select("sample_name")
-    foreign = pool.select(F.col("sample_name").alias("contaminant"))
-    dealt = deal_pool(contaminated, "sample_name", foreign, "contaminant", seed)
+    dealt = deal_pool(contaminated, "sample_name", pool, "contaminant", seed)
     draws = {
         name: drawn_parameter(name, seed, "sample_name")
         for name in ("truncate_length", "contamination_percent", "min_quality", "max_quality")
     }
-    return land(
-        named.join(dealt, "sample_name", "left").withColumns({**draws, "fraction": drawn_fraction(seed, "sample_name")}),
-        "parameters",
-    )
+    named = number_samples(labelled, "sample_name").join(dealt, "sample_name", "left")
+    return land(named.withColumns({**draws, "fraction": drawn_fraction(seed, "sample_name")}), "parameters")
 
 
 def error_notes() -> Column:
@@ -72,37 +68,37 @@ def two_places(value: Column) -> Column:
     return F.bround(value, 2).cast("string")
 
 
-def introduce_errors(
-    reads: DataFrame,
-    sheet: DataFrame,
-    contaminants: DataFrame,
-    foreign_reads: DataFrame,
-    proportion: float = 0.6,
-    seed: int = 42,
-    first: str | None = None,
-) -> Exam:
-    """Damage the reads of a share of the samples and write down what was done.
+def error_answers(params: DataFrame, columns: list[str]) -> DataFrame:
+    """The answer sheet: the sheet's own columns, public name, file names, verdict and note."""
+    return params.withColumn("notes", error_notes()).select(
+        *columns,
+        "public_name",
+        F.concat("public_name", F.lit("_R1.fastq.gz")).alias("r1"),
+        F.concat("public_name", F.lit("_R2.fastq.gz")).alias("r2"),
+        "qc",
+        "error",
+        "notes",
+    )
 
-    sheet: sample_name, species, ... (sample_name is the sample_id of ``reads``); contaminants: sample_name,
-    species, assembly; foreign_reads: reads whose sample_id is a contaminant's sample_name.
-    """
-    params = error_parameters(sheet, contaminants, proportion, seed)
-    error = F.col("error")
-    as_sample = params.withColumn("sample_id", F.col("sample_name"))
 
-    plan = as_sample.where(error == "CONTAMINATED").select(
+def damaged_reads(
+    reads: DataFrame, foreign_reads: DataFrame, params: DataFrame, seed: int, first: str | None = None
+) -> DataFrame:
+    """The reads of all samples with the errors of ``params``."""
+    error = F.col("error")
+    samples = params.withColumn("sample_id", F.col("sample_name"))
+    plan = samples.where(error == "CONTAMINATED").select(
         "sample_id", F.col("contaminant").alias("contaminant_id"), F.col("contamination_percent").alias("pct")
     )
-    cuts = mixing_cuts(reads, foreign_reads, mixing_plan(reads, plan, first), seed, first)
-    own_cuts = cuts.select(F.col("grp"), "cut_h", "cut_key")
-    targets = land(corrupt_targets(reads, as_sample.where(error == "CORRUPT"), seed), "targets")
+    mixture = plan_mixture(reads, foreign_reads, plan, seed, first)
+    targets = corrupt_targets(reads, samples.where(error == "CORRUPT"), seed)
 
     def only(name: str, column: str) -> Column:
         return F.when(error == name, F.col(column))
 
     damage = land(
-        as_sample.withColumn("grp", own_group("sample_id"))
-        .join(own_cuts, "grp", "left")
+        samples.withColumn("grp", own_group("sample_id"))
+        .join(mixture.cuts.select("grp", "cut_h", "cut_key"), "grp", "left")
         .join(targets, "sample_id", "left")
         .select(
             "sample_id",
@@ -119,15 +115,23 @@ def introduce_errors(
         ),
         "damage",
     )
-    changed = with_foreign_reads(damage_reads(reads, damage, seed), foreign_reads, cuts, seed)
+    return with_foreign_reads(damage_reads(reads, damage, seed), foreign_reads, mixture.cuts, seed)
 
-    answers = params.withColumn("notes", error_notes()).select(
-        *sheet.columns,
-        "public_name",
-        F.concat("public_name", F.lit("_R1.fastq.gz")).alias("r1"),
-        F.concat("public_name", F.lit("_R2.fastq.gz")).alias("r2"),
-        "qc",
-        "error",
-        "notes",
-    )
-    return Exam(changed, answers, blank_sheet(answers))
+
+def introduce_errors(
+    reads: DataFrame,
+    sheet: DataFrame,
+    contaminants: DataFrame,
+    foreign_reads: DataFrame,
+    proportion: float = 0.6,
+    seed: int = 42,
+    first: str | None = None,
+) -> Exam:
+    """Damage the reads of a share of the samples and write down what was done.
+
+    sheet: sample_name, species, ... (sample_name is the sample_id of ``reads``); contaminants: sample_name,
+    species, assembly; foreign_reads: reads whose sample_id is a contaminant's sample_name.
+    """
+    params = error_parameters(sheet, contaminants, proportion, seed)
+    answers = error_answers(params, sheet.columns)
+    return Exam(damaged_reads(reads, foreign_reads, params, seed, first), answers, blank_sheet(answers))

@@ -7,8 +7,7 @@ from pyspark.sql import functions as F
 
 from seqlab.functions import div
 from seqlab.operators.joins import apply_names, enrich_sheet, have_table, unnamed
-from seqlab.operators.mixing import mixing_cuts, own_group
-from seqlab.operators.sampling import pair_counts
+from seqlab.operators.mixing import own_group, plan_mixture
 from seqlab.operators.selection import choose_one, deal_labels, drawn_parameter, sample_groups
 from seqlab.operators.sheet import (
     anonymise_contigs,
@@ -64,49 +63,44 @@ def exam_parameter(seed: int) -> Column:
     )
 
 
-def assembly_exam(
-    reads: DataFrame,
-    samples: DataFrame,
-    contaminant: DataFrame,
-    foreign_reads: DataFrame,
-    labels: dict[str, int],
-    seed: int = 42,
-    first: str | None = None,
-) -> Exam:
-    """Deal error labels to the samples and damage their reads accordingly.
-
-    samples: sample_name, public_name, species, ...; contaminant: one row with sample_name; foreign_reads: its
-    reads.
-    """
+def assembly_parameters(samples: DataFrame, contaminant: DataFrame, labels: dict[str, int], seed: int = 42) -> DataFrame:
+    """Samples with a dealt label, its drawn parameter and the contaminant's name; landed."""
     dealt = deal_labels(samples, "sample_name", labels, seed).withColumn("parameter", exam_parameter(seed))
     one = contaminant.select(F.col("sample_name").alias("contaminant_id"), F.lit(1).alias("_one"))
-    params = land(
-        dealt.withColumns({"sample_id": F.col("sample_name"), "_one": F.lit(1)}).join(one, "_one").drop("_one"), "dealt"
+    return land(dealt.withColumn("_one", F.lit(1)).join(one, "_one").drop("_one"), "dealt")
+
+
+def assembly_answers(params: DataFrame) -> DataFrame:
+    files = [F.concat("contaminant_id", F.lit(f"_R{m}.fastq.gz")) for m in (1, 2)]
+    answered = params.withColumns(
+        {
+            **exam_answer(F.col("label"), F.col("parameter"), *files),
+            **{f"r{m}": F.concat("public_name", F.lit(f"_R{m}.fastq.gz")) for m in (1, 2)},
+        }
     )
-    label, parameter = F.col("label"), F.col("parameter")
+    return answered.drop("contaminant_id", "parameter", "label")
 
-    pairs = pair_counts(reads, "sample_id", "pair_id", first).withColumnRenamed("grp", "sample_id")
+
+def assembly_reads(
+    reads: DataFrame, foreign_reads: DataFrame, params: DataFrame, seed: int = 42, first: str | None = None
+) -> DataFrame:
+    """The reads of all samples, changed by label."""
+    samples = params.withColumn("sample_id", F.col("sample_name"))
+    label, parameter = F.col("label"), F.col("parameter")
+    # Contamination and low coverage are both exact counts: one plan serves them.
+    plan = samples.where(label.isin("CONTAMINATED", "LOW_COVERAGE")).select("sample_id", "contaminant_id", "label", "parameter")
     share = div(F.col("pairs") * parameter, F.lit(100))
     foreign = F.when(label == "CONTAMINATED", share).otherwise(F.lit(0).cast("bigint"))
-    counted = params.where(label.isin("CONTAMINATED", "LOW_COVERAGE")).join(pairs, "sample_id")
-    sized = land(
-        counted.select(
-            "sample_id",
-            "contaminant_id",
-            F.when(label == "CONTAMINATED", F.col("pairs") - share).otherwise(share).alias("n_own"),
-            foreign.alias("n_foreign"),
-        ),
-        "sized",
-    )
-    cuts = mixing_cuts(reads, foreign_reads, sized, seed, first)
-    targets = land(corrupt_targets(reads, params.where(label == "CORRUPTED"), seed), "targets")
+    own = F.when(label == "CONTAMINATED", F.col("pairs") - share).otherwise(share)
+    mixture = plan_mixture(reads, foreign_reads, plan, seed, first, foreign, own)
+    targets = corrupt_targets(reads, samples.where(label == "CORRUPTED"), seed)
 
     def only(name: str) -> Column:
         return F.when(label == name, parameter)
 
     damage = land(
-        params.withColumn("grp", own_group("sample_id"))
-        .join(cuts.select("grp", "cut_h", "cut_key"), "grp", "left")
+        samples.withColumn("grp", own_group("sample_id"))
+        .join(mixture.cuts.select("grp", "cut_h", "cut_key"), "grp", "left")
         .join(targets, "sample_id", "left")
         .select(
             "sample_id",
@@ -121,16 +115,26 @@ def assembly_exam(
         ),
         "damage",
     )
-    changed = with_foreign_reads(damage_reads(reads, damage, seed), foreign_reads, cuts, seed)
+    return with_foreign_reads(damage_reads(reads, damage, seed), foreign_reads, mixture.cuts, seed)
 
-    files = [F.concat("contaminant_id", F.lit(f"_R{m}.fastq.gz")) for m in (1, 2)]
-    answers = params.withColumns(
-        {
-            **exam_answer(label, parameter, *files),
-            **{f"r{m}": F.concat("public_name", F.lit(f"_R{m}.fastq.gz")) for m in (1, 2)},
-        }
-    ).drop("sample_id", "contaminant_id", "parameter", "label")
-    return Exam(changed, answers, blank_sheet(answers, "basic"))
+
+def assembly_exam(
+    reads: DataFrame,
+    samples: DataFrame,
+    contaminant: DataFrame,
+    foreign_reads: DataFrame,
+    labels: dict[str, int],
+    seed: int = 42,
+    first: str | None = None,
+) -> Exam:
+    """Deal error labels to the samples and damage their reads accordingly.
+
+    samples: sample_name, public_name, species, ...; contaminant: one row with sample_name; foreign_reads: its
+    reads.
+    """
+    params = assembly_parameters(samples, contaminant, labels, seed)
+    answers = assembly_answers(params)
+    return Exam(assembly_reads(reads, foreign_reads, params, seed, first), answers, blank_sheet(answers, "basic"))
 
 
 def choose_tree(trees: DataFrame, tables: DataFrame, stem: str, seed: int = 42) -> DataFrame:
