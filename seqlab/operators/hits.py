@@ -58,9 +58,12 @@ def number_features(features: DataFrame, contig: str, start: str, ties: list[str
 def contig_features(contigs: DataFrame, features: DataFrame, contig: str, start: str, ties: list[str]) -> DataFrame:
     """Every contig with its features in start order, one row per feature; a bare contig keeps one row.
 
-    Rows, not one array per contig: a contig with a third of all features would not fit one task.
+    Rows, not one array per contig: a contig with a third of all features would not fit one task. For the same
+    reason it is an inner join, whose skewed side can be split at run time, plus the bare contigs.
     """
-    return contigs.join(number_features(features, contig, start, ties), contig, "left")
+    numbered = number_features(features, contig, start, ties)
+    bare = contigs.join(features.select(contig).distinct(), contig, "left_anti")
+    return contigs.join(numbered, contig).unionByName(bare, allowMissingColumns=True)
 
 
 def sorted_features(features: DataFrame, *order: str) -> DataFrame:

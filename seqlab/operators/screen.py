@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 PIECE = 50_000
@@ -31,8 +31,13 @@ def kmer_containment(
     """Share of each sample's distinct k-mers found in each reference set that it shares any with."""
     own = kmers(samples, sample_text, k, sample, scale=scale)
     known = kmers(references, reference_text, k, reference, scale=scale)
-    totals = own.groupBy(sample).agg(F.count(F.lit(1)).alias("n_kmers"))
-    shared = own.join(known, "kmer").groupBy(sample, reference).agg(F.count(F.lit(1)).alias("n_shared"))
-    return shared.join(totals, sample).select(
-        sample, reference, "n_shared", "n_kmers", (F.col("n_shared") / F.col("n_kmers")).alias("containment")
+    # One row per reference k-mer with the sets that hold it, so each sample k-mer is looked up once.
+    sets = known.groupBy("kmer").agg(F.array_sort(F.collect_set(reference)).alias("_sets"))
+    grouped = own.join(sets, "kmer", "left").groupBy(sample, "_sets").agg(F.count(F.lit(1)).alias("_n"))
+    totalled = grouped.withColumn("n_kmers", F.sum("_n").over(Window.partitionBy(sample)))
+    shared = totalled.select(sample, "n_kmers", "_n", F.explode("_sets").alias(reference))
+    return (
+        shared.groupBy(sample, reference, "n_kmers")
+        .agg(F.sum("_n").alias("n_shared"))
+        .withColumn("containment", F.col("n_shared") / F.col("n_kmers"))
     )
