@@ -32,9 +32,8 @@ def strip(value) -> Column:
 
 
 def count_chars(value, chars: str) -> Column:
-    """How many characters of ``value`` are in ``chars``."""
-    text = _col(value)
-    return (F.length(text) - F.length(F.translate(text, chars, ""))).cast("bigint")
+    """How many characters of ``value`` are among the given letters: what is left when runs of others are cut."""
+    return F.length(F.regexp_replace(_col(value), f"[^{chars}]+", "")).cast("bigint")
 
 
 def percent_2dp(part, whole) -> Column:

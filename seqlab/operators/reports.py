@@ -38,6 +38,7 @@ REPORT_PATHS = [
 FALLBACKS = {"checkmInfo.species": "checkmInfo.checkmSpeciesTaxId"}
 # JSON texts that count as missing.
 FALSY = r"^(|false|null|\{\}|\[\]|-?0+(\.0*)?([eE][+-]?\d+)?)$"
+FALSY_STARTS = ("", "0", "-", "f", "n", "{", "[")
 
 
 def flat_name(path: str) -> str:
@@ -67,8 +68,9 @@ def report_schema(paths: list[str] = REPORT_PATHS, fallbacks: dict[str, str] = F
 
 
 def truthy(value: Column) -> Column:
-    """NULL for missing, empty, zero and false values."""
-    return F.when(~value.rlike(FALSY), value)
+    """NULL for missing, empty, zero and false values. Only texts that begin like one are matched in full."""
+    suspect = F.substring(value, 1, 1).isin(*FALSY_STARTS)
+    return F.when(~(suspect & value.rlike(FALSY)), value)
 
 
 def flatten_report(

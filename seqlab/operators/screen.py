@@ -5,19 +5,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-PIECE = 50_000
+PIECE = 10_000
 
 
 def kmers(df: DataFrame, text: str, k: int, *keys: str, scale: int = 1) -> DataFrame:
     """Distinct (keys, kmer). Long texts are cut into overlapping pieces first, so no row holds a huge array.
 
-    One regular-expression pass lists all overlapping k-mers of a piece. ``scale`` > 1 keeps the k-mers whose
-    hash falls into one of ``scale`` classes: a sketch whose containment estimates the full one.
+    The pieces are dealt out evenly before they multiply: a text, or a file, with a third of all bases does not stay
+    in one task, and the shuffle of the pieces is a twentieth of the shuffle of their k-mers. One
+    regular-expression pass lists all overlapping k-mers of a piece. ``scale`` > 1 keeps the k-mers whose hash
+    falls into one of ``scale`` classes: a sketch whose containment estimates the full one.
     """
     starts = F.sequence(F.lit(1), F.greatest(F.length(text) - (k - 1), F.lit(1)), F.lit(PIECE))
     pieces = df.select(*keys, F.col(text).alias("_t"), F.explode(starts).alias("_s")).select(
         *keys, F.substring(F.col("_t"), F.col("_s"), F.lit(PIECE + k - 1)).alias("_piece")
     )
+    pieces = pieces.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     pattern = F.lit(r"(?s)(?![\uDC00-\uDFFF])(?=(.{%d}))" % k)
     found = pieces.select(*keys, F.explode(F.regexp_extract_all("_piece", pattern, F.lit(1))).alias("kmer"))
     if scale > 1:
