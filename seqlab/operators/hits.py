@@ -5,11 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from seqlab.operators.positions import rank_by_bucket
+from seqlab.operators.positions import rank_by_range
+from seqlab.session import land
 
 FEATURE_TYPE = "gene"
 SOURCE = "seqlab"
-START_BUCKET_BITS = 12
 
 
 def best_hit(hits: DataFrame, locus: str, score: str, ties: list[str]) -> DataFrame:
@@ -50,9 +50,8 @@ def as_features(best: DataFrame) -> DataFrame:
 
 
 def number_features(features: DataFrame, contig: str, start: str, ties: list[str], out: str = "feature_number") -> DataFrame:
-    """Position of each feature on its contig by start. Long contigs are numbered in pieces of 4096 starts."""
-    bucket = F.shiftright(F.col(start).cast("bigint"), START_BUCKET_BITS)
-    return rank_by_bucket(features, [contig], bucket, [F.col(start), *[F.col(c) for c in ties]], out)
+    """Position of each feature on its contig by start, then by the ``ties`` columns."""
+    return rank_by_range(features, [contig], [start, *ties], out)
 
 
 def contig_features(contigs: DataFrame, features: DataFrame, contig: str, start: str, ties: list[str]) -> DataFrame:
@@ -74,5 +73,5 @@ def sorted_features(features: DataFrame, *order: str) -> DataFrame:
 def annotate(contigs: DataFrame, hits: DataFrame) -> DataFrame:
     """Hit table (12 columns) to numbered features per contig."""
     best = best_hit(hits, "allele", "score", ["contig", "sstart", "send", "qstart", "qend"])
-    features = as_features(strand_norm(best, "sstart", "send"))
+    features = land(as_features(strand_norm(best, "sstart", "send")), "features")
     return contig_features(contigs, features, "contig", "feat_start", ["locus"])

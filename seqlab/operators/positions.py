@@ -10,9 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from seqlab.functions import draw_hash
-
-SPLIT_SAMPLE = 4096
-SPLITS = 128
+from seqlab.session import land
 
 
 def rank_by_bucket(
@@ -20,8 +18,8 @@ def rank_by_bucket(
 ) -> DataFrame:
     """Add ``out``: the position of each row in its group.
 
-    Group columns are not NULL. ``bucket`` must not decrease along ``order`` and must hold few rows per value. The window and the offset
-    join use the same (group, bucket) partitioning, so the rows are shuffled once.
+    Group columns are not NULL. ``bucket`` must not decrease along ``order`` and must hold few rows per value. The
+    window and the offset join use the same (group, bucket) partitioning, so the rows are shuffled once.
     """
     keys = [*group, "_bucket"]
     rows = df.withColumn("_bucket", bucket)
@@ -33,6 +31,18 @@ def rank_by_bucket(
     return numbered.select(*df.columns, (F.col("_before") + F.col("_rank")).alias(out))
 
 
+def rank_by_range(df: DataFrame, group: list[str], order: list[str], out: str) -> DataFrame:
+    """Add ``out``: the position of each row in its group, for any order columns that tell all rows apart.
+
+    The buckets are Spark's own range partitions over (group, order), so a group, or a run of equal first order
+    values, of any size is spread evenly. The table is landed once to fix the partition numbers.
+    """
+    ranged = df.repartitionByRange(*group, *order).withColumn("_range", F.spark_partition_id())
+    landed = land(ranged, "ranged")
+    ranked = rank_by_bucket(landed, group, F.col("_range"), [F.col(c) for c in order], out)
+    return ranked.drop("_range")
+
+
 def shuffled_position(df: DataFrame, key: str, seed: int, purpose: str, out: str) -> DataFrame:
     """Position of each row in a seeded shuffle of the whole table; ``key`` is unique."""
     hashed = df.withColumn("_h", draw_hash(seed, purpose, key))
@@ -41,27 +51,5 @@ def shuffled_position(df: DataFrame, key: str, seed: int, purpose: str, out: str
 
 
 def ordered_position(df: DataFrame, key: str, out: str) -> DataFrame:
-    """Position of each row when the table is sorted by the unique column ``key``.
-
-    Split points are taken from a fixed-size hash sample of the keys. They only balance the buckets; the
-    positions are exact for any split points.
-    """
-    sample = (
-        df.select(F.col(key).alias("k"))
-        .where(F.col("k").isNotNull())
-        .orderBy(draw_hash(0, "split", "k"), "k")
-        .limit(SPLIT_SAMPLE)
-        .collect()
-    )
-    points = sorted(r["k"] for r in sample)[:: max(1, SPLIT_SAMPLE // SPLITS)]
-    return rank_by_bucket(df, [], _split_bucket(F.col(key), points), [F.col(key)], out)
-
-
-def _split_bucket(value: Column, points: list, base: int = 0) -> Column:
-    """Number of split points that are not above ``value``, as a balanced tree of comparisons."""
-    if not points:
-        return F.lit(base)
-    mid = len(points) // 2
-    return F.when(value >= F.lit(points[mid]), _split_bucket(value, points[mid + 1 :], base + mid + 1)).otherwise(
-        _split_bucket(value, points[:mid], base)
-    )
+    """Position of each row when the table is sorted by the unique column ``key``."""
+    return rank_by_range(df, [], [key], out)

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from seqlab.functions import div, draw_hash, draw_uniform
-from seqlab.operators.positions import shuffled_position
+from seqlab.operators.positions import rank_by_bucket, shuffled_position
 from seqlab.session import land
 
 BUCKET_BITS = 12
@@ -60,10 +60,12 @@ def sampling_cuts(keys: DataFrame, counts: DataFrame, quotas: DataFrame, seed: i
         .select("grp", "slot", "bucket", (want - F.col("upto") + F.col("n")).alias("nth"), want.alias("taken"))
     )
     wanted = land(wanted, "wanted")
-    # Only the buckets that hold a closing row are ranked: one in 4096 of a group, narrow rows.
+    # Only the buckets that hold a closing row are ranked: one in 4096 of a group, narrow rows. They are split by
+    # the next hash bits once more, so that no task ranks more than a 2**24th of a group.
     edge = _bucketed(keys, seed, purpose).join(wanted.select("grp", "bucket"), ["grp", "bucket"], "left_semi")
-    order = Window.partitionBy("grp", "bucket").orderBy("h", "key")
-    ranked = edge.withColumn("nth", F.row_number().over(order).cast("bigint"))
+    ranked = rank_by_bucket(
+        land(edge, "edge"), ["grp", "bucket"], F.shiftright("h", 32 - 2 * BUCKET_BITS), [F.col("h"), F.col("key")], "nth"
+    )
     found = ranked.join(wanted, ["grp", "bucket", "nth"]).select(
         "grp", "slot", "taken", F.col("h").alias("cut_h"), F.col("key").alias("cut_key")
     )
@@ -109,8 +111,11 @@ def subsample_count(df: DataFrame, key: str, n: int, seed: int = 42, first: str
     quotas = df.sparkSession.range(1).select(
         F.lit("all").alias("grp"), F.lit("all").alias("slot"), F.lit(n).cast("bigint").alias("quota")
     )
-    tagged = df.withColumn("_grp", F.lit("all"))
-    return subsample_quota(tagged, "_grp", key, quotas, seed, first).drop("_grp")
+    keys = pair_keys(df, F.lit("all"), key, first)
+    cut = sampling_cuts(keys, bucket_counts(keys, seed, "count"), quotas, seed, "count").first()
+    # One group has one closing row: it becomes a constant of the filter.
+    h = draw_hash(seed, "count", F.lit("all"), key)
+    return df.where((h < cut.cut_h) | ((h == cut.cut_h) & (F.col(key) <= F.lit(cut.cut_key))))
 
 
 def subsample_quota(

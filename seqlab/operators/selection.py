@@ -111,11 +111,13 @@ def deal_labels(df: DataFrame, key: str, counts: dict[str, int], seed: int = 42,
     return placed.withColumn("label", label).drop("_place")
 
 
-def deal_pool(df: DataFrame, key: str, pool: DataFrame, pool_key: str, seed: int = 42) -> DataFrame:
+def deal_pool(
+    df: DataFrame, key: str, pool: DataFrame, pool_key: str, seed: int = 42, empty: str = "The pool is empty."
+) -> DataFrame:
     """Give every row one pool row, without replacement until the pool is used up, then from the start again."""
     size = pool.count()
     if size == 0:
-        raise ValueError("The pool is empty.")
+        raise ValueError(empty)
     placed = shuffled_position(df, key, seed, "deal", "_place")
     slots = shuffled_position(pool, pool_key, seed, "pool", "_slot")
     wanted = placed.withColumn("_slot", (F.col("_place") - 1) % F.lit(size) + 1)

@@ -34,17 +34,15 @@ class Exam:
 def error_parameters(sheet: DataFrame, contaminants: DataFrame, proportion: float, seed: int) -> DataFrame:
     """Sheet with public name, error, drawn parameters and, for contaminated samples, the contaminant."""
     pool = land(contaminant_pool(contaminants, sheet).select(F.col("sample_name").alias("contaminant")), "pool")
-    if pool.isEmpty():
-        raise ValueError("No contaminants found in the contamination list.")
-    labelled = land(assign_errors(sheet, "sample_name", proportion, seed), "labelled")
+    labelled = assign_errors(number_samples(sheet, "sample_name"), "sample_name", proportion, seed)
     contaminated = labelled.where(F.col("error") == "CONTAMINATED").select("sample_name")
-    dealt = deal_pool(contaminated, "sample_name", pool, "contaminant", seed)
+    dealt = deal_pool(contaminated, "sample_name", pool, "contaminant", seed, "No contaminants found in the contamination list.")
     draws = {
         name: drawn_parameter(name, seed, "sample_name")
         for name in ("truncate_length", "contamination_percent", "min_quality", "max_quality")
     }
-    named = number_samples(labelled, "sample_name").join(dealt, "sample_name", "left")
-    return land(named.withColumns({**draws, "fraction": drawn_fraction(seed, "sample_name")}), "parameters")
+    given = labelled.join(dealt, "sample_name", "left")
+    return land(given.withColumns({**draws, "fraction": drawn_fraction(seed, "sample_name")}), "parameters")
 
 
 def error_notes() -> Column:

@@ -47,9 +47,12 @@ def typing_exam(
     chosen = land(sample_groups(sheet.where(F.col("species") == species), "st", "sample_name", sts, seed), "chosen")
     names = land(assembly_names(contigs, chosen), "names")
     answers = enrich_sheet(apply_names(chosen, names, "sample_name"), typing_results(results, "sample_name"), "sample_name")
-    public = contigs.join(names.withColumnRenamed("sample_name", "sample_id"), "sample_id").drop("sample_id", "contig_name")
-    renamed = anonymise_contigs(public.withColumnRenamed("public_name", "sample_id"), "sample_id", "contig_index")
-    return Exam(renamed, answers, blank_sheet(answers, "typing"))
+    # Contigs are numbered by their keys alone; the sequences are joined to the finished names and not shuffled.
+    public = names.select(F.col("sample_name").alias("sample_id"), "public_name")
+    keys = contigs.select("sample_id", "contig_index").join(public, "sample_id")
+    numbered = land(anonymise_contigs(keys, "public_name", "contig_index"), "contigs")
+    renamed = contigs.drop("contig_name").join(numbered, ["sample_id", "contig_index"]).drop("sample_id")
+    return Exam(renamed.withColumnRenamed("public_name", "sample_id"), answers, blank_sheet(answers, "typing"))
 
 
 def exam_parameter(seed: int) -> Column:

@@ -20,6 +20,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
+from seqlab.session import land
+
 BLOCK_CHARS = 8 << 20
 PARTITION_BYTES = 128 << 20
 CHUNK_SHIFT = 32
@@ -225,4 +227,4 @@ def complete_pairs(reads: DataFrame) -> DataFrame:
         .drop("_mates")
     )
     tagged = reads.withColumn("_chunk", F.shiftright("pair_id", CHUNK_SHIFT))
-    return tagged.join(shorter, ["sample_id", "_chunk"]).where(F.col("pair_id") <= F.col("_end")).select(*reads.columns)
+    return tagged.join(land(shorter, "ends"), ["sample_id", "_chunk"]).where(F.col("pair_id") <= F.col("_end")).select(*reads.columns)
