@@ -603,8 +603,8 @@ WITH c AS (
          sum(length(text)) OVER (PARTITION BY source, lang ORDER BY length(text) DESC RANGE UNBOUNDED PRECEDING) AS upto,
          sum(length(text)) OVER (PARTITION BY source, lang) AS total
   FROM documents WHERE length(text) > 0)
-SELECT source, {', '.join(_report_columns(t) for t in TOOLS)} FROM c GROUP BY source
+SELECT source, {', '.join(_report_columns(t) for t in TOOLS)}, source || '_scaffolds.fasta' AS en_assembly FROM c GROUP BY source
 """)
 def assembler_report(spark: SparkSession, sf: str) -> DataFrame:
     documents = table(spark, sf, "documents").select("source", "lang", F.col("text").alias("sequence"))
-    return make_assembler_report(documents.select("source").distinct(), documents, "source", "lang", TOOLS)
+    return make_assembler_report(documents.select("source").distinct(), documents, "source", "lang", TOOLS, {"en": "_scaffolds.fasta"})

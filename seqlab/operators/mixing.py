@@ -71,10 +71,18 @@ def within_own_cut(seed: int) -> Column:
     return within_cut(draw_hash(seed, PURPOSE, own_group("sample_id"), "pair_id"), F.col("pair_id"))
 
 
+def join_cuts(reads: DataFrame, grp: Column, cuts: DataFrame, seed: int) -> DataFrame:
+    """Reads within the closing rows of their group, one copy per slot, with the columns of ``cuts``.
+
+    The hash is taken before the join: once per read, however many samples a contaminant serves.
+    """
+    hashed = reads.withColumn("grp", grp).withColumn("_h", draw_hash(seed, PURPOSE, "grp", "pair_id"))
+    return hashed.join(cuts, "grp").where(within_cut(F.col("_h"), F.col("pair_id")))
+
+
 def foreign_reads(contaminants: DataFrame, cuts: DataFrame, seed: int) -> DataFrame:
     """The sampled foreign reads, one copy per receiving sample, under that sample's id."""
-    tagged = contaminants.withColumn("grp", foreign_group("sample_id"))
-    kept = tagged.join(cuts, "grp").where(within_cut(draw_hash(seed, PURPOSE, "grp", "pair_id"), F.col("pair_id")))
+    kept = join_cuts(contaminants, foreign_group("sample_id"), cuts, seed)
     return kept.select(F.col("slot").alias("sample_id"), *[c for c in contaminants.columns if c != "sample_id"])
 
 
@@ -86,7 +94,7 @@ def mix_contaminant(
     Adds ``origin``: contaminant or host. Samples without a plan row are not in the result.
     """
     mixture = plan_mixture(host, contaminants, land(plan, "plan"), seed, first)
-    own = host.withColumn("grp", own_group("sample_id")).join(mixture.cuts, "grp").where(within_own_cut(seed))
+    own = join_cuts(host, own_group("sample_id"), mixture.cuts, seed)
     own = own.select(*host.columns, F.lit("host").alias("origin"))
     foreign = foreign_reads(contaminants, mixture.cuts, seed).withColumn("origin", F.lit("contaminant"))
     return foreign.unionByName(own), mixture
@@ -133,8 +141,7 @@ def contamination_series(
     cuts = sampling_cuts(keys, counts, wanted, seed, PURPOSE)
 
     def expand(reads: DataFrame, grp: str, origin: str) -> DataFrame:
-        tagged = reads.withColumn("grp", F.lit(grp)).join(cuts, "grp")
-        kept = tagged.where(within_cut(draw_hash(seed, PURPOSE, "grp", "pair_id"), F.col("pair_id")))
+        kept = join_cuts(reads, F.lit(grp), cuts, seed)
         return kept.select(F.col("slot").cast("int").alias("step"), *reads.columns, F.lit(origin).alias("origin"))
 
     return expand(contaminant, "foreign", "contaminant").unionByName(expand(host, "own", "host"))

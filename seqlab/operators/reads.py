@@ -71,9 +71,12 @@ def degraded_quality(sequence, h: Column, min_q, max_q) -> Column:
 
     Where min_q is NULL the result is an empty string and costs nothing.
     """
-    low, high = F.coalesce(_col(min_q).cast("bigint"), F.lit(0)), F.coalesce(_col(max_q).cast("bigint"), F.lit(0))
-    size = F.when(_col(min_q).isNotNull(), F.length(_col(sequence))).otherwise(F.lit(0))
-    return _quality_letters(h, size, low, high)
+    wanted = _col(min_q).isNotNull()
+
+    def number(value: Column) -> Column:
+        return F.when(wanted, value.cast("bigint")).otherwise(F.lit(0).cast("bigint"))
+
+    return _quality_letters(number(h), number(F.length(_col(sequence))), number(_col(min_q)), number(_col(max_q)))
 
 
 def decremented_quality(quality, points) -> Column:

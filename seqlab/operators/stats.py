@@ -13,6 +13,9 @@ GENOME_LETTERS = "ATCG"
 SITES_DIVISOR = 50
 SITES_MINIMUM = 10000
 
+# Ends of the assembly file names in the report.
+ASSEMBLY_FILES = {"spades": "_scaffolds.fasta", "flye": "_longassembly.fasta", "original": "_original.fasta"}
+
 
 def gc_percent(sequence) -> Column:
     """GC share of one sequence in percent, 0 for an empty one."""
@@ -76,8 +79,10 @@ def genome_length(contigs: DataFrame, *by: str) -> DataFrame:
     return counted.withColumn("variable_sites", sites)
 
 
-def assembler_report(sheet: DataFrame, assemblies: DataFrame, key: str, tool: str, tools: list[str]) -> DataFrame:
-    """Sheet with the statistics of every assembler's contigs as <tool>_<statistic> columns."""
+def assembler_report(
+    sheet: DataFrame, assemblies: DataFrame, key: str, tool: str, tools: list[str], files: dict[str, str] = ASSEMBLY_FILES
+) -> DataFrame:
+    """Sheet with the statistics and the file name of every assembler's contigs as <tool>_<statistic> columns."""
     stats = assembly_stats(assemblies, key, tool)
     wide = stats.groupBy(key).pivot(tool, tools).agg(
         F.first("total_bases").alias("total_bases"),
@@ -85,4 +90,5 @@ def assembler_report(sheet: DataFrame, assemblies: DataFrame, key: str, tool: st
         F.first("n50").alias("n50"),
         F.first("gc_content").alias("gc_content"),
     )
-    return sheet.join(wide, key, "left")
+    names = {f"{t}_assembly": F.concat(F.col(key), F.lit(files[t])) for t in tools if t in files}
+    return sheet.join(wide, key, "left").withColumns(names)

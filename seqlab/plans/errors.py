@@ -13,19 +13,22 @@ from seqlab.operators.selection import assign_errors, deal_pool, drawn_fraction,
 from seqlab.operators.sheet import blank_sheet, number_samples
 from seqlab.plans.damage import corrupt_targets, damage_columns, damage_reads, with_foreign_reads
 from seqlab.session import land
-from seqlab.sources.sinks import write_fastq, write_sheet
+from seqlab.sources.sinks import write_fasta, write_fastq, write_sheet
 
 
 @dataclass
 class Exam:
-    """Reads, the answer sheet, and the participant's sheet of one exam."""
+    """Reads (or contigs), the answer sheet, and the participant's sheet of one exam."""
 
     reads: DataFrame
     answers: DataFrame
     blank: DataFrame
 
     def write(self, path: str) -> None:
-        write_fastq(self.reads, f"{path}/reads")
+        if "contig_name" in self.reads.columns:
+            write_fasta(self.reads, f"{path}/contigs")
+        else:
+            write_fastq(self.reads, f"{path}/reads")
         write_sheet(self.answers, f"{path}/answer_sheet", order_by="public_name")
         first = self.blank.columns[0]
         write_sheet(self.blank, f"{path}/sample_sheet", order_by=first)

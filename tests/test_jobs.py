@@ -152,3 +152,23 @@ def test_stream_gives_the_batch_result(spark, tmp_path, make_reads):
 
     batch = damage_reads(reads, params, 42)
     assert sorted(map(tuple, spark.read.parquet(str(tmp_path / "out")).collect())) == sorted(map(tuple, batch.collect()))
+
+
+def test_exam_set(spark, tmp_path, make_reads):
+    from seqlab.operators.sheet import TYPING_COLUMNS, TYPING_PREFIX
+    from seqlab.plans.exam_set import exam_set
+
+    rows = [(f"s{i:02}", "sp1", f"ST{i % 22}") for i in range(24)] + [("o1", "sp2", "ST1")]
+    sheet = spark.createDataFrame(rows, "sample_name string, species string, st string")
+    contigs = sheet.select(
+        F.col("sample_name").alias("sample_id"), F.lit(1).cast("bigint").alias("contig_index"), F.lit("x").alias("contig_name"),
+        F.concat(F.lit("ACGT"), "sample_name").alias("sequence"),
+    )
+    results = sheet.select("sample_name", *[F.lit(c).alias(TYPING_PREFIX + c) for c in TYPING_COLUMNS])
+    exams_by_name = exam_set(sheet, contigs, results, make_reads({r[0]: 20 for r in rows}), "sp1", 42, FIRST)
+    sizes = {name: exam.answers.count() for name, exam in exams_by_name.items()}
+    assert sizes == {"typing_practice": 5, "assembly_practice": 5, "typing_real": 20, "assembly_real": 20}
+    errors_seen = Counter(r.error for r in exams_by_name["assembly_real"].answers.collect())
+    assert errors_seen == {"NONE": 15, "CONTAMINATED": 2, "DEGRADED": 1, "TRUNCATED": 1, "LOW_COVERAGE": 1}
+    exams_by_name["typing_practice"].write(str(tmp_path / "t"))
+    assert spark.read.format("fasta").load(str(tmp_path / "t" / "contigs")).count() == 5

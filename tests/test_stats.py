@@ -48,7 +48,7 @@ def test_assembler_report(spark):
     made = spark.createDataFrame([("a", "spades", "GGCC"), ("a", "flye", "AT"), ("a", "flye", "ATG")], "accession string, tool string, sequence string")
     rows = {r.accession: r for r in stats.assembler_report(sheet, made, "accession", "tool", ["spades", "flye"]).collect()}
     assert (rows["a"].spades_gc_content, rows["a"].flye_n50, rows["a"].flye_number_of_contigs) == (100.0, 3, 2)
-    assert rows["b"].spades_n50 is None
+    assert rows["b"].spades_n50 is None and rows["a"].spades_assembly == "a_scaffolds.fasta"
 
 
 HITS = "allele string, contig string, identity double, aln_length int, mismatch int, gap int, qstart int, qend int, sstart int, send int, evalue double, score double"
