@@ -82,13 +82,16 @@ def open_text(path: str):
 
 
 def name_parts(path: str) -> tuple[str, int, int]:
-    """(sample, mate, chunk) from sample_id=/mate=/chunk= folders or from the file name."""
+    """(sample, mate, chunk) from sample_id=/mate=/origin=/chunk= folders or from the file name."""
     folders = dict(part.split("=", 1) for part in path.split("/")[:-1] if "=" in part)
     stem = SEQUENCE_FILE.sub("", path.rsplit("/", 1)[-1])
     match = MATE_FILE.match(stem)
     sample = unquote(folders["sample_id"]) if "sample_id" in folders else (match["sample"] if match else stem)
     mate = int(folders["mate"]) if "mate" in folders else (int(match["mate"]) if match else 1)
-    return sample, mate, int(folders.get("chunk", 0))
+    chunk = int(folders.get("chunk", 0))
+    if "origin" in folders:
+        chunk = chunk * 2 + (folders["origin"] == "host")
+    return sample, mate, chunk
 
 
 class SequenceReader(DataSourceReader):

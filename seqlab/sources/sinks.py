@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from seqlab.functions import div
+
 CHUNK_PAIRS = 4_000_000
 
 
@@ -22,27 +24,18 @@ def write_fastq(reads: DataFrame, path: str, chunk_pairs: int = CHUNK_PAIRS, com
     """Folders sample_id=/mate=/chunk= of FASTQ text, both mates in the same record order.
 
     A chunk holds the pair ids of one range, so a sample of any size is spread over many tasks and files. Reads
-    with an ``origin`` column are written contaminant first. ``pair_id`` is not negative and below 2**31 chunks.
+    with an ``origin`` column get a folder level for it; in name order contaminant comes before host.
     """
-    foreign_first = F.lit(0)
-    if "origin" in reads.columns:
-        foreign_first = F.when(F.col("origin") == "contaminant", 0).otherwise(1)
-    chunk = F.call_function("div", F.col("pair_id"), F.lit(chunk_pairs))
-    if "origin" in reads.columns:
-        chunk = chunk * 2 + foreign_first
-    records = reads.select(
-        "sample_id",
-        "mate",
-        chunk.alias("chunk"),
-        "pair_id",
-        F.concat_ws("\n", "header", "sequence", "plus", "quality").alias("value"),
+    folders = ["sample_id", "mate", *(["origin"] if "origin" in reads.columns else []), "chunk"]
+    records = reads.withColumn("chunk", div(F.col("pair_id"), F.lit(chunk_pairs))).select(
+        *folders, "pair_id", F.concat_ws("\n", "header", "sequence", "plus", "quality").alias("value")
     )
     (
-        records.repartition("sample_id", "mate", "chunk")
-        .sortWithinPartitions("sample_id", "mate", "chunk", "pair_id")
-        .select("sample_id", "mate", "chunk", "value")
+        records.repartition(*folders)
+        .sortWithinPartitions(*folders, "pair_id")
+        .select(*folders, "value")
         .write.mode("overwrite")
-        .partitionBy("sample_id", "mate", "chunk")
+        .partitionBy(*folders)
         .text(path, compression=compression)
     )
 
