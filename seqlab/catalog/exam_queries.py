@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from seqlab.catalog.base import h, query, randint, table, u, zfill
 from seqlab.catalog.read_queries import (
     HOST,
-    READS,
     SINGLE_END,
     decremented_sql,
     degraded_sql,

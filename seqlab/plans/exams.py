@@ -68,9 +68,13 @@ def exam_parameter(seed: int) -> Column:
 
 def assembly_parameters(samples: DataFrame, contaminant: DataFrame, labels: dict[str, int], seed: int = 42) -> DataFrame:
     """Samples with a dealt label, its drawn parameter and the contaminant's name; landed."""
-    dealt = deal_labels(samples, "sample_name", labels, seed).withColumn("parameter", exam_parameter(seed))
-    one = contaminant.select(F.col("sample_name").alias("contaminant_id"), F.lit(1).alias("_one"))
-    return land(dealt.withColumn("_one", F.lit(1)).join(one, "_one").drop("_one"), "dealt")
+    one = contaminant.first()
+    if one is None:
+        raise ValueError("No contaminant.")
+    dealt = deal_labels(samples, "sample_name", labels, seed)
+    return land(
+        dealt.withColumns({"parameter": exam_parameter(seed), "contaminant_id": F.lit(one["sample_name"])}), "dealt"
+    )
 
 
 def assembly_answers(params: DataFrame) -> DataFrame:

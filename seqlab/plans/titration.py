@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from seqlab.functions import zfill
@@ -28,25 +28,19 @@ def choose_samples(sheet: DataFrame, species: str, kind: str, seed: int = 42) ->
 
 def titration_sheet(main: DataFrame, contaminant: DataFrame, steps: int) -> DataFrame:
     """Answer rows of the mixtures: step, public name, percentage, verdict, note."""
-    other = contaminant.select(
-        F.lit(1).alias("_one"), F.col("species").alias("_other_species"), F.col("sample_name").alias("_other_name")
-    )
-    step = F.explode(F.sequence(F.lit(1), F.lit(steps))).alias("step")
-    rows = main.select("*", F.lit(1).alias("_one"), step).join(other, "_one").drop("_one")
+    other = contaminant.first()
+    if other is None:
+        raise ValueError("No contaminant.")
+    rows = main.select("*", F.explode(F.sequence(F.lit(1), F.lit(steps))).alias("step"))
     percent = F.lit(100 / steps) * F.col("step")
     named = rows.withColumns({"percentage": percent, "public_name": F.concat(F.lit("sample"), zfill("step", 2))})
     files = {f"r{m}": F.concat("public_name", F.lit(f"_R{m}.fastq.gz")) for m in (1, 2)}
     note = F.concat(
-        F.lit("Contamination with "),
-        F.col("_other_species").cast("string"),
-        F.lit(" - "),
-        F.col("_other_name").cast("string"),
-        F.lit(" at "),
+        F.lit(f"Contamination with {other['species']} - {other['sample_name']} at "),
         F.col("percentage").cast("string"),
         F.lit("%"),
     )
-    answered = named.withColumns({**contamination_verdict("percentage"), "notes": note, **files})
-    return answered.drop("_other_species", "_other_name")
+    return named.withColumns({**contamination_verdict("percentage"), "notes": note, **files})
 
 
 def titration(

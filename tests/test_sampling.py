@@ -124,6 +124,12 @@ def test_assign_errors_takes_the_floor(spark):
     assert all((r.error == "NONE") == (r.qc == "PASSED") for r in out)
 
 
+def test_proportion_and_fixed_size(spark):
+    kept = {p: {r.id for r in sampling.sample_proportion(spark.range(0, 101, 1, p), 0.6, "id").collect()} for p in (1, 9)}
+    assert kept[1] == kept[9] and len(kept[1]) == 60
+    assert {r.id for r in sampling.sample_n(spark.range(101), 25, "id").collect()} < kept[1]
+
+
 def test_labels_and_pool(spark):
     labels = Counter(r.label for r in selection.deal_labels(spark.range(20), "id", {"A": 2, "B": 1}).collect())
     assert labels == {"A": 2, "B": 1, "NORMAL": 17}
