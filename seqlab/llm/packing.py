@@ -193,6 +193,8 @@ def pack(docs: DataFrame, most: int = MOST_TOKENS, path: str | None = None, buck
         counts[row["length"]] += row["count"]
     before = spark.createDataFrame(firsts, "length long, bucket long, before long")
     ranges = spark.createDataFrame(plan(counts, most), "length long, first long, last long, sequence long, offset long")
+    # Both have a few rows for each length or bucket, however many pieces there are.
+    before, ranges = F.broadcast(before), F.broadcast(ranges)
     order = Window.partitionBy("length", "bucket").orderBy("doc_id", "piece", "start", "ids_crc32")
     placed = salted.withColumn("place", F.row_number().over(order) - 1).join(before, ["length", "bucket"])
     placed = placed.withColumn("number", F.col("place") + F.col("before")).join(ranges, "length").where("number between first and last")
