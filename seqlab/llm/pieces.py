@@ -3,8 +3,6 @@
 from __future__ import annotations
 
 import hashlib
-import re
-from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -13,24 +11,25 @@ import pyarrow as pa
 import sentencepiece
 from pyspark.sql import DataFrame
 
-from seqlab.llm.piece_model import BYTE, NORMAL, SPACE, UNKNOWN, identity, read_model
+from seqlab.llm.piece_model import BYTE, NORMAL, SPACE, identity, read_model
 from seqlab.llm.worker import append_columns, texts_of, worker_state
 
 VOCABULARY = "piece_bpe_32k.model"
-#: Words whose ids a worker remembers.
-REMEMBERED = 400_000
 
 
 class Encoder:
-    """Encodes whole texts word by word. The text is normalised here, through the character map, which gives the alignment of
-    its bytes; the merges of each different word are the library's. No merge joins what a word's leading white space parts."""
+    """Encodes whole texts with the library and places their pieces in them.
+
+    A text is normalised here too, through the character map, which gives the alignment of its bytes; the pieces follow each
+    other in the normalised text, so the ends of their widths are places that the alignment takes back to the text.
+    """
 
     def __init__(self, data: bytes):
         self.library = sentencepiece.SentencePieceProcessor(model_proto=data)
         self.model = read_model(data)
-        if not self.model.prefix:
-            raise ValueError("Only models that put a space in front of a text can be used.")
         names, kinds = self.model.names, self.model.kinds
+        if BYTE not in kinds:
+            raise ValueError("Spans of unknown characters need a model with byte pieces.")
         self.end = self.library.eos_id()
         self.surface = [
             bytes([int(n[3:5], 16)]) if k == BYTE else n.replace(SPACE, " ").encode() if k == NORMAL else b"" for n, k in zip(names, kinds, strict=True)
@@ -38,41 +37,20 @@ class Encoder:
         self.surface[self.library.unk_id()] = " ⁇ ".encode()
         self.width = np.array([1 if k == BYTE else len(n.encode()) if k == NORMAL else 0 for n, k in zip(names, kinds, strict=True)])
         self.text = [str(i) for i in range(len(names))]
-        # A line end without a piece parts words too, if it is written in bytes.
-        lines = BYTE in kinds and not any("\n" in n for n, k in zip(names, kinds, strict=True) if k == NORMAL)
-        self.words = re.compile(f"{SPACE}+[^{SPACE}\n]*|\n[^{SPACE}\n]*" if lines else f"{SPACE}+[^{SPACE}]*")
-        self.known: dict[str, bytes] = {}
-        self.byte_pieces = BYTE in kinds
-
-    def learn(self, words: list[str]) -> None:
-        """Remember the ids of words. The library puts a space in front; a word that starts with one is given without it."""
-        found = self.library.encode([w[1:].replace(SPACE, " ") if w[0] == SPACE else w for w in words], num_threads=1)
-        for word, ids in zip(words, found, strict=True):
-            if word == SPACE:
-                ids = [self.library.piece_to_id(SPACE)]
-            elif word[0] != SPACE:
-                ids = ids[1:]
-            self.known[word] = array("I", ids).tobytes()
-
-    def encode(self, texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """For every text its ids and the bounds of their pieces in the text's bytes: piece i is bounds[i] to bounds[i + 1].
+
+    def encode(self, text: str) -> tuple[list[int], np.ndarray]:
+        """The ids of a text and the bounds of their pieces in its bytes: piece i is bounds[i] to bounds[i + 1].
 
         The space in front belongs to no byte. The bytes of a character without a piece are pieces of one byte.
         """
-        normal = [self.model.normalised(t) for t in texts]
-        split = [self.words.findall(n) for n, _ in normal]
-        new = list({w for words in split for w in words}.difference(self.known))
-        if len(self.known) + len(new) > REMEMBERED:
-            self.known.clear()
-            new = list({w for words in split for w in words})
-        for at in range(0, len(new), 10_000):
-            self.learn(new[at : at + 10_000])
-        for text, (_, source), words in zip(texts, normal, split, strict=True):
-            ids = np.frombuffer(b"".join(map(self.known.__getitem__, words)), np.uint32)
-            if not self.byte_pieces and (np.array(self.model.kinds)[ids] == UNKNOWN).any():
-                raise ValueError("Spans of unknown characters need a model with byte pieces.")
-            places = np.concatenate([[0], np.cumsum(self.width[ids])])
-            yield ids, (identity(text) if source is None else source)[places]
+        ids = self.library.encode(text)
+        source = self.model.normalised(text)[1]
+        source = identity(text, self.model.prefix) if source is None else source
+        places = np.zeros(len(ids) + 1, np.int64)
+        np.cumsum(self.width[ids], out=places[1:]) if ids else None
+        if places[-1] != len(source) - 1:
+            raise ValueError("The pieces don't cover the normalised text.")
+        return ids, source[places]
 
     def decode(self, ids: list[int]) -> str:
         """The text of ids: pieces joined, bytes put together, the space in front dropped; wrong bytes are U+FFFD."""
@@ -101,7 +79,7 @@ def encode(docs: DataFrame, path: str | None = None) -> DataFrame:
         for batch in batches:
             texts = texts_of(batch)
             for at in range(0, len(texts), 200):
-                ids, bounds = zip(*_encoder(sent).encode(texts[at : at + 200]), strict=True)
+                ids, bounds = zip(*map(_encoder(sent).encode, texts[at : at + 200]), strict=True)
                 parts = [np.concatenate(x) for x in (ids, [b[:-1] for b in bounds], [b[1:] for b in bounds])]
                 flat = pa.StructArray.from_arrays([pa.array(x, f.type) for x, f in zip(parts, span, strict=True)], fields=list(span))
                 offsets = pa.array(np.cumsum([0, *map(len, ids)]), pa.int32())
@@ -123,13 +101,12 @@ def encoded_digests(docs: DataFrame, path: str | None = None) -> DataFrame:
     def columns(texts: list[str]) -> dict[str, pa.Array]:
         encoder = _encoder(sent)
         rows = []
-        for at in range(0, len(texts), 200):
-            for ids, bounds in encoder.encode(texts[at : at + 200]):
-                ids = [*ids.tolist(), encoder.end]
-                written = " ".join(map(encoder.text.__getitem__, ids)).encode()
-                decoded = encoder.decode(ids).encode()
-                covered = int(np.maximum(np.diff(bounds), 0).sum())
-                rows.append((len(ids), hashlib.sha256(written).hexdigest(), hashlib.sha256(decoded).hexdigest(), covered))
+        for text in texts:
+            ids, bounds = encoder.encode(text)
+            ids.append(encoder.end)
+            written = " ".join(map(encoder.text.__getitem__, ids)).encode()
+            decoded = encoder.decode(ids).encode()
+            rows.append((len(ids), hashlib.sha256(written).hexdigest(), hashlib.sha256(decoded).hexdigest(), int(np.diff(bounds).sum())))
         made = list(zip(*rows, strict=True)) or [[]] * 4
         kinds = [pa.int64(), pa.string(), pa.string(), pa.int64()]
         return {n: pa.array(x, k) for n, x, k in zip(("n_tokens", "ids_sha256", "decoded_sha256", "span_bytes"), made, kinds, strict=True)}
