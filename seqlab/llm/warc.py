@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import posixpath
+import re
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -19,7 +20,7 @@ from seqlab.session import land, shared_folder
 LEAST_REVISIT = 1000
 #: Bytes of an archive that one task reads, that are read at once, and that are unpacked at once.
 SPLIT, BLOCK, PIECE = 8 << 20, 1 << 20, 1 << 16
-MEMBER, VERSION = b"\x1f\x8b\x08", b"WARC/1."
+MEMBER, VERSION, LINE = b"\x1f\x8b\x08", b"WARC/1.", re.compile(rb"WARC/1\.\d\r\n")
 RECORD = "path string, start long, stop long, gap string, type string, id string, refers_to string, uri string, digest string, size long, payload binary"
 
 
@@ -158,7 +159,7 @@ class Archive:
         size = length_of(data)
         block = rest[:size]
         fields = dict(line.split(": ", 1) for line in head.decode("utf-8", "replace").split("\r\n")[1:] if ": " in line)
-        if not data.startswith(VERSION) or len(block) < size or rest[size:] != b"\r\n\r\n":
+        if not LINE.match(data) or len(block) < size or rest[size:] != b"\r\n\r\n":
             raise Damage("wrong length")
         if "WARC-Block-Digest" in fields and fields["WARC-Block-Digest"] != "sha1:" + hashlib.sha1(block).hexdigest():
             raise Damage("wrong block digest")
