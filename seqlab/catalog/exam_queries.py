@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seqlab.catalog.base import h, query, randint, table, u, zfill
+from seqlab.catalog.base import h, pick, query, randint, table, u, zfill
 from seqlab.catalog.read_queries import (
     HOST,
     SINGLE_END,
@@ -30,7 +30,7 @@ def md5_of(column: str):
 # --- dataset sheet -------------------------------------------------------------------------------------------
 
 
-@query(f"""
+DATASET_SQL = f"""
 WITH rows AS (SELECT c_name AS sample_name, 'R' || c_custkey AS short_reads, 'GCA_' || c_custkey AS assembly, c_mktsegment AS species,
                      'ST' || c_nationkey AS st, 'Unknown' AS amr, CASE WHEN c_nationkey = 3 THEN 'TRUE' ELSE 'FALSE' END AS use_original_reads
               FROM customer WHERE c_mktsegment = '{SPECIES}'),
@@ -48,7 +48,10 @@ SELECT *, CASE WHEN use_original_reads = 'TRUE' THEN -1 ELSE {randint(40, 60, 'c
        'PASSED' AS qc, 'NONE' AS error, 'None' AS notes,
        public_name || '_R1.fastq.gz' AS r1, public_name || '_R2.fastq.gz' AS r2
 FROM chosen
-""")
+"""
+
+
+@query(DATASET_SQL)
 def dataset_sheet(spark: SparkSession, sf: str) -> DataFrame:
     customers = table(spark, sf, "customer")
     key = F.col("c_custkey").cast("string")
@@ -86,10 +89,11 @@ pool AS (SELECT contaminant, row_number() OVER (ORDER BY {h('pool', 'contaminant
 given AS (SELECT sample_name, contaminant FROM dealt JOIN pool ON slot = (p - 1) % (SELECT count(*) FROM pool) + 1)"""
 TRUNCATE = randint(5, 100, "truncate_length", "sample_name")
 PERCENT = randint(20, 80, "contamination_percent", "sample_name")
+MATES = pick(("r1", "r2", "both"), randint(1, 3, "corrupt mates", "sample_name"))
 MIN_Q, MAX_Q = randint(5, 9, "min_quality", "sample_name"), randint(10, 20, "max_quality", "sample_name")
 
 
-def damaged_sql(names: str, extra_quality: str, own_rule: str, corrupt: str) -> str:
+def damaged_sql(names: str, extra_quality: str, own_rule: str, corrupt: str, hit: str = "") -> str:
     """Host reads of the samples in relation ``params`` (sample_name, ``names``), changed, plus foreign reads."""
     first = h("corrupt read", "sample_id", "pair_id", "1")
     position = randint(1, "length(sequence)", "corrupt base", "sample_id", "pair_id", "1")
@@ -102,7 +106,7 @@ joined AS (SELECT o.sample_id, o.pair_id, o.sequence, o.quality, o.r, p.* EXCLUD
            LEFT JOIN spots ON spots.sample_id = o.sample_id AND spots.pair_id = o.pair_id),
 damaged AS (
   SELECT sample_id, pair_id, 'host' AS origin,
-         CASE WHEN {names} = 'TRUNCATED' THEN substr(sequence, 1, cut) WHEN {names} = '{corrupt}' AND spot THEN {overwritten_sql('sequence', position)}
+         CASE WHEN {names} = 'TRUNCATED' THEN substr(sequence, 1, cut) WHEN {names} = '{corrupt}' AND spot {hit} THEN {overwritten_sql('sequence', position)}
               ELSE sequence END AS sequence,
          CASE WHEN {names} = 'TRUNCATED' THEN substr(quality, 1, cut) {extra_quality} ELSE quality END AS quality
   FROM joined WHERE {own_rule}
@@ -115,8 +119,8 @@ def _error_reads_sql() -> str:
     rule = f"(error <> 'LOW_COVERAGE' OR {u('keep', 'sample_id', 'pair_id')} < fraction) AND (error <> 'CONTAMINATED' OR r <= n_own)"
     return f"""
 WITH {ERROR_SHEET}, {mixing_sql(plan)},
-params AS (SELECT sample_name, error, {TRUNCATE} AS cut, {MIN_Q} AS min_q, {MAX_Q} AS max_q, {fraction_sql('sample_name')} AS fraction FROM labelled),
-{damaged_sql('error', quality, rule, 'CORRUPT')}
+params AS (SELECT sample_name, error, {TRUNCATE} AS cut, {MIN_Q} AS min_q, {MAX_Q} AS max_q, {fraction_sql('sample_name')} AS fraction, {MATES} <> 'r2' AS first_mate FROM labelled),
+{damaged_sql('error', quality, rule, 'CORRUPT', 'AND first_mate')}
 SELECT sample_id, pair_id, origin, md5(sequence) AS sequence_md5, md5(quality) AS quality_md5 FROM damaged"""
 
 
@@ -132,7 +136,7 @@ WITH {ERROR_SHEET}, named AS (SELECT *, 'sample' || {zfill('row_number() OVER (O
 SELECT sample_name, species, public_name, public_name || '_R1.fastq.gz' AS r1, public_name || '_R2.fastq.gz' AS r2,
        CASE WHEN hit THEN 'FAILED' ELSE 'PASSED' END AS qc, error,
        CASE error WHEN 'NONE' THEN 'No changes.' WHEN 'TRUNCATED' THEN 'Truncated reads to ' || {TRUNCATE} || ' bp'
-            WHEN 'CORRUPT' THEN 'Corrupted both reads' WHEN 'CONTAMINATED' THEN 'Contaminated with ' || contaminant || ' at ' || {PERCENT} || '%'
+            WHEN 'CORRUPT' THEN 'Corrupted ' || CASE {MATES} WHEN 'both' THEN 'both reads' ELSE {MATES} END WHEN 'CONTAMINATED' THEN 'Contaminated with ' || contaminant || ' at ' || {PERCENT} || '%'
             WHEN 'POOR_QUALITY' THEN 'Error introduced Quality degraded to ' || {MIN_Q} || '-' || {MAX_Q}
             WHEN 'LOW_COVERAGE' THEN 'Low coverage at ' || round_even({fraction_sql('sample_name')}, 2) END AS notes
 FROM named LEFT JOIN given USING (sample_name)
@@ -141,6 +145,32 @@ def error_answers(spark: SparkSession, sf: str) -> DataFrame:
     return errors.error_answers(document_error_parameters(spark, sf), ["sample_name", "species"])
 
 
+@query(f"""
+WITH made AS ({DATASET_SQL}),
+sheet AS (SELECT * EXCLUDE (sample_name, public_name, qc, error, notes, r1, r2), public_name AS sample_name FROM made),
+labelled AS ({labelled_sql('sheet', 'sample_name')}),
+named AS (SELECT *, 'sample' || {zfill('row_number() OVER (ORDER BY sample_name)', 2)} AS public_name FROM labelled),
+dealt AS (SELECT sample_name, row_number() OVER (ORDER BY {h('deal', 'sample_name')}, sample_name) AS p FROM labelled WHERE error = 'CONTAMINATED'),
+pool AS (SELECT contaminant, row_number() OVER (ORDER BY {h('pool', 'contaminant')}, contaminant) AS slot
+         FROM (SELECT DISTINCT source AS contaminant FROM documents)),
+given AS (SELECT sample_name, contaminant FROM dealt JOIN pool ON slot = (p - 1) % (SELECT count(*) FROM pool) + 1)
+SELECT named.* EXCLUDE (hit, error), public_name || '_R1.fastq.gz' AS r1, public_name || '_R2.fastq.gz' AS r2,
+       CASE WHEN hit THEN 'FAILED' ELSE 'PASSED' END AS qc, error,
+       CASE error WHEN 'NONE' THEN 'No changes.' WHEN 'TRUNCATED' THEN 'Truncated reads to ' || {TRUNCATE} || ' bp'
+            WHEN 'CORRUPT' THEN 'Corrupted ' || CASE {MATES} WHEN 'both' THEN 'both reads' ELSE {MATES} END
+            WHEN 'CONTAMINATED' THEN 'Contaminated with ' || contaminant || ' at ' || {PERCENT} || '%'
+            WHEN 'POOR_QUALITY' THEN 'Error introduced Quality degraded to ' || {MIN_Q} || '-' || {MAX_Q}
+            WHEN 'LOW_COVERAGE' THEN 'Low coverage at ' || round_even({fraction_sql('sample_name')}, 2) END AS notes
+FROM named LEFT JOIN given USING (sample_name)
+""")
+def dataset_to_errors(spark: SparkSession, sf: str) -> DataFrame:
+    """The dataset sheet, with samples that were drawn again, goes on to the error job; sources are the contaminants."""
+    reads = document_reads(spark, sf)
+    sheet, _ = errors.one_output_per_row(dataset_sheet(spark, sf), reads)
+    foes = reads.select(F.col("sample_id").alias("sample_name"), F.lit("other").alias("species"), F.lit("GCA").alias("assembly")).distinct()
+    return errors.error_answers(errors.error_parameters(sheet, foes, 0.6, 42), sheet.columns)
+
+
 # --- titration -----------------------------------------------------------------------------------------------
 
 DOC_SHEET = "doc_sheet AS (SELECT DISTINCT source || '-' || lang AS sample_name, lang AS species, 'ST' || (CAST(substr(source, 4) AS BIGINT) % 7) AS st FROM documents)"
@@ -191,7 +221,8 @@ TYPING = f"""{DOC_SHEET}, own_species AS (SELECT * FROM doc_sheet WHERE species
 per_st AS (SELECT *, row_number() OVER (PARTITION BY st ORDER BY {h('in group', 'sample_name')}, sample_name) AS r FROM own_species),
 chosen AS (SELECT sample_name, species, st FROM per_st WHERE r = 1 ORDER BY {h('groups', 'st')}, st LIMIT 5),
 contigs AS (SELECT source || '-' || lang AS sample_name, doc_id AS contig_index, text AS sequence FROM documents),
-digests AS (SELECT sample_name, md5(bit_xor(CAST('0x' || substr(md5(contig_index || ':' || md5(sequence)), 1, 15) AS BIGINT)) || '|' || count(*)) AS digest
+digests AS (SELECT sample_name, md5(sum(CAST(CAST('0x' || substr(md5(contig_index || ':' || md5(sequence)), 1, 12) AS BIGINT) AS HUGEINT)) || '|' ||
+            sum(CAST(CAST('0x' || substr(md5(contig_index || ':' || md5(sequence)), 13, 12) AS BIGINT) AS HUGEINT)) || '|' || count(*)) AS digest
             FROM contigs JOIN chosen USING (sample_name) GROUP BY sample_name),
 copies AS (SELECT sample_name, 'Sample_' || substr(digest, 1, 8) AS name FROM digests),
 names AS (SELECT sample_name, {COPY} FROM (

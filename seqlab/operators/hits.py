@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from seqlab.operators.positions import rank_by_range
-from seqlab.session import land
 
 FEATURE_TYPE = "gene"
 SOURCE = "seqlab"
@@ -15,10 +14,12 @@ SOURCE = "seqlab"
 def best_hit(hits: DataFrame, locus: str, score: str, ties: list[str]) -> DataFrame:
     """The hit with the highest score per locus; equal scores are settled by the ``ties`` columns, smallest first.
 
+    A hit without a score is no candidate.
+
     ``min_by`` is combined before the shuffle, so a locus with a third of all hits is no hot spot.
     """
     order = F.struct((-F.col(score)).alias("s"), *[F.col(c) for c in ties])
-    return hits.groupBy(locus).agg(F.min_by(F.struct(*[c for c in hits.columns if c != locus]), order).alias("r")).select(
+    return hits.where(F.col(score).isNotNull()).groupBy(locus).agg(F.min_by(F.struct(*[c for c in hits.columns if c != locus]), order).alias("r")).select(
         locus, "r.*"
     )
 
@@ -73,5 +74,5 @@ def sorted_features(features: DataFrame, *order: str) -> DataFrame:
 def annotate(contigs: DataFrame, hits: DataFrame) -> DataFrame:
     """Hit table (12 columns) to numbered features per contig."""
     best = best_hit(hits, "allele", "score", ["contig", "sstart", "send", "qstart", "qend"])
-    features = land(as_features(strand_norm(best, "sstart", "send")), "features")
+    features = as_features(strand_norm(best, "sstart", "send"))
     return contig_features(contigs, features, "contig", "feat_start", ["locus"])

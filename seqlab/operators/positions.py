@@ -35,12 +35,15 @@ def rank_by_range(df: DataFrame, group: list[str], order: list[str], out: str) -
     """Add ``out``: the position of each row in its group, for any order columns that tell all rows apart.
 
     The buckets are Spark's own range partitions over (group, order), so a group, or a run of equal first order
-    values, of any size is spread evenly. The table is landed once to fix the partition numbers.
+    values, of any size is spread evenly. Only these columns are landed, to fix the partition numbers, and ranked;
+    the whole rows are joined with the positions and so shuffled once.
     """
-    ranged = df.repartitionByRange(*group, *order).withColumn("_range", F.spark_partition_id())
-    landed = land(ranged, "ranged")
-    ranked = rank_by_bucket(landed, group, F.col("_range"), [F.col(c) for c in order], out)
-    return ranked.drop("_range")
+    keys = [*group, *order]
+    ranged = df.select(*keys).repartitionByRange(*keys).withColumn("_range", F.spark_partition_id())
+    ranked = rank_by_bucket(land(ranged, "ranged"), group, F.col("_range"), [F.col(c) for c in order], out)
+    named = ranked.select(*[F.col(c).alias(f"_key_{c}") for c in keys], out)
+    same = [df[c].eqNullSafe(named[f"_key_{c}"]) for c in keys]
+    return df.join(named, same).select(*[df[c] for c in df.columns], out)
 
 
 def shuffled_position(df: DataFrame, key: str, seed: int, purpose: str, out: str) -> DataFrame:

@@ -50,6 +50,8 @@ def _quality_letters(h: pa.Array, size: pa.Array, low: pa.Array, high: pa.Array)
         stop = int(ends[last - 1])
         letters[done:stop] = _block_letters(*[c[first:last] for c in columns])
         first, done = last, stop
+    if total >= 1 << 31:
+        raise ValueError("A batch has over 2**31 bases; lower spark.sql.execution.arrow.maxRecordsPerBatch.")
     offsets = np.concatenate([[0], ends]).astype(np.int32)
     return pa.StringArray.from_buffers(len(ends), pa.py_buffer(offsets), pa.py_buffer(letters))
 

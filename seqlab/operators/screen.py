@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 PIECE = 10_000
@@ -34,13 +34,24 @@ def kmer_containment(
     """Share of each sample's distinct k-mers found in each reference set that it shares any with."""
     own = kmers(samples, sample_text, k, sample, scale=scale)
     known = kmers(references, reference_text, k, reference, scale=scale)
-    # One row per reference k-mer with the sets that hold it, so each sample k-mer is looked up once.
-    sets = known.groupBy("kmer").agg(F.array_sort(F.collect_set(reference)).alias("_sets"))
-    grouped = own.join(sets, "kmer", "left").groupBy(sample, "_sets").agg(F.count(F.lit(1)).alias("_n"))
-    totalled = grouped.withColumn("n_kmers", F.sum("_n").over(Window.partitionBy(sample)))
-    shared = totalled.select(sample, "n_kmers", "_n", F.explode("_sets").alias(reference))
+    # Rows, not one array of sets for each k-mer: a k-mer that all sets hold is in as many rows, and both counts combine
+    # before they are shuffled.
+    totals = own.groupBy(sample).agg(F.count(F.lit(1)).alias("n_kmers"))
+    shared = own.join(known, "kmer").groupBy(sample, reference).agg(F.count(F.lit(1)).alias("n_shared"))
     return (
-        shared.groupBy(sample, reference, "n_kmers")
-        .agg(F.sum("_n").alias("n_shared"))
+        shared.join(totals, sample)
+        .select(sample, reference, "n_kmers", "n_shared")
         .withColumn("containment", F.col("n_shared") / F.col("n_kmers"))
     )
+
+
+def encoded_kmers(df: DataFrame, text: str, k: int, *keys: str) -> DataFrame:
+    """Distinct (keys, kmer) of the k-mers of A, C, G and T, each as a number of two bits a base; k is 31 at most.
+
+    Upper case only. A k-mer with any other character is none here: ``kmers`` keeps it as text.
+    """
+    if not 0 < k <= 31:
+        raise ValueError("k is 1 to 31.")
+    found = kmers(df, text, k, *keys).where(F.col("kmer").rlike(f"^[ACGT]{{{k}}}$"))
+    digits = F.conv(F.translate("kmer", "ACGT", "0123"), 4, 10).cast("bigint")
+    return found.select(*keys, digits.alias("kmer"))

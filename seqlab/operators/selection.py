@@ -9,8 +9,9 @@ from seqlab.functions import draw_choice, draw_hash, draw_int, draw_uniform
 from seqlab.operators.positions import shuffled_position
 from seqlab.operators.sampling import proportion_size
 
-# Error names and their chances in the order they are tried.
+# Error names, the mates that corruption may hit, and the chances in the order they are tried.
 ERROR_TYPES = ("TRUNCATED", "CORRUPT", "CONTAMINATED", "POOR_QUALITY", "LOW_COVERAGE")
+CORRUPT_MATES = ("r1", "r2", "both")
 CHANCE_CONTAMINATED = 0.4
 CHANCE_LOW_COVERAGE = 0.2
 
@@ -88,11 +89,11 @@ def error_label(seed: int, key: str) -> Column:
 
 
 def assign_errors(df: DataFrame, key: str, proportion: float, seed: int = 42) -> DataFrame:
-    """Give floor(rows * proportion) samples an error; adds qc, error, notes."""
+    """Give floor(rows * proportion) samples an error; adds qc, error, notes, which replace columns of these names."""
     placed = shuffled_position(df, key, seed, "sample", "_place")
     chosen = F.col("_place") <= proportion_size(df.count(), proportion)
     return placed.select(
-        *df.columns,
+        *[c for c in df.columns if c not in ("qc", "error", "notes")],
         F.when(chosen, F.lit("FAILED")).otherwise(F.lit("PASSED")).alias("qc"),
         F.when(chosen, error_label(seed, key)).otherwise(F.lit("NONE")).alias("error"),
         F.when(chosen, F.lit("Error introduced")).otherwise(F.lit("None")).alias("notes"),

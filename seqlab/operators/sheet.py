@@ -15,9 +15,9 @@ UNKNOWN_PARAMETERS = {"read_length": -1, "platform": "Unknown", "fragment_length
 
 # Columns of the written sheets.
 ANSWER_COLUMNS = (
-    "sample_name short_reads public_name assembly species st random_seed use_original_reads output_dir "
-    "assembly_file r1 r2 coverage read_length platform fragment_length standard_deviation qc error notes read_count"
-).split()
+    "sample_name", "short_reads", "public_name", "assembly", "species", "st", "random_seed", "use_original_reads", "output_dir",
+    "assembly_file", "r1", "r2", "coverage", "read_length", "platform", "fragment_length", "standard_deviation", "qc", "error", "notes", "read_count",
+)
 BLANK_COLUMNS = ("ID", "R1", "R2", "SPECIES", "QC", "ERROR", "ST", "AMR", "Notes")
 BASIC_BLANKS = ("qc", "error", "st", "notes")
 TYPING_BLANKS = ("st", "k_locus", "capsule_type", "wzi", "o_locus", "o_type", "bla_carb")
@@ -87,13 +87,14 @@ def digest_name(digest, suffix: str = "") -> Column:
 def content_digest(rows: DataFrame, sample: str, index: str, content: str) -> DataFrame:
     """(sample, digest): one md5 over all numbered pieces of each sample.
 
-    The pieces are hashed where they are and combined by exclusive or, so neither the pieces nor their digests
-    are gathered in one task.
+    The pieces are hashed where they are and their hashes added up in two halves, so neither the pieces nor their digests
+    are gathered in one task, and equal pieces don't cancel out. It is not the md5 of a file.
     """
     piece = F.md5(F.concat(F.col(index).cast("string"), F.lit(":"), F.md5(F.col(content).cast("binary"))))
-    number = F.conv(F.substring(piece, 1, 15), 16, 10).cast("bigint")
-    folded = rows.groupBy(sample).agg(F.bit_xor(number).alias("_x"), F.count(F.lit(1)).alias("_n"))
-    return folded.select(sample, F.md5(F.concat_ws("|", F.col("_x").cast("string"), F.col("_n").cast("string"))).alias("digest"))
+    halves = {f"_s{i}": F.sum(F.conv(F.substring(piece, 1 + 12 * i, 12), 16, 10).cast("decimal(38,0)")) for i in range(2)}
+    folded = rows.groupBy(sample).agg(*[v.alias(k) for k, v in halves.items()], F.count(F.lit(1)).alias("_n"))
+    text = F.concat_ws("|", *[F.col(c).cast("string") for c in ("_s0", "_s1", "_n")])
+    return folded.select(sample, F.md5(text.cast("binary")).alias("digest"))
 
 
 def digest_names(df: DataFrame, digest: str, key: str, suffix: str = "", out: str = "public_name") -> DataFrame:

@@ -39,8 +39,22 @@ def corrupt_targets(reads: DataFrame, samples: DataFrame, seed: int) -> DataFram
     return chosen.groupBy("sample_id").agg(*picks)
 
 
-def damage_reads(reads: DataFrame, params: DataFrame, seed: int, marker: str = "\x00") -> DataFrame:
-    """Reads of the samples in ``params`` (sample_id and the damage columns), changed; ``origin`` is host."""
+def damage_reads(
+    reads: DataFrame, params: DataFrame, seed: int, marker: str = "\x00", degrade: bool = True, mates: tuple[int, ...] = (1, 2)
+) -> DataFrame:
+    """Reads of the samples in ``params`` (sample_id and the damage columns), changed; ``origin`` is host.
+
+    Only the reads of samples that have a min_q go through Python for their qualities, and none without ``degrade``.
+    Truncation hits the given ``mates``.
+    """
+    if degrade:
+        poor = F.col("min_q").isNotNull()
+        low, rest = params.where(poor), params.where(~poor)
+        return _damaged(reads, low, seed, marker, True, mates).unionByName(_damaged(reads, rest, seed, marker, False, mates))
+    return _damaged(reads, params, seed, marker, False, mates)
+
+
+def _damaged(reads: DataFrame, params: DataFrame, seed: int, marker: str, degrade: bool, mates: tuple[int, ...]) -> DataFrame:
     joined = reads.join(params.select("sample_id", *DAMAGE), "sample_id")
     fraction_ok = F.col("keep_fraction").isNull() | (
         draw_uniform(seed, "keep", "sample_id", "pair_id") < F.col("keep_fraction")
@@ -50,19 +64,22 @@ def damage_reads(reads: DataFrame, params: DataFrame, seed: int, marker: str = "
 
     sequence, quality = F.col("sequence"), F.col("quality")
     h = draw_hash(seed, "quality", "sample_id", "pair_id", "mate")
-    quality = (
-        F.when(F.col("min_q").isNotNull(), degraded_quality(sequence, h, F.col("min_q"), F.col("max_q")))
-        .when(F.col("decrement").isNotNull(), decremented_quality(quality, F.col("decrement")))
-        .when(F.col("truncate_to").isNotNull(), truncated(quality, F.col("truncate_to")))
-        .otherwise(quality)
-    )
+    cut = F.col("truncate_to").isNotNull() & F.col("mate").isin(*mates)
+    if degrade:
+        quality = degraded_quality(sequence, h, F.col("min_q"), F.col("max_q"))
+    else:
+        quality = (
+            F.when(F.col("decrement").isNotNull(), decremented_quality(quality, F.col("decrement")))
+            .when(cut, truncated(quality, F.col("truncate_to")))
+            .otherwise(quality)
+        )
     hit = ((F.col("mate") == 1) & (F.col("pair_id") == F.col("corrupt_r1"))) | (
         (F.col("mate") == 2) & (F.col("pair_id") == F.col("corrupt_r2"))
     )
     size = F.length("sequence")
     position = scale_hash(draw_hash(seed, "corrupt base", "sample_id", "pair_id", "mate"), 1, size)
     sequence = (
-        F.when(F.col("truncate_to").isNotNull(), truncated(sequence, F.col("truncate_to")))
+        F.when(cut, truncated(sequence, F.col("truncate_to")))
         .when(hit & (size > 0), overwritten(sequence, position, marker))
         .otherwise(sequence)
     )

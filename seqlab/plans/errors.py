@@ -7,37 +7,68 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from seqlab.functions import draw_choice
 from seqlab.operators.joins import contaminant_pool
 from seqlab.operators.mixing import own_group, plan_mixture
-from seqlab.operators.selection import assign_errors, deal_pool, drawn_fraction, drawn_parameter
+from seqlab.operators.selection import CORRUPT_MATES, assign_errors, deal_pool, drawn_fraction, drawn_parameter
 from seqlab.operators.sheet import blank_sheet, number_samples
 from seqlab.plans.damage import corrupt_targets, damage_columns, damage_reads, with_foreign_reads
 from seqlab.session import land
-from seqlab.sources.sinks import write_fasta, write_fastq, write_sheet
+from seqlab.sources.sinks import write_contig_files, write_read_files, write_sheet
 
 
 @dataclass
 class Exam:
-    """Reads (or contigs), the answer sheet, and the participant's sheet of one exam."""
+    """Reads (or contigs), the answer sheet, and the participant's sheet of one exam.
+
+    names: (sample_id, public_name) of the reads if they are under the hidden names; corrupt: (sample_id, mate) of the read files
+    that are to be damaged, by the name in ``reads``.
+    """
 
     reads: DataFrame
     answers: DataFrame
     blank: DataFrame
+    names: DataFrame | None = None
+    corrupt: DataFrame | None = None
+
+    def published(self, table: DataFrame) -> DataFrame:
+        """A table of sample_ids under the public names."""
+        if self.names is None:
+            return table
+        return table.join(self.names, "sample_id").drop("sample_id").withColumnRenamed("public_name", "sample_id")
 
-    def write(self, path: str) -> None:
+    def write(self, path: str, seed: int = 42) -> None:
+        """The files that the sheets name, in ``reads`` or ``contigs``, and the sheets; no path holds a hidden name or an origin."""
         if "contig_name" in self.reads.columns:
-            write_fasta(self.reads, f"{path}/contigs")
+            write_contig_files(self.published(self.reads), f"{path}/contigs")
         else:
-            write_fastq(self.reads, f"{path}/reads")
+            corrupt = None if self.corrupt is None else self.published(self.corrupt)
+            write_read_files(self.published(self.reads), f"{path}/reads", corrupt, seed)
         write_sheet(self.answers, f"{path}/answer_sheet", order_by="public_name")
         first = self.blank.columns[0]
         write_sheet(self.blank, f"{path}/sample_sheet", order_by=first)
 
 
-def error_parameters(sheet: DataFrame, contaminants: DataFrame, proportion: float, seed: int) -> DataFrame:
-    """Sheet with public name, error, drawn parameters and, for contaminated samples, the contaminant."""
+def one_output_per_row(sheet: DataFrame, reads: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """A dataset sheet and its reads for ``introduce_errors``: every row has its own name, and its own copy of the reads.
+
+    ``sheet`` has sample_name, which may repeat, and public_name, which does not and becomes the sample_name.
+    """
+    copies = sheet.select(F.col("sample_name").alias("sample_id"), F.col("public_name").alias("_copy"))
+    own = reads.join(copies, "sample_id").withColumn("sample_id", F.col("_copy")).select(*reads.columns)
+    return sheet.withColumn("sample_name", F.col("public_name")).drop("public_name"), own
+
+
+def error_parameters(sheet: DataFrame, contaminants: DataFrame, proportion: float, seed: int, order_by: str = "sample_name") -> DataFrame:
+    """Sheet with public name, error, drawn parameters and, for contaminated samples, the contaminant.
+
+    Public names follow ``order_by``, a unique column of the sheet. Reads are found by sample_name, so it must not repeat.
+    """
+    twice = sheet.groupBy("sample_name").count().where("count > 1").first()
+    if twice:
+        raise ValueError(f"Sample {twice['sample_name']} occurs {twice['count']} times; see one_output_per_row.")
     pool = land(contaminant_pool(contaminants, sheet).select(F.col("sample_name").alias("contaminant")), "pool")
-    labelled = assign_errors(number_samples(sheet, "sample_name"), "sample_name", proportion, seed)
+    labelled = assign_errors(number_samples(sheet.drop("public_name"), order_by), "sample_name", proportion, seed)
     contaminated = labelled.where(F.col("error") == "CONTAMINATED").select("sample_name")
     dealt = deal_pool(contaminated, "sample_name", pool, "contaminant", seed, "No contaminants found in the contamination list.")
     draws = {
@@ -45,7 +76,8 @@ def error_parameters(sheet: DataFrame, contaminants: DataFrame, proportion: floa
         for name in ("truncate_length", "contamination_percent", "min_quality", "max_quality")
     }
     given = labelled.join(dealt, "sample_name", "left")
-    return land(given.withColumns({**draws, "fraction": drawn_fraction(seed, "sample_name")}), "parameters")
+    given = given.withColumns({**draws, "fraction": drawn_fraction(seed, "sample_name")})
+    return land(given.withColumn("corrupt_mates", draw_choice(CORRUPT_MATES, seed, "corrupt mates", "sample_name")), "parameters")
 
 
 def error_notes() -> Column:
@@ -54,7 +86,7 @@ def error_notes() -> Column:
     return (
         F.when(error == "NONE", F.lit("No changes."))
         .when(error == "TRUNCATED", F.format_string("Truncated reads to %d bp", "truncate_length"))
-        .when(error == "CORRUPT", F.lit("Corrupted both reads"))
+        .when(error == "CORRUPT", F.concat(F.lit("Corrupted "), F.when(F.col("corrupt_mates") == "both", F.lit("both reads")).otherwise(F.col("corrupt_mates"))))
         .when(error == "CONTAMINATED", F.format_string("Contaminated with %s at %d%%", "contaminant", "contamination_percent"))
         .when(
             error == "POOR_QUALITY",
@@ -70,9 +102,10 @@ def two_places(value: Column) -> Column:
 
 
 def error_answers(params: DataFrame, columns: list[str]) -> DataFrame:
-    """The answer sheet: the sheet's own columns, public name, file names, verdict and note."""
+    """The answer sheet: the sheet's own columns, public name, file names, verdict and note; these win over the sheet's."""
+    made = {"public_name", "r1", "r2", "qc", "error", "notes"}
     return params.withColumn("notes", error_notes()).select(
-        *columns,
+        *[c for c in columns if c not in made],
         "public_name",
         F.concat("public_name", F.lit("_R1.fastq.gz")).alias("r1"),
         F.concat("public_name", F.lit("_R2.fastq.gz")).alias("r2"),
@@ -110,8 +143,8 @@ def damaged_reads(
                 keep_fraction=only("LOW_COVERAGE", "fraction"),
                 cut_h=F.col("cut_h"),
                 cut_key=F.col("cut_key"),
-                corrupt_r1=F.col("pick_r1"),
-                corrupt_r2=F.col("pick_r2"),
+                corrupt_r1=F.when(F.col("corrupt_mates") != "r2", F.col("pick_r1")),
+                corrupt_r2=F.when(F.col("corrupt_mates") != "r1", F.col("pick_r2")),
             ),
         ),
         "damage",
@@ -127,12 +160,16 @@ def introduce_errors(
     proportion: float = 0.6,
     seed: int = 42,
     first: str | None = None,
+    order_by: str = "sample_name",
 ) -> Exam:
     """Damage the reads of a share of the samples and write down what was done.
 
     sheet: sample_name, species, ... (sample_name is the sample_id of ``reads``); contaminants: sample_name,
     species, assembly; foreign_reads: reads whose sample_id is a contaminant's sample_name.
     """
-    params = error_parameters(sheet, contaminants, proportion, seed)
+    params = error_parameters(sheet, contaminants, proportion, seed, order_by)
     answers = error_answers(params, sheet.columns)
-    return Exam(damaged_reads(reads, foreign_reads, params, seed, first), answers, blank_sheet(answers))
+    mates = F.when(F.col("corrupt_mates") == "both", F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.substring("corrupt_mates", 2, 1).cast("int")))
+    corrupt = params.where(F.col("error") == "CORRUPT").select(F.col("sample_name").alias("sample_id"), F.explode(mates).alias("mate"))
+    names = params.select(F.col("sample_name").alias("sample_id"), "public_name")
+    return Exam(damaged_reads(reads, foreign_reads, params, seed, first), answers, blank_sheet(answers), names, corrupt)

@@ -122,7 +122,7 @@ def assembly_reads(
         ),
         "damage",
     )
-    return with_foreign_reads(damage_reads(reads, damage, seed), foreign_reads, mixture.cuts, seed)
+    return with_foreign_reads(damage_reads(reads, damage, seed, degrade=False), foreign_reads, mixture.cuts, seed)
 
 
 def assembly_exam(
@@ -141,7 +141,9 @@ def assembly_exam(
     """
     params = assembly_parameters(samples, contaminant, labels, seed)
     answers = assembly_answers(params)
-    return Exam(assembly_reads(reads, foreign_reads, params, seed, first), answers, blank_sheet(answers, "basic"))
+    names = params.select(F.col("sample_name").alias("sample_id"), "public_name")
+    corrupt = params.where(F.col("label") == "CORRUPTED").select(F.col("sample_name").alias("sample_id"), F.explode(F.array(F.lit(1), F.lit(2))).alias("mate"))
+    return Exam(assembly_reads(reads, foreign_reads, params, seed, first), answers, blank_sheet(answers, "basic"), names, corrupt)
 
 
 def choose_tree(trees: DataFrame, tables: DataFrame, stem: str, seed: int = 42) -> DataFrame:

@@ -27,11 +27,16 @@ def build_session(app: str = "seqlab", cores: str | int = "*", shuffle_partition
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``; a fresh scratch folder in local mode only."""
+    """The folder named by ``spark.checkpoint.dir``; a fresh scratch folder if that is unset and all threads are in this process.
+
+    A folder that is named is taken to be shared, whatever its scheme: a mounted one has none. Any master but ``local`` and
+    ``local[...]``, an unknown one too, needs the setting.
+    """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
-    if not spark.conf.get("spark.master", "local").startswith("local"):
+    master = spark.conf.get("spark.master", "")
+    if master != "local" and not master.startswith("local["):
         raise ValueError("Set spark.checkpoint.dir to a folder that all executors share.")
     app = spark.conf.get("spark.app.id", "local")
     if app not in _local_scratch:
@@ -47,6 +52,17 @@ def land(df: DataFrame, name: str) -> DataFrame:
     ``spark.sql.autoBroadcastJoinThreshold`` and is a shuffled, skew-split join above it.
     """
     spark = df.sparkSession
-    path = f"{shared_folder(spark)}/seqlab/{name}-{uuid.uuid4().hex}"
+    path = f"{landing_folder(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def landing_folder(spark: SparkSession) -> str:
+    """Where this application lands its tables."""
+    return f"{shared_folder(spark)}/seqlab/{spark.conf.get('spark.app.id', 'local')}"
+
+
+def release(spark: SparkSession) -> None:
+    """Delete all that this application has landed; results that still depend on it can no longer be computed."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(landing_folder(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

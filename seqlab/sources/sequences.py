@@ -12,7 +12,7 @@ import gzip
 import io
 import os
 import re
-from urllib.parse import unquote
+from urllib.parse import quote, unquote
 
 import pyarrow as pa
 import pyarrow.fs as pafs
@@ -25,7 +25,10 @@ from seqlab.session import land
 BLOCK_CHARS = 8 << 20
 PARTITION_BYTES = 128 << 20
 CHUNK_SHIFT = 32
-SEQUENCE_FILE = re.compile(r"\.(fastq|fq|fasta|fna|fa|txt)(\.gz)?$", re.IGNORECASE)
+CONTIGS_SHIFT = 12
+# The names of either format; part files of a text writer count for both, as they are in folders of one kind.
+FASTQ_FILE = re.compile(r"\.(fastq|fq)(\.gz)?$|^part-.*\.txt(\.gz)?$", re.IGNORECASE)
+FASTA_FILE = re.compile(r"\.(fasta|fna|fa)(\.gz)?$|^part-.*\.txt(\.gz)?$", re.IGNORECASE)
 MATE_FILE = re.compile(r"^(?P<sample>.+?)[._]R?(?P<mate>[12])(_001)?$")
 FASTQ_SCHEMA = pa.schema(
     [
@@ -50,12 +53,16 @@ class Files(InputPartition):
 
 def _filesystem(path: str):
     if "://" in path or path.startswith("file:"):
-        return pafs.FileSystem.from_uri(path)
+        scheme, _, rest = path.partition(":")
+        return pafs.FileSystem.from_uri(f"{scheme}:{quote(rest, safe="/:@[],=+&;!$'()*~")}")  # Spark lists paths as they are
     return pafs.LocalFileSystem(), os.path.abspath(path)
 
 
-def list_files(path: str) -> list[tuple[str, int]]:
-    """(path, bytes) of the sequence files of a file, a folder (searched fully) or a glob, sorted."""
+def list_files(path: str, names: re.Pattern) -> list[tuple[str, int]]:
+    """(path, bytes) of a file, of the files of a glob, or of those in a folder (searched fully) with such names, sorted.
+
+    A folder without any is an error.
+    """
     fs, inner = _filesystem(path)
     scheme = path[: len(path) - len(inner)] if path.endswith(inner) else ""
     if any(mark in inner for mark in "*?["):
@@ -70,7 +77,9 @@ def list_files(path: str) -> list[tuple[str, int]]:
             found = [info]
         else:
             infos = fs.get_file_info(pafs.FileSelector(inner, recursive=True))
-            found = [i for i in infos if i.is_file and SEQUENCE_FILE.search(i.path)]
+            found = [i for i in infos if i.is_file and names.search(os.path.basename(i.path))]
+            if not found:
+                raise FileNotFoundError(f"No sequence files of this format in {path}")
     return sorted((scheme + i.path, i.size) for i in found if not os.path.basename(i.path).startswith(("_", ".")))
 
 
@@ -81,31 +90,36 @@ def open_text(path: str):
     return io.TextIOWrapper(io.BufferedReader(stream, 1 << 20), encoding="utf-8")
 
 
-def name_parts(path: str) -> tuple[str, int, int]:
-    """(sample, mate, chunk) from sample_id=/mate=/origin=/chunk= folders or from the file name."""
+def name_parts(path: str, paired: bool = True) -> tuple[str, int, int]:
+    """(sample, mate, chunk) from sample_id=/mate=/chunk= folders or from the file name.
+
+    Only names of ``paired`` files may end in a mate number; elsewhere a number is part of the name.
+    """
     folders = dict(part.split("=", 1) for part in path.split("/")[:-1] if "=" in part)
-    stem = SEQUENCE_FILE.sub("", path.rsplit("/", 1)[-1])
-    match = MATE_FILE.match(stem)
+    stem = (FASTQ_FILE if paired else FASTA_FILE).sub("", path.rsplit("/", 1)[-1])
+    match = MATE_FILE.match(stem) if paired else None
     sample = unquote(folders["sample_id"]) if "sample_id" in folders else (match["sample"] if match else stem)
     mate = int(folders["mate"]) if "mate" in folders else (int(match["mate"]) if match else 1)
-    chunk = int(folders.get("chunk", 0))
-    if "origin" in folders:
-        chunk = chunk * 2 + (folders["origin"] == "host")
-    return sample, mate, chunk
+    return sample, mate, int(folders.get("chunk", 0))
 
 
 class SequenceReader(DataSourceReader):
-    def __init__(self, options, schema: pa.Schema, parse):
+    def __init__(self, options, schema: pa.Schema, parse, paired: bool):
         self.path = options.get("path")
         if not self.path:
             raise ValueError("A path is required.")
         self.bytes = int(options.get("partitionBytes", PARTITION_BYTES))
-        self.schema, self.parse = schema, parse
+        self.schema, self.parse, self.paired = schema, parse, paired
 
     def partitions(self):
         packs: list[list[str]] = []
         room = 0
-        for path, size in list_files(self.path):
+        seen: dict[tuple, str] = {}
+        for path, size in list_files(self.path, FASTQ_FILE if self.paired else FASTA_FILE):
+            key = name_parts(path, self.paired)
+            if key in seen:
+                raise ValueError(f"{seen[key]} and {path} are both files of sample {key[0]}, mate {key[1]}, chunk {key[2]}.")
+            seen[key] = path
             if not packs or size > room:
                 packs.append([])
                 room = self.bytes
@@ -153,8 +167,9 @@ def fastq_blocks(path: str, lines):
 
 def fasta_blocks(path: str, lines):
     """Column lists of contigs with at least one base; sequence lines are joined."""
-    sample = name_parts(path)[0]
-    names, contigs, number, held = [], [], 0, 0
+    sample, _, chunk = name_parts(path, paired=False)
+    # A written chunk holds the indices from chunk * 4096 on; those of chunk 0 start with 1.
+    names, contigs, number, held = [], [], max((chunk << CONTIGS_SHIFT) - 1, 0), 0
     name, parts = "", []
 
     def close():
@@ -193,7 +208,7 @@ class FastqSource(DataSource):
         return "sample_id string, pair_id bigint, mate int, header string, sequence string, plus string, quality string"
 
     def reader(self, schema):
-        return SequenceReader(self.options, FASTQ_SCHEMA, fastq_blocks)
+        return SequenceReader(self.options, FASTQ_SCHEMA, fastq_blocks, True)
 
 
 class FastaSource(DataSource):
@@ -205,7 +220,7 @@ class FastaSource(DataSource):
         return "sample_id string, contig_index bigint, contig_name string, sequence string"
 
     def reader(self, schema):
-        return SequenceReader(self.options, FASTA_SCHEMA, fasta_blocks)
+        return SequenceReader(self.options, FASTA_SCHEMA, fasta_blocks, False)
 
 
 def register(spark: SparkSession) -> SparkSession:

@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import uuid
+
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from seqlab.functions import div
+from seqlab.session import land, landing_folder
+from seqlab.sources.files import folder_listing, join_files
 
 CHUNK_PAIRS = 4_000_000
+CONTIGS_SHIFT = 12
 
 
 def write_sheet(df: DataFrame, path: str, columns: list[str] | None = None, order_by: str | None = None) -> None:
@@ -23,13 +28,17 @@ def write_sheet(df: DataFrame, path: str, columns: list[str] | None = None, orde
 def write_fastq(reads: DataFrame, path: str, chunk_pairs: int = CHUNK_PAIRS, compression: str = "gzip") -> None:
     """Folders sample_id=/mate=/chunk= of FASTQ text, both mates in the same record order.
 
-    A chunk holds the pair ids of one range, so a sample of any size is spread over many tasks and files. Reads
-    with an ``origin`` column get a folder level for it; in name order contaminant comes before host.
+    A chunk holds the pair ids of one range, so a sample of any size is spread over many tasks and files. With an
+    ``origin`` column, the chunks of contaminant reads come before those of host reads; nothing in a path tells which
+    is which. Chunks are numbered 0, 1, 2, ... in each sample, so reading and writing again does not raise the numbers.
     """
-    folders = ["sample_id", "mate", *(["origin"] if "origin" in reads.columns else []), "chunk"]
-    records = reads.withColumn("chunk", div(F.col("pair_id"), F.lit(chunk_pairs))).select(
-        *folders, "pair_id", F.concat_ws("\n", "header", "sequence", "plus", "quality").alias("value")
-    )
+    host = (F.col("origin") == "host").cast("int") if "origin" in reads.columns else F.lit(0)
+    placed = reads.withColumns({"_part": host, "_range": div(F.col("pair_id"), F.lit(chunk_pairs))})
+    ranges = placed.select("sample_id", "_part", "_range").distinct()
+    number = F.row_number().over(Window.partitionBy("sample_id").orderBy("_part", "_range")) - 1
+    numbered = placed.join(land(ranges.withColumn("chunk", number), "chunks"), ["sample_id", "_part", "_range"])
+    folders = ["sample_id", "mate", "chunk"]
+    records = numbered.select(*folders, "pair_id", F.concat_ws("\n", "header", "sequence", "plus", "quality").alias("value"))
     (
         records.repartition(*folders)
         .sortWithinPartitions(*folders, "pair_id")
@@ -40,11 +49,30 @@ def write_fastq(reads: DataFrame, path: str, chunk_pairs: int = CHUNK_PAIRS, com
     )
 
 
+def write_read_files(reads: DataFrame, path: str, corrupt: DataFrame | None = None, seed: int = 42, chunk_pairs: int = CHUNK_PAIRS) -> DataFrame:
+    """One file <sample_id>_R<mate>.fastq.gz for each sample and mate; returns the table of files that were written.
+
+    The chunks are written by many tasks and joined as the members of one gzip file. Of the (sample_id, mate) in
+    ``corrupt`` one byte of the file is overwritten.
+    """
+    staged = f"{landing_folder(reads.sparkSession)}/fastq-{uuid.uuid4().hex}"
+    write_fastq(reads, staged, chunk_pairs)
+    files = folder_listing(reads.sparkSession, staged, "sample_id", "mate", "chunk")
+    target = F.concat("sample_id", F.lit("_R"), F.col("mate").cast("int").cast("string"), F.lit(".fastq.gz"))
+    files = files.withColumn("target", target)
+    if corrupt is not None:
+        chosen = corrupt.select("sample_id", F.col("mate").cast("string").alias("mate"), F.lit(True).alias("corrupt")).distinct()
+        files = files.join(chosen, ["sample_id", "mate"], "left")
+    else:
+        files = files.withColumn("corrupt", F.lit(None).cast("boolean"))
+    return join_files(files, path, seed)
+
+
 def write_fasta(contigs: DataFrame, path: str, name: str = "contig_name", compression: str = "none") -> None:
     """Folders sample_id=/chunk= of FASTA text in contig order, under the given contig names."""
     records = contigs.select(
         "sample_id",
-        F.shiftright(F.col("contig_index").cast("bigint"), 12).alias("chunk"),
+        F.shiftright(F.col("contig_index").cast("bigint"), CONTIGS_SHIFT).alias("chunk"),
         "contig_index",
         F.concat(F.lit(">"), F.col(name), F.lit("\n"), F.col("sequence")).alias("value"),
     )
@@ -56,3 +84,12 @@ def write_fasta(contigs: DataFrame, path: str, name: str = "contig_name", compre
         .partitionBy("sample_id", "chunk")
         .text(path, compression=compression)
     )
+
+
+def write_contig_files(contigs: DataFrame, path: str, name: str = "contig_name") -> DataFrame:
+    """One file <sample_id>.fasta for each sample; returns the table of files that were written."""
+    staged = f"{landing_folder(contigs.sparkSession)}/fasta-{uuid.uuid4().hex}"
+    write_fasta(contigs, staged, name)
+    files = folder_listing(contigs.sparkSession, staged, "sample_id", "chunk")
+    named = files.withColumns({"target": F.concat("sample_id", F.lit(".fasta")), "corrupt": F.lit(None).cast("boolean")})
+    return join_files(named, path)

@@ -15,9 +15,13 @@ HITS_SCHEMA = (
 )
 
 
-def read_sheet(spark: SparkSession, path, sep: str = ",") -> DataFrame:
-    """A sheet with a header; every column is text, and empty fields are NULL."""
-    return spark.read.csv(path, header=True, inferSchema=False, sep=sep, quote='"', escape='"')
+def read_sheet(spark: SparkSession, path, sep: str = ",", order: str | None = None) -> DataFrame:
+    """A sheet with a header; every column is text, and empty fields are NULL.
+
+    ``order`` names a column to add that grows along the rows of the sheet.
+    """
+    sheet = spark.read.csv(path, header=True, inferSchema=False, sep=sep, quote='"', escape='"')
+    return sheet.withColumn(order, F.monotonically_increasing_id()) if order else sheet
 
 
 def read_first_row(spark: SparkSession, path, sep: str = "\t") -> DataFrame:

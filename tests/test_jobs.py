@@ -1,3 +1,4 @@
+import gzip
 from collections import Counter
 
 import pytest
@@ -6,6 +7,7 @@ from pyspark.sql import functions as F
 from seqlab.plans import errors, exams, titration
 from seqlab.plans.damage import DAMAGE
 from seqlab.session import land
+from seqlab.sources import read_sheet
 from seqlab.streaming import damage_stream, land_stream
 
 FIRST = "mate = 1"
@@ -47,7 +49,8 @@ def test_introduce_errors(spark, tmp_path, sheet, contaminants, make_reads):
             n = int(answer.notes.split()[-2])
             assert all(len(r.sequence) == len(r.quality) == min(n, 12) for r in mine)
         elif answer.error == "CORRUPT":
-            assert Counter(r.mate for r in mine if "\x00" in r.sequence) == {1: 1, 2: 1}
+            hit = {"both reads": {1: 1, 2: 1}, "r1": {1: 1}, "r2": {2: 1}}[answer.notes.removeprefix("Corrupted ")]
+            assert Counter(r.mate for r in mine if "\x00" in r.sequence) == hit
         elif answer.error == "CONTAMINATED":
             percent = int(answer.notes.split()[-1][:-1])
             origin = Counter(r.origin for r in mine if r.mate == 1)
@@ -62,7 +65,20 @@ def test_introduce_errors(spark, tmp_path, sheet, contaminants, make_reads):
 
     exam.write(str(tmp_path / "exam"))
     back = spark.read.format("fastq").load(str(tmp_path / "exam" / "reads"))
-    assert back.count() == len(rows)
+    corrupt = {(r.sample_id, r.mate) for r in exam.published(exam.corrupt).collect()}
+    names = {r.public_name: r.sample_name for r in exam.answers.collect()}
+    by_name = Counter((r.sample_id, r.mate) for r in rows)
+    for sheet in ("answer_sheet", "sample_sheet"):
+        for row in read_sheet(spark, str(tmp_path / "exam" / sheet)).collect():
+            public, *files = (row[c] for c in (("public_name", "r1", "r2") if sheet == "answer_sheet" else ("ID", "R1", "R2")))
+            for mate, file in zip((1, 2), files):
+                path = tmp_path / "exam" / "reads" / file
+                assert path.exists() and file == f"{public}_R{mate}.fastq.gz"
+                if (public, mate) not in corrupt:
+                    assert gzip.open(path, "rt").read().count("\n") == 4 * by_name[names[public], mate]
+    paths = " ".join(str(p.relative_to(tmp_path)) for p in (tmp_path / "exam" / "reads").rglob("*"))
+    assert "origin" not in paths and "host" not in paths and not any(f"{n}_" in paths for n in names.values())
+    assert set(back.columns) == {"sample_id", "pair_id", "mate", "header", "sequence", "plus", "quality"}
 
 
 def test_result_does_not_depend_on_partitions_or_order(spark, sheet, contaminants, make_reads):
@@ -74,6 +90,40 @@ def test_result_does_not_depend_on_partitions_or_order(spark, sheet, contaminant
     assert results[0] == results[1]
 
 
+def test_order_of_the_sheet(spark, contaminants):
+    sheet = spark.createDataFrame([(0, "z_last", "sp1"), (1, "a_first", "sp1"), (2, "m", "sp1")], "place long, sample_name string, species string")
+    named = errors.error_parameters(sheet, contaminants, 0.0, 42, order_by="place").collect()
+    assert {r.sample_name: r.public_name for r in named} == {"z_last": "sample01", "a_first": "sample02", "m": "sample03"}
+
+
+def test_repeated_names(spark, sheet, contaminants, make_reads):
+    twice = sheet.union(sheet.limit(1))
+    with pytest.raises(ValueError, match="s00 occurs 2 times"):
+        errors.error_parameters(twice, contaminants, 0.6, 42)
+    rows = [("s00", "s00", "sp1", "x"), ("s00", "s00_1", "sp1", "x"), ("s01", "s01", "sp1", "x")]
+    made = spark.createDataFrame(rows, "sample_name string, public_name string, species string, qc string")
+    one, reads = errors.one_output_per_row(made, make_reads({"s00": 10, "s01": 7}))
+    exam = errors.introduce_errors(reads, one, contaminants, make_reads({"x": 5, "y": 5}), 0.0, 42, FIRST)
+    assert Counter(r.sample_id for r in exam.reads.collect()) == {"s00": 20, "s00_1": 20, "s01": 14}
+    assert exam.answers.columns.count("qc") == 1 and exam.answers.count() == 3
+
+
+def test_other_exams_are_written_under_public_names(spark, tmp_path, sheet, make_reads):
+    reads = make_reads({f"s{i:02}": 20 for i in range(6)})
+    samples = sheet.limit(6).withColumns({"public_name": F.concat(F.lit("P"), "sample_name"), "assembly_file": F.lit("")})
+    contaminant = spark.createDataFrame([("x",)], "sample_name string")
+    labels = {"CONTAMINATED": 1, "CORRUPTED": 1}
+    exam = exams.assembly_exam(reads, samples, contaminant, make_reads({"x": 20}), labels, 42, FIRST)
+    plan = exam.reads._jdf.queryExecution().toString()
+    assert "ArrowEvalPython" not in plan
+    exam.write(str(tmp_path / "a"))
+    assert sorted(p.name for p in (tmp_path / "a" / "reads").glob("P*")) == sorted(f"Ps{i:02}_R{m}.fastq.gz" for i in range(6) for m in (1, 2))
+    other = spark.createDataFrame([("o1", "sp9", "ST1")], sheet.schema)
+    steps = titration.titration(make_reads({f"s{i:02}": 20 for i in range(24)} | {"o1": 20}), sheet.unionByName(other), "sp1", "Species", 3, 42, FIRST)
+    steps.write(str(tmp_path / "t"))
+    assert sorted(p.name for p in (tmp_path / "t" / "reads").glob("s*")) == [f"sample0{i}_R{m}.fastq.gz" for i in (1, 2, 3) for m in (1, 2)]
+
+
 def test_no_contaminant_is_an_error(spark, sheet, contaminants):
     with pytest.raises(ValueError, match="No contaminants found in the contamination list."):
         errors.error_parameters(sheet, contaminants.where("species = 'sp1'"), 0.6, 42)
@@ -172,3 +222,5 @@ def test_exam_set(spark, tmp_path, make_reads):
     assert errors_seen == {"NONE": 15, "CONTAMINATED": 2, "DEGRADED": 1, "TRUNCATED": 1, "LOW_COVERAGE": 1}
     exams_by_name["typing_practice"].write(str(tmp_path / "t"))
     assert spark.read.format("fasta").load(str(tmp_path / "t" / "contigs")).count() == 5
+    fastas = {r.fasta for r in exams_by_name["typing_practice"].blank.collect()}
+    assert fastas == {p.name for p in (tmp_path / "t" / "contigs").glob("S*")}

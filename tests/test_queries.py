@@ -5,7 +5,9 @@ from pathlib import Path
 import duckdb
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+import __spark_entry__
+from __spark_entry__ import entry
+from seqlab.catalog import ORACLE, QUERIES
 
 FOLDER = Path("/root/testdata/sf0.001")
 pytestmark = pytest.mark.skipif(not FOLDER.exists(), reason="test tables are not here")
@@ -20,18 +22,19 @@ def con():
 
 
 def test_every_query_has_sql():
-    assert queries().keys() == oracle_sql().keys()
+    assert QUERIES.keys() == ORACLE.keys()
+    assert __spark_entry__.queries().items() >= QUERIES.items() and __spark_entry__.oracle_sql().items() >= ORACLE.items()
 
 
 def test_entry(spark):
     assert entry(spark).count() > 0
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, con, name):
-    df = queries()[name](spark, str(FOLDER))
+    df = QUERIES[name](spark, str(FOLDER))
     columns = sorted(df.columns)
     got = sorted(map(repr, (tuple(r) for r in df.select(*[f"`{c}`" for c in columns]).collect())))
     listed = ", ".join(f'"{c}"' for c in columns)
-    want = sorted(map(repr, con.execute(f"SELECT {listed} FROM ({oracle_sql()[name]})").fetchall()))
+    want = sorted(map(repr, con.execute(f"SELECT {listed} FROM ({ORACLE[name]})").fetchall()))
     assert got == want

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from seqlab.operators.stats import count_reads, count_reads_from_lines
-from seqlab.sources import complete_pairs, corrupt_files, file_digest, write_fasta, write_fastq
+from seqlab.sources import complete_pairs, corrupt_files, file_digest, write_fasta, write_fastq, write_read_files
 from seqlab.sources.files import corrupted_bytes
 
 
@@ -108,9 +108,8 @@ def test_file_digest_small_and_large(spark, tmp_path):
     data = {"a.bin": b"abc", "b.bin": bytes(range(256)) * 300}
     for name, content in data.items():
         (tmp_path / name).write_bytes(content)
-    for limit in (10, 1 << 20):
-        rows = file_digest(spark, str(tmp_path), in_memory=limit).collect()
-        assert {r.path.rsplit("/", 1)[1]: r.md5 for r in rows} == {n: hashlib.md5(c).hexdigest() for n, c in data.items()}
+    rows = file_digest(spark, str(tmp_path)).collect()
+    assert {r.path.rsplit("/", 1)[1]: r.md5 for r in rows} == {n: hashlib.md5(c).hexdigest() for n, c in data.items()}
 
 
 @pytest.mark.parametrize("ensure", [False, True])
@@ -128,6 +127,69 @@ def test_corrupt_files_change_one_byte(spark, tmp_path, ensure):
     assert len({r.position for r in plan.values()}) > 4
 
 
+def test_corrupt_files_keep_folders(spark, tmp_path, make_reads):
+    write_fastq(make_reads({f"s{i}": 4 for i in range(12)}), str(tmp_path / "in"))
+    files = sorted((tmp_path / "in").rglob("*.gz"))
+    plan = corrupt_files(spark, str(tmp_path / "in"), str(tmp_path / "out"), 42, True)
+    copies = sorted((tmp_path / "out").rglob("*.gz"))
+    assert len(files) == len(copies) == plan.count() == 24
+    assert [f.relative_to(tmp_path / "in") for f in files] == [c.relative_to(tmp_path / "out") for c in copies]
+    for old, new in zip(files, copies):
+        assert sum(a != b for a, b in zip(old.read_bytes(), new.read_bytes())) == 1
+    (tmp_path / "x").mkdir()
+    (tmp_path / "y").mkdir()
+    for d in "xy":
+        (tmp_path / d / "same.gz").write_bytes(b"abc")
+    with pytest.raises(ValueError, match="same.gz"):
+        corrupt_files(spark, str(tmp_path / "[xy]"), str(tmp_path / "z"))
+
+
+def test_read_files(spark, tmp_path, make_reads):
+    reads = make_reads({"a": 25, "b c": 3}).withColumn("origin", F.when(F.col("pair_id") % 5 == 0, "contaminant").otherwise("host"))
+    write_read_files(reads, str(tmp_path / "plain"), chunk_pairs=4)
+    corrupt = spark.createDataFrame([("a", 2)], "sample_id string, mate int")
+    write_read_files(reads, str(tmp_path / "bad"), corrupt, chunk_pairs=4)
+    names = ["a_R1.fastq.gz", "a_R2.fastq.gz", "b c_R1.fastq.gz", "b c_R2.fastq.gz"]
+    for folder in ("plain", "bad"):
+        assert sorted(p.name for p in (tmp_path / folder).glob("*.gz")) == names
+    headers = [gzip.open(tmp_path / "plain" / f"a_R{m}.fastq.gz", "rt").read().split("\n")[:-1:4] for m in (1, 2)]
+    order = [*range(0, 25, 5), *(i for i in range(25) if i % 5)]
+    assert headers == [[f"@a.{i}/{m}" for i in order] for m in (1, 2)]
+    for name in names:
+        one, two = ((tmp_path / f / name).read_bytes() for f in ("plain", "bad"))
+        assert len(one) == len(two) and sum(a != b for a, b in zip(one, two)) == (name == "a_R2.fastq.gz")
+
+
+def test_many_contigs_keep_their_keys(spark, tmp_path):
+    contigs = spark.range(1, 9001).selectExpr("'s' AS sample_id", "id AS contig_index", "concat('c', id) AS contig_name", "'ACGT' AS sequence")
+    write_fasta(contigs, str(tmp_path / "o"))
+    back = spark.read.format("fasta").load(str(tmp_path / "o"))
+    assert sorted(map(tuple, back.collect())) == sorted(map(tuple, contigs.collect()))
+
+
+def test_names_are_not_merged(spark, tmp_path):
+    for version in (1, 2):
+        (tmp_path / f"GCA_000742755.{version}.fna").write_text(">c\nAC\n")
+    fastq(tmp_path / "r_R1.fastq", [("@1", "AC", "II")])
+    read = spark.read
+    assert {r.sample_id for r in read.format("fasta").load(str(tmp_path)).collect()} == {"GCA_000742755.1", "GCA_000742755.2"}
+    assert [r.sample_id for r in read.format("fastq").load(str(tmp_path)).collect()] == ["r"]
+    (tmp_path / "other").mkdir()
+    fastq(tmp_path / "other" / "r_R1.fastq", [("@1", "AC", "II")])
+    with pytest.raises(Exception, match="both files of sample r"):
+        read.format("fastq").load(str(tmp_path)).count()
+    with pytest.raises(Exception, match="No sequence files"):
+        read.format("fasta").load(str(tmp_path / "other")).count()
+
+
+def test_written_and_read_again_and_again(spark, tmp_path, make_reads):
+    reads = make_reads({"a": 12})
+    for i in range(5):
+        write_fastq(reads, str(tmp_path / str(i)), chunk_pairs=5)
+        reads = spark.read.format("fastq").load(str(tmp_path / str(i)))
+    assert reads.agg(F.max("pair_id")).first()[0] < 4 << 32 and reads.count() == 24
+
+
 def test_corrupted_bytes_expression(spark):
     df = spark.createDataFrame([(bytearray(b"\x01\x00\x03"),)], "c binary")
     row = df.select(corrupted_bytes(F.col("c"), F.lit(3)).alias("a"), corrupted_bytes(F.col("c"), F.lit(2), True).alias("b")).first()
