@@ -282,7 +282,7 @@ def document_assembly_parameters(spark: SparkSession, sf: str) -> DataFrame:
     ).distinct()
     others = table(spark, sf, "documents").where(F.col("lang") != HOST).select(F.col("lang").alias("sample_name")).distinct()
     contaminant = choose_one(others, "sample_name", 42, "contaminant")
-    return exams.assembly_parameters(samples, contaminant, exams.REAL_LABELS, 42)
+    return exams.assembly_parameters(samples, contaminant, {**exams.REAL_LABELS, "CORRUPTED": 1}, 42)
 
 
 ASSEMBLY = f"""
@@ -291,7 +291,7 @@ samples AS (SELECT DISTINCT source AS sample_name, 'Sample_' || substr(md5(sourc
 others AS (SELECT DISTINCT lang AS sample_name FROM documents WHERE lang <> '{HOST}'), foe AS ({one_sql('others', 'contaminant')}),
 placed AS (SELECT *, row_number() OVER (ORDER BY {h('labels', 'sample_name')}, sample_name) AS p FROM samples),
 labelled AS (SELECT * EXCLUDE (p), CASE WHEN p <= 2 THEN 'CONTAMINATED' WHEN p <= 3 THEN 'POOR_QUALITY' WHEN p <= 4 THEN 'TRUNCATED'
-                         WHEN p <= 5 THEN 'LOW_COVERAGE' ELSE 'NORMAL' END AS label FROM placed),
+                         WHEN p <= 5 THEN 'LOW_COVERAGE' WHEN p <= 6 THEN 'CORRUPTED' ELSE 'NORMAL' END AS label FROM placed),
 dealt AS (SELECT *, CASE label WHEN 'TRUNCATED' THEN {randint(1, 50, 'exam_truncate_length', 'sample_name')}
                     WHEN 'LOW_COVERAGE' THEN {randint(1, 20, 'exam_coverage_percent', 'sample_name')}
                     WHEN 'CONTAMINATED' THEN {randint(60, 90, 'exam_contamination_percent', 'sample_name')}
@@ -323,7 +323,8 @@ SELECT sample_name, public_name, species, CASE WHEN label = 'NORMAL' THEN 'PASSE
             WHEN 'CONTAMINATED' THEN 'Contamined sample with ' || parameter || '% using ' || (SELECT sample_name FROM foe) || '_R1.fastq.gz and '
                  || (SELECT sample_name FROM foe) || '_R2.fastq.gz'
             WHEN 'POOR_QUALITY' THEN 'Degraded sample so base quality is decremented ' || parameter || ' points'
-            WHEN 'LOW_COVERAGE' THEN 'Low coverage sample with ' || parameter || '%' END AS notes,
+            WHEN 'LOW_COVERAGE' THEN 'Low coverage sample with ' || parameter || '%'
+            WHEN 'CORRUPTED' THEN 'Corrupted sample with random bytes' END AS notes,
        public_name || '_R1.fastq.gz' AS r1, public_name || '_R2.fastq.gz' AS r2
 FROM dealt
 """)

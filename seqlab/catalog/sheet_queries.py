@@ -259,7 +259,7 @@ def blank_sheet(spark: SparkSession, sf: str) -> DataFrame:
     return sheet.blank_sheet(rows)
 
 
-LABELS = list(sheet.EXAM_ANSWERS)
+LABELS = ["NORMAL", "TRUNCATED", "CONTAMINATED", "POOR_QUALITY", "LOW_COVERAGE", "CORRUPTED"]
 
 
 def _answers_sql() -> str:
@@ -348,7 +348,7 @@ def sample_groups(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def label_sql(key: str) -> str:
-    other = pick(selection.ERROR_TYPES, randint(1, 5, "error type", key))
+    other = pick(("TRUNCATED", "CORRUPT", "CONTAMINATED", "POOR_QUALITY", "LOW_COVERAGE"), randint(1, 5, "error type", key))
     return (
         f"CASE WHEN {u('contaminated', key)} < CAST(0.4 AS DOUBLE) THEN 'CONTAMINATED' "
         f"WHEN {u('low coverage', key)} < CAST(0.2 AS DOUBLE) THEN 'LOW_COVERAGE' ELSE {other} END"
@@ -397,12 +397,16 @@ def deal_pool(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _draws_sql() -> str:
-    drawn = [f"{randint(a, b, name, 'c_custkey')} AS {name}" for name, (a, b) in selection.PARAMETER_RANGES.items()]
+    ranges = {
+        "truncate_length": (5, 100), "contamination_percent": (20, 80), "min_quality": (5, 9), "max_quality": (10, 20), "coverage": (40, 60),
+        "exam_truncate_length": (1, 50), "exam_coverage_percent": (1, 20), "exam_contamination_percent": (60, 90), "exam_decrement": (10, 30),
+    }
+    drawn = [f"{randint(a, b, name, 'c_custkey')} AS {name}" for name, (a, b) in ranges.items()]
     return f"SELECT c_custkey, {', '.join(drawn)}, {fraction_sql('c_custkey')} AS fraction FROM customer"
 
 
 def fraction_sql(key: str) -> str:
-    low, high = selection.LOW_COVERAGE_FRACTION
+    low, high = 0.1, 0.4
     return f"(CAST({low} AS DOUBLE) + {u('fraction', key)} * CAST({high - low!r} AS DOUBLE))"
 
 
@@ -411,6 +415,65 @@ def draw_params(spark: SparkSession, sf: str) -> DataFrame:
     return selection.draw_params(table(spark, sf, "customer").select("c_custkey"), "c_custkey")
 
 
+# --- layouts, splits and texts -------------------------------------------------------------------------------
+
+
+def public_rows(spark: SparkSession, sf: str) -> DataFrame:
+    name = F.col("c_name")
+    return table(spark, sf, "customer").select(
+        F.col("c_custkey").cast("string").alias("sample_name"), name.alias("public_name"), F.col("c_mktsegment").alias("species"),
+        *[F.concat(F.lit("d/"), name, F.lit(f"_R{m}.fastq.gz")).alias(f"r{m}") for m in (1, 2)], F.concat(F.lit("x/y/"), name, F.lit(".fna")).alias("assembly_file"),
+    )
+
+
+@query("""
+SELECT c_name AS sample_name, c_mktsegment AS species, c_name || '_R1.fastq.gz' AS r1, c_name || '_R2.fastq.gz' AS r2, '' AS qc, '' AS error, '' AS st,
+       '' AS notes, c_name || '.fasta' AS fasta FROM customer
+""")
+def basic_sheet(spark: SparkSession, sf: str) -> DataFrame:
+    return sheet.blank_sheet(public_rows(spark, sf), "basic")
+
+
+@query("""
+SELECT CAST(c_custkey AS VARCHAR) AS sample, '' AS st, '' AS k_locus, '' AS capsule_type, '' AS wzi, '' AS o_locus, '' AS o_type, '' AS bla_carb,
+       c_name || '.fna' AS fasta FROM customer
+""")
+def typing_sheet(spark: SparkSession, sf: str) -> DataFrame:
+    return sheet.blank_sheet(public_rows(spark, sf), "typing", public=False)
+
+
+@query("""
+SELECT c_custkey AS sample_name, CASE WHEN c_nationkey % 3 = 0 THEN 'true' WHEN c_nationkey % 3 = 1 THEN 'FALSE' END AS use_original_reads,
+       c_nationkey % 3 = 0 AS own FROM customer
+""")
+def split_by_reads(spark: SparkSession, sf: str) -> DataFrame:
+    from seqlab.plans.simulate import split_by_reads as split
+
+    kind = F.col("c_nationkey") % 3
+    flag = F.when(kind == 0, F.lit("true")).when(kind == 1, F.lit("FALSE"))
+    own, made = split(table(spark, sf, "customer").select(F.col("c_custkey").alias("sample_name"), flag.alias("use_original_reads")))
+    return own.withColumn("own", F.lit(True)).unionByName(made.withColumn("own", F.lit(False)))
+
+
+@query(f"""
+WITH {CUSTOMER_SHEET}, placed AS (SELECT *, row_number() OVER (ORDER BY {h('topup', 'sample_name')}, sample_name) AS i FROM sheet)
+SELECT sample_name, species, st, CAST(0 AS BIGINT) AS replicate FROM placed WHERE i <= 40
+""")
+def sample_without_topup(spark: SparkSession, sf: str) -> DataFrame:
+    return selection.sample_with_topup(customer_sheet(spark, sf), 40, "sample_name")
+
+
+@query("""
+SELECT doc_id, md5(regexp_replace(line, '^[ \t\n\r]+|[ \t\n\r]+$', '', 'g')) AS stripped_md5
+FROM (SELECT doc_id, chr(32) || chr(9) || text || chr(13) || chr(10) AS line FROM documents)
+""")
+def strip_text(spark: SparkSession, sf: str) -> DataFrame:
+    from seqlab.functions import strip
+
+    line = F.concat(F.lit(" \t"), "text", F.lit("\r\n"))
+    return table(spark, sf, "documents").select("doc_id", F.md5(strip(line).cast("binary")).alias("stripped_md5"))
+
+
 # --- joins ---------------------------------------------------------------------------------------------------
 
 

@@ -17,6 +17,11 @@ ST_PATTERN = r"^ST\d+"
 FLAG_VALUES = ("TRUE", "FALSE")
 
 
+def missing_keys(df: DataFrame, required: Iterable[str] = REQUIRED_KEYS) -> list[str]:
+    """The keys of the lower-case convention that a sheet lacks."""
+    return sorted(set(required) - set(df.columns))
+
+
 def missing_columns(df: DataFrame, required: Iterable[str] = REQUIRED_COLUMNS) -> list[str]:
     return sorted(set(required) - set(df.columns))
 
@@ -59,11 +64,8 @@ def original_reads_rule() -> dict[str, Column]:
 def sheet_violations(df: DataFrame, sample: str, rules: dict[str, Column] | None = None) -> DataFrame:
     """(sample_name, rule), one row per broken rule."""
     rules = row_rules(df) if rules is None else rules
-    broken = F.array(*[F.when(condition, F.lit(name)) for name, condition in rules.items()])
-    return (
-        df.select(F.col(sample).alias("sample_name"), F.explode(broken).alias("rule"))
-        .where(F.col("rule").isNotNull())
-    )
+    broken = F.array_compact(F.array(*[F.when(condition, F.lit(name)) for name, condition in rules.items()]))
+    return df.select(F.col(sample).alias("sample_name"), F.explode(broken).alias("rule"))
 
 
 def validate_sheet(df: DataFrame) -> DataFrame:
@@ -78,7 +80,10 @@ def validate_sheet(df: DataFrame) -> DataFrame:
 
 
 def check_original_reads(df: DataFrame) -> DataFrame:
-    """The lower-case sheet itself, or ValueError for a flagged row without reads."""
+    """The lower-case sheet itself, or ValueError for missing keys or a flagged row without reads."""
+    missing = missing_keys(df)
+    if missing:
+        raise ValueError(f"Sample record is missing keys: {', '.join(missing)}")
     bad = sheet_violations(df, "sample_name", original_reads_rule()).orderBy("sample_name").limit(1).collect()
     if bad:
         raise ValueError(f"Sample {bad[0][0]} does not have a read record.")
