@@ -10,6 +10,7 @@ from seqlab.catalog.sheet_queries import n50_sql
 from seqlab.functions import div, draw_choice, draw_int
 from seqlab.operators import mixing, sampling, stats
 from seqlab.operators import reads as read_ops
+from seqlab.operators.screen import encoded_kmers
 from seqlab.operators.screen import kmer_containment as containment
 
 HOST, FOREIGN = "en", ["de", "es", "fr"]
@@ -266,3 +267,17 @@ SELECT source, panel, n_shared, n_kmers, CAST(n_shared AS DOUBLE) / n_kmers AS c
 def kmer_containment(spark: SparkSession, sf: str) -> DataFrame:
     panels = table(spark, sf, "benchmark").select((F.col("item_id") % 4).alias("panel"), "text")
     return containment(table(spark, sf, "documents"), panels, "source", "text", "panel", "text", 20)
+
+
+@query("""
+WITH bases AS (SELECT source, translate(text, 'abcdefghijklmnopqrstuvwxyz', 'ACGTACGTACGTACGTACGTACGTAC') AS text FROM documents),
+kmers AS (SELECT DISTINCT source, substr(text, i, 8) AS kmer FROM (SELECT source, text, unnest(range(1, length(text) - 6)) AS i FROM bases)),
+codes AS (SELECT source, CAST(list_sum([CAST(strpos('ACGT', substr(kmer, p, 1)) - 1 AS BIGINT) << (2 * (8 - p)) FOR p IN [1, 2, 3, 4, 5, 6, 7, 8]]) AS BIGINT) AS kmer
+          FROM kmers WHERE regexp_full_match(kmer, '[ACGT]{8}'))
+SELECT source, count(*) AS n_kmers, CAST(sum(kmer) AS BIGINT) AS sum_kmers, min(kmer) AS least, max(kmer) AS most FROM codes GROUP BY source
+""")
+def kmer_codes(spark: SparkSession, sf: str) -> DataFrame:
+    bases = F.translate("text", "abcdefghijklmnopqrstuvwxyz", "ACGTACGTACGTACGTACGTACGTAC")
+    codes = encoded_kmers(table(spark, sf, "documents").select("source", bases.alias("text")), "text", 8, "source")
+    counted = [F.count(F.lit(1)).alias("n_kmers"), F.sum("kmer").alias("sum_kmers"), F.min("kmer").alias("least"), F.max("kmer").alias("most")]
+    return codes.groupBy("source").agg(*counted)

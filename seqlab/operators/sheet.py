@@ -98,16 +98,17 @@ def content_digest(rows: DataFrame, sample: str, index: str, content: str) -> Da
 
 
 def digest_names(df: DataFrame, digest: str, key: str, suffix: str = "", out: str = "public_name") -> DataFrame:
-    """Digest names; items with equal names get _2, _3, ... in seeded order of the unique key.
+    """Digest names; items with equal names get _2, _3, ... in seeded order of the unique key. No digest, no name: NULL.
 
     Copies are numbered inside hash pieces of each name, so many copies of one file do not fill one task.
     """
-    named = df.withColumns({"_name": digest_name(F.col(digest), suffix), "_h": draw_hash(0, "copy", key)}).drop(digest)
+    known, bare = df.where(F.col(digest).isNotNull()), df.where(F.col(digest).isNull()).drop(digest)
+    named = known.withColumns({"_name": digest_name(F.col(digest), suffix), "_h": draw_hash(0, "copy", key)}).drop(digest)
     placed = rank_by_bucket(named, ["_name"], F.shiftright("_h", 20), [F.col("_h"), F.col(key)], "_copy")
     unique = F.when(F.col("_copy") == 1, F.col("_name")).otherwise(
         F.concat("_name", F.lit("_"), F.col("_copy").cast("string"))
     )
-    return placed.withColumn(out, unique).drop("_name", "_h", "_copy")
+    return placed.withColumn(out, unique).drop("_name", "_h", "_copy").unionByName(bare.withColumn(out, F.lit(None).cast("string")))
 
 
 def anonymise_contigs(df: DataFrame, sample: str, index: str, out: str = "contig_name") -> DataFrame:
