@@ -51,19 +51,22 @@ def train(bags: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray) -> Toxi
     labels = np.asarray(labels, float)
     if not len(labels) or labels.min() == labels.max():
         return Toxicity(np.zeros(1 << BITS, np.float32), 10.0 if len(labels) and labels[0] else -10.0)
-    sizes, grams = np.array([len(g) for g, _ in bags]), np.concatenate([g for g, _ in bags])
-    seen, toxic = np.bincount(grams, minlength=1 << BITS), np.bincount(grams, np.repeat(labels, sizes), 1 << BITS)
+    seen, toxic = np.zeros(1 << BITS, np.int64), np.zeros(1 << BITS, np.int64)
+    for (grams, _), label in zip(bags, labels, strict=True):
+        seen[grams] += 1
+        toxic[grams] += label > 0
     n, n1 = len(labels), labels.sum()
     error = np.sqrt(np.maximum(seen / n * (1 - seen / n), 1e-12) * (1 / n1 + 1 / (n - n1)))
     one, zero = toxic / n1, (seen - toxic) / (n - n1)
     errors = np.sqrt(2 * np.log(max((seen >= LEAST_DOCUMENTS).sum(), 2)))
     apart = (np.abs(one - zero) >= errors * error) & (np.maximum(one, zero) >= LEAST_FACTOR * np.minimum(one, zero))
     used = np.flatnonzero((seen >= LEAST_DOCUMENTS) & apart)
-    place = np.full(1 << BITS, -1)
+    place = np.full(1 << BITS, -1, np.int32)
     place[used] = np.arange(len(used))
-    rows = np.repeat(np.arange(len(bags)), sizes)
-    cols, share = place[grams], np.concatenate([s for _, s in bags]).astype(np.float64) * SCALE
-    rows, cols, share = rows[cols >= 0], cols[cols >= 0], share[cols >= 0]
+    # Only the few grams that are learned are held for all documents at once.
+    found = [(place[grams][kept], shares[kept]) for grams, shares in bags for kept in [place[grams] >= 0]]
+    rows = np.repeat(np.arange(len(bags)), [len(c) for c, _ in found])
+    cols, share = np.concatenate([c for c, _ in found]), np.concatenate([s for _, s in found]).astype(np.float64) * SCALE
     weight = np.where(labels > 0, 0.5 / max(labels.sum(), 1), 0.5 / max((1 - labels).sum(), 1))
     rng = np.random.default_rng(7)
     state = {"e": rng.normal(0, 0.01, (len(used), DIMENSIONS)), "w": rng.normal(0, 1, (2, DIMENSIONS)), "b": np.zeros(2)}
@@ -109,8 +112,8 @@ def fit(docs: DataFrame, labels: DataFrame, per_label: int = PER_LABEL, longest:
             yield pa.RecordBatch.from_arrays([batch.column("toxic"), grams, pa.array([s for _, s in found], pa.list_(pa.float32()))], names=["toxic", "grams", "shares"])
 
     rows = picked.mapInArrow(bags, "toxic int, grams array<int>, shares array<float>").toArrow()
-    grams, shares = (rows.column(c).combine_chunks() if rows.num_rows else [] for c in ("grams", "shares"))
-    return train([(g.values.to_numpy(), s.values.to_numpy()) for g, s in zip(grams, shares, strict=True)], rows.column("toxic").to_numpy())
+    bags_of = lambda part: zip(*([x.values.to_numpy() for x in part.column(c)] for c in ("grams", "shares")), strict=True)
+    return train([x for part in rows.to_batches() for x in bags_of(part)], rows.column("toxic").to_numpy())
 
 
 def bag(text: str) -> tuple[np.ndarray, np.ndarray]:
