@@ -477,10 +477,9 @@ def strip_text(spark: SparkSession, sf: str) -> DataFrame:
 # --- joins ---------------------------------------------------------------------------------------------------
 
 
-@query(f"""
+@query("""
 SELECT 'sp' || s_suppkey AS species, s_name AS sample_name, CASE WHEN s_acctbal < 0 THEN '' ELSE s_name END AS assembly
-FROM supplier
-WHERE s_acctbal >= 0 AND s_suppkey NOT IN (SELECT c_custkey FROM customer WHERE c_mktsegment = '{SPECIES}')
+FROM supplier WHERE s_acctbal >= 0 AND s_suppkey NOT IN (SELECT 3 * c_custkey FROM customer)
 """)
 def contaminant_pool(spark: SparkSession, sf: str) -> DataFrame:
     candidates = table(spark, sf, "supplier").select(
@@ -488,17 +487,19 @@ def contaminant_pool(spark: SparkSession, sf: str) -> DataFrame:
         F.col("s_name").alias("sample_name"),
         F.when(F.col("s_acctbal") < 0, "").otherwise(F.col("s_name")).alias("assembly"),
     )
-    rows = table(spark, sf, "customer").where(F.col("c_mktsegment") == SPECIES)
-    return joins.contaminant_pool(candidates, rows.select(F.concat(F.lit("sp"), F.col("c_custkey").cast("string")).alias("species")))
+    # All customers are the sheet, under tripled keys: a third of the suppliers is of a species in it.
+    species = F.concat(F.lit("sp"), (3 * F.col("c_custkey")).cast("string"))
+    return joins.contaminant_pool(candidates, table(spark, sf, "customer").select(species.alias("species")))
 
 
 @query("""
 SELECT o_orderkey, o_custkey AS c_custkey, CASE WHEN c_custkey IS NOT NULL THEN 'Sample_' || substr(md5(c_name), 1, 8) END AS public_name
-FROM orders LEFT JOIN (SELECT * FROM customer WHERE c_acctbal > 0) ON o_custkey = c_custkey
+FROM orders LEFT JOIN (SELECT 2 * c_custkey AS c_custkey, c_name FROM customer) ON o_custkey = c_custkey
 """)
 def apply_names(spark: SparkSession, sf: str) -> DataFrame:
     digest = F.md5(F.col("c_name").cast("binary"))
-    names = table(spark, sf, "customer").where(F.col("c_acctbal") > 0).select("c_custkey", sheet.digest_name(digest).alias("public_name"))
+    # All customers, under doubled keys: half of the orders find no name.
+    names = table(spark, sf, "customer").select((2 * F.col("c_custkey")).alias("c_custkey"), sheet.digest_name(digest).alias("public_name"))
     rows = table(spark, sf, "orders").select("o_orderkey", F.col("o_custkey").alias("c_custkey"))
     return joins.apply_names(rows, names, "c_custkey")
 
