@@ -38,28 +38,28 @@ def reply_paths(messages: DataFrame, keep: int | None = 1) -> DataFrame:
     nodes = nodes.select("node", "m.parent", "m.tree", F.coalesce(F.col("m.score").cast("double"), F.lit(0.0)).alias("score"))
     nodes = land(nodes, "messages")
     known = nodes.select(F.col("node").alias("parent"), F.lit(True).alias("there"))
-    linked = nodes.join(known, "parent", "left")
-    jumps = linked.select("node", F.when(F.col("there") & (F.col("parent") != F.col("node")), F.col("parent")).alias("to"), "tree", "score", F.lit(1).cast("long").alias("steps"))
-    levels = [land(jumps, "jumps")]
-    most = nodes.count()
-    while 2 ** (len(levels) - 1) <= most and not levels[-1].where("to is not null").isEmpty():
-        last = levels[-1]
-        on = last.select(F.col("node").alias("to"), F.col("to").alias("next"), F.col("score").alias("above"), F.col("steps").alias("more"))
-        jump = last.join(on, "to", "left").select(
-            "node", F.col("next").alias("to"), "tree", (F.col("score") + F.coalesce("above", F.lit(0.0))).alias("score"), (F.col("steps") + F.coalesce("more", F.lit(0))).alias("steps")
-        )
-        levels.append(land(jump, "jumps"))
-    parents = levels[0].where("to is not null").select(F.col("to").alias("node")).distinct()
-    leaves = levels[-1].where("to is null").join(parents, "node", "left_anti")
+    up = F.when(F.col("there") & (F.col("parent") != F.col("node")), F.col("parent")).alias("to")
+    linked = land(nodes.join(known, "parent", "left").select("node", up, "tree", "score", F.lit(1).cast("long").alias("steps")), "links")
+    # A level holds the jumps of 2**k messages that there are; the others end at messages whose way to the root is known.
+    levels, most = [linked.where("to is not null").drop("tree")], nodes.count()
+    ended = linked.where("to is null").select("node", "score", "steps")
+    while 2 ** (len(levels) - 1) <= most and not levels[-1].isEmpty():
+        live = levels[-1]
+        further = (F.col("score") + F.col("above")).alias("score"), (F.col("steps") + F.col("more")).alias("steps")
+        on = live.select(F.col("node").alias("to"), F.col("to").alias("next"), F.col("score").alias("above"), F.col("steps").alias("more"))
+        levels.append(land(live.join(on, "to").select("node", F.col("next").alias("to"), *further), "jumps"))
+        rest = ended.select(F.col("node").alias("to"), F.col("score").alias("above"), F.col("steps").alias("more"))
+        ended = ended.union(land(live.join(rest, "to").select("node", *further), "ended"))
+    parents = linked.where("to is not null").select(F.col("to").alias("node")).distinct()
+    leaves = ended.join(parents, "node", "left_anti").join(linked.select("node", "tree"), "node")
     leaves = leaves.select(F.col("node").alias("leaf"), "tree", (F.col("score") / F.col("steps")).alias("mean"), "steps")
     if keep is not None:
         best = Window.partitionBy("tree").orderBy(F.desc("mean"), "leaf")
         leaves = leaves.withColumn("place", F.row_number().over(best)).where(F.col("place") <= keep)
     listed = leaves.select("leaf", F.col("leaf").alias("node"), (F.col("steps") - 1).alias("position"))
-    # The last level jumps nowhere. Lower ones fill what the higher have left: each node so far gives one that is 2**k above.
+    # The last level is empty. Lower ones fill what the higher have left: each node so far gives one that is 2**k above.
     for k, jump in reversed(list(enumerate(levels[:-1]))):
-        up = jump.where("to is not null").select("node", "to")
-        listed = land(listed.union(listed.join(up, "node").select("leaf", F.col("to").alias("node"), F.col("position") - 2**k)), "paths")
+        listed = land(listed.union(listed.join(jump.select("node", "to"), "node").select("leaf", F.col("to").alias("node"), F.col("position") - 2**k)), "paths")
     return listed
 
 
