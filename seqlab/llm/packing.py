@@ -88,42 +88,35 @@ def complements(counts: Counter, most: int) -> list[tuple[int, tuple[int, ...]]]
     stock = np.zeros(most + 1, np.int64)
     for length, n in counts.items():
         stock[length] = n
-    pairs: dict[int, list[int]] = defaultdict(list)
-    for first in range(1, most):
-        for total in range(2 * first, most + 1):
-            if stock[first] and stock[total - first]:
-                pairs[total].append(first)
-
-    def usable(lengths: tuple[int, ...]) -> int:
-        return min(int(stock[x]) // lengths.count(x) for x in set(lengths))
-
-    def take(lengths: tuple[int, ...]) -> bool:
-        times = usable(lengths)
+    held = np.flatnonzero(stock)
+    pairs: dict[int, np.ndarray] = {}
+    sums = held[:, None] + held
+    for total in np.unique(sums[sums < most]).tolist():
+        pairs[total] = held[(2 * held <= total) & (stock[np.maximum(total - held, 0)] > 0)]
+
+    def take(*lengths: int) -> None:
+        times = min(int(stock[x]) // lengths.count(x) for x in set(lengths))
         if times:
             for x in lengths:
                 stock[x] -= times
             plan.append((times, lengths))
-        return times > 0
+
+    def pair_of(total: int, least: int = 0) -> list[int]:
+        """The smaller lengths, from ``least`` on, of the pairs with this sum that are still in stock."""
+        first = pairs.get(total, held[:0])
+        return first[(first >= least) & (stock[first] > 0) & (stock[total - first] > 0)].tolist()
 
     for length in range(most, 0, -1):
         gap = most - length
-        if not gap:
-            take((length,))
-        elif 0 < gap <= most:
-            take((length, gap))
-        for first in pairs[gap]:
-            if not stock[length]:
-                break
-            take((length, gap - first, first))
-        for third in range(1, gap // 3 + 1):
-            if not stock[length]:
-                break
-            if stock[third]:
-                for first in pairs[gap - third]:
-                    if not (stock[length] and stock[third]):
-                        break
-                    if first >= third:
-                        take((length, gap - third - first, first, third))
+        if not stock[length]:
+            continue
+        take(length, *([gap] if gap else []))
+        for first in pair_of(gap):
+            take(length, gap - first, first)
+        for third in held[3 * held <= gap].tolist():
+            if stock[length] and stock[third]:
+                for first in pair_of(gap - third, third):
+                    take(length, gap - third - first, first, third)
     for length in list(counts):
         counts[length] = int(stock[length])
     return plan
