@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable
 from dataclasses import dataclass
 
 import numpy as np
@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from seqlab.llm.grams import hashed_grams, in_slices
-from seqlab.llm.worker import append_columns, keep_rows, texts_of
+from seqlab.llm.worker import append_columns, keep_rows
 
 #: Grams within words, from "<ab" to six letters; the number of embeddings is 2**BITS, each of DIMENSIONS numbers.
 ORDERS, BITS, DIMENSIONS = range(3, 7), 20, 8
@@ -42,17 +42,18 @@ class Toxicity:
         return 1 / (1 + np.exp(-np.clip(out * SCALE + self.bias, -60, 60)))
 
 
-def train(bags: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray) -> Toxicity:
-    """Fit embeddings and softmax together on (hashed grams, shares of the bag) per document, by full-batch Adam.
+def train(texts: Iterable[str | None], labels: np.ndarray) -> Toxicity:
+    """Fit embeddings and softmax together on texts and their labels, by full-batch Adam.
 
-    The gradient of both runs through one number per gram, so a step costs two passes over the bags. With no label of one
-    kind, all scores are that of the other kind.
+    The gradient of both runs through one number per gram, so a step costs two passes over the bags. The texts are read twice,
+    so that only the grams that are learned are held for all of them. With no label of one kind, all scores are that of the
+    other kind.
     """
     labels = np.asarray(labels, float)
     if not len(labels) or labels.min() == labels.max():
         return Toxicity(np.zeros(1 << BITS, np.float32), 10.0 if len(labels) and labels[0] else -10.0)
     seen, toxic = np.zeros(1 << BITS, np.int64), np.zeros(1 << BITS, np.int64)
-    for (grams, _), label in zip(bags, labels, strict=True):
+    for (grams, _), label in zip(map(bag, texts), labels, strict=True):
         seen[grams] += 1
         toxic[grams] += label > 0
     n, n1 = len(labels), labels.sum()
@@ -63,9 +64,8 @@ def train(bags: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray) -> Toxi
     used = np.flatnonzero((seen >= LEAST_DOCUMENTS) & apart)
     place = np.full(1 << BITS, -1, np.int32)
     place[used] = np.arange(len(used))
-    # Only the few grams that are learned are held for all documents at once.
-    found = [(place[grams][kept], shares[kept]) for grams, shares in bags for kept in [place[grams] >= 0]]
-    rows = np.repeat(np.arange(len(bags)), [len(c) for c, _ in found])
+    found = [(place[grams][kept], shares[kept]) for grams, shares in map(bag, texts) for kept in [place[grams] >= 0]]
+    rows = np.repeat(np.arange(n), [len(c) for c, _ in found])
     cols, share = np.concatenate([c for c, _ in found]), np.concatenate([s for _, s in found]).astype(np.float64) * SCALE
     weight = np.where(labels > 0, 0.5 / max(labels.sum(), 1), 0.5 / max((1 - labels).sum(), 1))
     rng = np.random.default_rng(7)
@@ -73,7 +73,7 @@ def train(bags: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray) -> Toxi
     first, second = ({k: np.zeros_like(v) for k, v in state.items()} for _ in range(2))
     for step in range(1, STEPS + 1):
         side = state["w"][1] - state["w"][0]
-        logit = np.bincount(rows, share * (state["e"] @ side)[cols], len(bags)) + state["b"][1] - state["b"][0]
+        logit = np.bincount(rows, share * (state["e"] @ side)[cols], n) + state["b"][1] - state["b"][0]
         miss = (1 / (1 + np.exp(-np.clip(logit, -60, 60))) - labels) * weight
         pull = np.bincount(cols, share * miss[rows], len(used))
         to_w, to_b = pull @ state["e"], miss.sum()
@@ -96,7 +96,7 @@ def fit(docs: DataFrame, labels: DataFrame, per_label: int = PER_LABEL, longest:
     """A model of labels (doc_id, toxic) over the texts of documents that are not held out.
 
     Fitted on at most ``per_label`` documents of either label of at most ``longest`` code points, those of the smallest hash of
-    doc_id; only their hashed gram counts come to the driver. A document that is labelled repeatedly is toxic if one label
+    doc_id; their texts, fewer bytes than their grams, come to the driver. A document that is labelled repeatedly is toxic if one label
     says so; null labels and null ids are no labels.
     """
     known = labels.where("doc_id is not null and toxic is not null").where(~held_out()).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
@@ -105,19 +105,13 @@ def fit(docs: DataFrame, labels: DataFrame, per_label: int = PER_LABEL, longest:
     chosen = short.where("toxic > 0").orderBy(*order).limit(per_label).union(short.where("toxic <= 0").orderBy(*order).limit(per_label))
     picked = docs.select("doc_id", "text").join(chosen, "doc_id").select((F.col("toxic") > 0).cast("int").alias("toxic"), "text")
 
-    def bags(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = [bag(t) for t in texts_of(batch)]
-            grams = pa.array([g for g, _ in found], pa.list_(pa.int32()))
-            yield pa.RecordBatch.from_arrays([batch.column("toxic"), grams, pa.array([s for _, s in found], pa.list_(pa.float32()))], names=["toxic", "grams", "shares"])
+    rows = picked.toArrow()
+    return train(rows.column("text"), rows.column("toxic").to_numpy())
 
-    rows = picked.mapInArrow(bags, "toxic int, grams array<int>, shares array<float>").toArrow()
-    bags_of = lambda part: zip(*([x.values.to_numpy() for x in part.column(c)] for c in ("grams", "shares")), strict=True)
-    return train([x for part in rows.to_batches() for x in bags_of(part)], rows.column("toxic").to_numpy())
 
-
-def bag(text: str) -> tuple[np.ndarray, np.ndarray]:
-    """The distinct hashed grams of a text and the share of each."""
+def bag(text: str | pa.StringScalar | None) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct hashed grams of a text and the share of each; null is empty."""
+    text = (text.as_py() if isinstance(text, pa.Scalar) else text) or ""
     grams = [g for a, b in in_slices([text]) for g, _ in hashed_grams([text][a:b], ORDERS, BITS)]
     found, count = np.unique(np.concatenate(grams), return_counts=True) if grams else (np.empty(0, np.int64), np.empty(0))
     return found.astype(np.int32), (count / max(count.sum(), 1)).astype(np.float32)

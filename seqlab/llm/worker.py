@@ -27,6 +27,12 @@ def texts_of(batch: pa.RecordBatch, column: str = "text") -> list[str]:
     return ["" if t is None else t for t in batch.column(column).to_pylist()]
 
 
+def parts_of(batch: pa.RecordBatch, rows: int = 500) -> Iterator[pa.RecordBatch]:
+    """A batch in parts of so many rows, so that few of its texts are Python strings at once."""
+    for at in range(0, batch.num_rows, rows):
+        yield batch.slice(at, rows)
+
+
 def slices(texts: list[str], most_chars: int) -> Iterator[tuple[int, int]]:
     """Ranges of rows of at most ``most_chars`` code points each (or one longer text)."""
     start = size = 0
@@ -52,7 +58,7 @@ def append_columns(
     source = df.select(*dict.fromkeys([*kept, column]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (part for whole in batches for part in parts_of(whole)):
             made = compute(texts_of(batch, column))
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), *(made[n] for n in names)], names=[*kept, *names])
 
@@ -63,7 +69,7 @@ def keep_rows(df: DataFrame, accept: Callable[[list[str]], Any], column: str = "
     """The rows of ``df``, all columns, whose text ``accept`` says true to."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (part for whole in batches for part in parts_of(whole)):
             yield batch.filter(pa.array(accept(texts_of(batch, column)), pa.bool_()))
 
     return df.mapInArrow(run, df.schema)

@@ -35,7 +35,7 @@ def model():
     texts = [prose(rng, rng.randint(5, 200)) for _ in range(300)]
     labels = np.array([0] * 300 + [1] * 120)
     texts += [prose(rng, n, rng.choices(["scumbag", "vilewretch"], k=max(1, n // 30))) for n in (rng.randint(5, 200) for _ in range(120))]
-    return toxicity.train([toxicity.bag(t) for t in texts], labels)
+    return toxicity.train(texts, labels)
 
 
 def test_unseen_texts_and_misspellings(model):
@@ -54,7 +54,7 @@ def test_whole_texts_count(model):
 
 def test_training_with_one_label_or_none():
     assert toxicity.train([], np.array([])).score(["x"])[0] < 0.5
-    assert toxicity.train([toxicity.bag("abc")], np.array([1])).score(["x"])[0] > 0.5
+    assert toxicity.train(["abc"], np.array([1])).score(["x"])[0] > 0.5
 
 
 def test_scores(spark, documents, odd_texts):
