@@ -32,7 +32,8 @@ def kmer_containment(
     samples: DataFrame, references: DataFrame, sample: str, sample_text: str, reference: str, reference_text: str, k: int = 20, scale: int = 1
 ) -> DataFrame:
     """Share of each sample's distinct k-mers found in each reference set that it shares any with."""
-    own = kmers(samples, sample_text, k, sample, scale=scale)
+    # Both uses of the samples' k-mers have the filter that the joins imply, so their shuffle is made once.
+    own = kmers(samples, sample_text, k, sample, scale=scale).where(F.col("kmer").isNotNull() & F.col(sample).isNotNull())
     known = kmers(references, reference_text, k, reference, scale=scale)
     # Rows, not one array of sets for each k-mer: a k-mer that all sets hold is in as many rows, and both counts combine
     # before they are shuffled.
