@@ -106,7 +106,8 @@ def cell_edges(new: np.ndarray, probe: np.ndarray, fp: np.ndarray) -> tuple[np.n
     homes = np.add.reduceat((~probe).astype(np.int64), start)
     size = np.diff(np.append(start, len(fp)))
     visits = size - homes
-    small = (homes * visits <= SMALL) & (homes > 0) & (visits > 0) & (size > 2)
+    alone = (size == 2) & (fp[start] == fp[np.minimum(start + 1, len(fp) - 1)])  # a fingerprint that visits itself
+    small = (homes * visits <= SMALL) & (homes > 0) & (visits > 0) & ~alone
     # Rows of small cells: each probe is paired with every home of its cell.
     of = np.repeat(np.arange(len(start)), size)
     asks = np.flatnonzero(probe & small[of])

@@ -55,6 +55,21 @@ def test_components_of_close_fingerprints(spark, cell):
     assert [found[signed(v)] for v in values] == plain_components(values)
 
 
+@pytest.mark.parametrize("records", [1, 2, 3])
+def test_cells_cut_between_batches(spark, records):
+    rng = random.Random(11)
+    near = lambda v: v ^ sum(1 << k for k in (*rng.sample(range(32), 1), *rng.sample(range(32, 64), 2)))
+    values = sorted({x for v in (rng.getrandbits(64) for _ in range(60)) for x in (v, near(v))})
+    rows = spark.createDataFrame([(i, signed(v)) for i, v in enumerate(values)], "doc_id long, fp long").repartition(5)
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", records)
+    try:
+        found = {r["fp"]: r["component_id"] for r in near_duplicates(rows).collect()}
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+    assert [found[signed(v)] for v in values] == plain_components(values)
+
+
 def test_large_cell_gives_a_forest():
     rng = np.random.default_rng(1)
     flips = np.array([1 << k for k in range(64)], np.uint64)
