@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import math
 from collections.abc import Callable
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -28,27 +30,32 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
-def signatures(text: Column) -> Column:
+def signatures(text: Column, cover: bool = False) -> Column:
     """The sorted distinct signatures of a whole text, as hashes: an anchor and the next ``CHAIN`` words that are no anchors.
 
     Words are runs of letters and digits in lower case. The start of the text is an anchor too and a chain may be cut short
-    by the end, so every text has a signature; null is empty.
+    by the end, so every text has a signature; null is empty. With ``cover`` a word that is in no chain of these anchors starts a
+    chain of its own, so that every word is in a signature, in any language and script.
     """
     words = F.trim(F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}]+", " "))
     # Anchors are glued in front of the word that follows: "^~of~the~house".
     glued = F.regexp_replace(F.concat(F.lit(" "), words, F.lit(" ")), f"(?<= )({'|'.join(ANCHORS)}) ", "$1~")
     items = F.split(F.concat(F.lit("^~"), F.trim(glued)), " ")
 
-    def of_item(content: Column) -> Callable[[Column, Column], Column]:
+    def of_item(found: Column, content: Column) -> Callable[[Column, Column], Column]:
         def hashes(item: Column, i: Column) -> Column:
             chain = [F.get(content, i + k) for k in range(CHAIN)]
             anchors = F.split(item, "~")
-            return F.transform(F.slice(anchors, F.lit(1), F.size(anchors) - 1), lambda a: F.xxhash64(a, *chain))
+            named = F.transform(F.slice(anchors, F.lit(1), F.size(anchors) - 1), lambda a: F.xxhash64(a, *chain))
+            if not cover:
+                return named
+            bare = [~F.contains(F.get(found, i - k), F.lit("~")) for k in range(CHAIN)]  # the first item never is
+            return F.when(reduce(and_, bare), F.array(F.xxhash64(F.lit("~"), *chain))).otherwise(named)
 
         return hashes
 
     contents = lambda found: F.transform(found, lambda item: F.substring_index(item, "~", -1))
-    return let(items, lambda found: let(contents(found), lambda content: F.array_sort(F.array_distinct(F.flatten(F.transform(found, of_item(content)))))))
+    return let(items, lambda found: let(contents(found), lambda content: F.array_sort(F.array_distinct(F.flatten(F.transform(found, of_item(found, content)))))))
 
 
 def fingerprint(hashes: Column) -> Column:
@@ -69,15 +76,16 @@ def length_partition(size: Column, threshold: float = THRESHOLD) -> Column:
     return F.floor(F.log(size.cast("double")) / math.log(1 / threshold) + 1e-9).cast("int")
 
 
-def similar(docs: DataFrame, threshold: float = THRESHOLD) -> tuple[DataFrame, DataFrame]:
+def similar(docs: DataFrame, threshold: float = THRESHOLD, cover: bool = False) -> tuple[DataFrame, DataFrame]:
     """Near-duplicates by Jaccard of the signatures: (members, links) of ``docs`` (doc_id, text).
 
-    members has doc_id and class_id, the smallest doc_id with the same signatures; links has a, b (classes, a < b) and similarity.
+    ``cover`` is that of ``signatures``: without it, texts that differ only in words of no chain are one class. members has doc_id
+    and class_id, the smallest doc_id with the same signatures; links has a, b (classes, a < b) and similarity.
     A set is looked up by its rarest signatures alone, as many as two similar sets can't both miss, under the length
     partitions that it may meet; candidates are compared through their sizes first. Copies are one class, so they cost no
     pairs. Rows without an id are no members; an empty table gives empty tables.
     """
-    sets = docs.where("doc_id is not null").select("doc_id", signatures(F.col("text")).alias("hashes"))
+    sets = docs.where("doc_id is not null").select("doc_id", signatures(F.col("text"), cover).alias("hashes"))
     keyed = land(sets.withColumn("set_id", F.md5(fingerprint(F.col("hashes")))), "signatures")
     classes = keyed.groupBy("set_id").agg(F.min("doc_id").alias("class_id"), F.first("hashes").alias("hashes"))
     classes = land(classes, "signature_classes")
@@ -123,7 +131,7 @@ def with_next(docs: DataFrame, ranges: int | None = None) -> DataFrame:
     sent = placed.join(guests, placed["doc_id"].eqNullSafe(guests["first"]), "left")
     sent = sent.select("doc_id", "text", F.explode(F.when(F.col("host").isNull(), F.array(F.struct("range", F.lit(False).alias("guest")))).otherwise(
         F.array(F.struct("range", F.lit(False).alias("guest")), F.struct(F.col("host").alias("range"), F.lit(True).alias("guest"))))).alias("at"))
-    dealt = sent.select("doc_id", "text", "at.range", "at.guest").repartition("range").withColumn("hashes", signatures(F.col("text")))
+    dealt = sent.select("doc_id", "text", "at.range", "at.guest").repartition("range").withColumn("hashes", signatures(F.col("text"), cover=True))
     order = Window.partitionBy("range").orderBy("guest", F.desc_nulls_last("doc_id"), F.desc("text"))
     following = dealt.withColumns({"next_text": F.lead("text").over(order), "next_hashes": F.lead("hashes").over(order)})
     return following.where(~F.col("guest")).select("doc_id", "text", "hashes", "next_text", "next_hashes")
@@ -139,7 +147,7 @@ def edited_fingerprints(docs: DataFrame) -> DataFrame:
     pairs = with_next(docs)
     third = F.floor(F.length("text") / 3).cast("int")
     edited = F.concat(F.left("text", F.length("text") - third), F.left("next_text", third))
-    made = pairs.withColumn("edited", edited).withColumn("edited_hashes", signatures(F.col("edited")))
+    made = pairs.withColumn("edited", edited).withColumn("edited_hashes", signatures(F.col("edited"), cover=True))
     return made.select(
         "doc_id",
         F.length("text").cast("long").alias("n_chars"),

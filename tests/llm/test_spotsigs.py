@@ -37,6 +37,19 @@ def test_signatures(spark, odd_texts):
         assert set(r["s"]) == plain_signatures(r["t"]) and r["s"] == sorted(set(r["s"])), r["t"]
 
 
+def test_every_word_is_in_a_signature(spark, documents):
+    words = "это письмо написано человеком который живёт далеко отсюда около большой реки среди старых высоких деревьев".split()
+    texts = [words] + [[*words[:i], "иначе", *words[i + 1 :]] for i in range(len(words))]
+    texts = [" ".join(t) for t in texts] + ["the " + " ".join(t) + " of the house" for t in texts]
+    df = spark.createDataFrame([(t,) for t in texts], "t string").select(spotsigs.signatures(F.col("t"), cover=True))
+    assert len({tuple(r[0]) for r in df.collect()}) == len(texts)
+    docs = documents(list(enumerate([" ".join(words[:3] + words[k : k + 6]) for k in (3, 9)])))
+    for r in spotsigs.edited_fingerprints(docs).collect():
+        assert r["near_next"] < 0.5 and r["near_edited"] < 1 and r["signatures"] == 7
+    members, links = spotsigs.similar(docs, cover=True)
+    assert {r["class_id"] for r in members.collect()} == {0, 1} and links.count() == 0
+
+
 @pytest.mark.parametrize("ranges", [1, 2, 5, None])
 def test_edited(spark, documents, odd_texts, ranges, monkeypatch):
     rows = [(3 * i, t) for i, t in enumerate(odd_texts)] + [(3, "tie"), (3, "tie"), (None, "last")]
