@@ -21,6 +21,7 @@ LEAST_REVISIT = 1000
 #: Bytes of an archive that one task reads, that are read at once, and that are unpacked at once.
 SPLIT, BLOCK, PIECE = 8 << 20, 1 << 20, 1 << 16
 MEMBER, VERSION, LINE = b"\x1f\x8b\x08", b"WARC/1.", re.compile(rb"WARC/1\.\d\r\n")
+CONTROL = re.compile(r"[\x00-\x1f\x7f]")
 RECORD = "path string, start long, stop long, gap string, type string, id string, refers_to string, uri string, digest string, size long, payload binary"
 
 
@@ -31,6 +32,7 @@ def file_at(path: str) -> tuple[pyarrow.fs.FileSystem, str]:
 
 def record(kind: str, ident: str, uri: str, digest: str, size: int, payload: bytes | None, refers: str | None) -> bytes:
     """One record: WARC header, then an HTTP response; that of a revisit has the header alone, with the length of the payload."""
+    uri = CONTROL.sub(lambda m: f"%{ord(m[0]):02X}", uri)  # a line break would end the header line
     block = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {size}\r\n\r\n".encode() + (payload or b"")
     lines = ["WARC/1.1", f"WARC-Type: {kind}", f"WARC-Record-ID: <{ident}>", f"WARC-Target-URI: {uri}", "Content-Type: application/http; msgtype=response"]
     lines += [f"WARC-Payload-Digest: sha1:{digest}", f"WARC-Block-Digest: sha1:{hashlib.sha1(block).hexdigest()}", f"Content-Length: {len(block)}"]
@@ -260,9 +262,14 @@ def archived_pages(pages: DataFrame) -> DataFrame:
     """Every row of ``pages`` (page_id, url, html; other columns are ignored) as its record was read back from the archives.
 
     (page_id, payload_bytes, payload_digest, record_type, refers_to). A null html is empty; equal payloads are written once, see
-    ``planned``. An empty table gives an empty table.
+    ``planned``. An empty table gives an empty table. Raises if not as many records are read as were written.
     """
-    read = read_archives(write_archives(pages), payloads=False).where("gap is null")
+    manifest = write_archives(pages)
+    read = read_archives(manifest, payloads=False).select("gap", "id", "size", "digest", "type", "refers_to")
+    read = land(read, "warc_records").where("gap is null")
+    written, found = manifest.agg(F.coalesce(F.sum("records"), F.lit(0))).first()[0], read.count()
+    if found != written:
+        raise RuntimeError(f"{written} records were written and {found} read back")
     kind = pages.schema["page_id"].dataType
     page = lambda name: F.when(F.col(name) != "urn:page:", F.substring_index(name, ":", -1)).cast(kind)
     return read.select(page("id").alias("page_id"), F.col("size").alias("payload_bytes"), F.col("digest").alias("payload_digest"), F.col("type").alias("record_type"), page("refers_to").alias("refers_to"))

@@ -29,6 +29,20 @@ def test_pages(spark):
     assert warc.archived_pages(pages(spark, [])).count() == 0
 
 
+def test_line_breaks_in_urls(spark):
+    rows = [(1, "u\r\n\r\nv", "one"), (2, "u\r\nWARC-Type: metadata", "two"), (3, "u\x00\x7f", "three")]
+    assert sorted((r["page_id"], r["record_type"]) for r in warc.archived_pages(pages(spark, rows)).collect()) == [(i, "response") for i in (1, 2, 3)]
+    read = warc.read_archives(warc.write_archives(pages(spark, rows))).collect()
+    assert sorted(r["uri"] for r in read) == ["u%00%7F", "u%0D%0A%0D%0Av", "u%0D%0AWARC-Type: metadata"]
+
+
+def test_missing_records_are_an_error(spark, monkeypatch):
+    write = warc.write_archives
+    monkeypatch.setattr(warc, "write_archives", lambda p: write(p).selectExpr("path", "bytes", "records + 1 AS records"))
+    with pytest.raises(RuntimeError, match="read back"):
+        warc.archived_pages(pages(spark, [(1, "u", "one"), (2, "u", "two")]))
+
+
 def test_payloads_come_back(spark):
     rows = [(i, f"u{i}", f"<p>{'x' * i}</p>") for i in range(50)]
     for gzip in (True, False):
