@@ -104,13 +104,14 @@ def fit(docs: DataFrame, sample: int = SAMPLE, per_language: int = PER_LANGUAGE,
     """A model of the column lang over the texts of documents that are not held out.
 
     Fitted on at most ``sample`` documents, at most ``per_language`` of one language, of at most ``longest`` code points, those of
-    the smallest hash of doc_id; only their gram shares come to the driver. Null languages and texts are not learned from.
+    the smallest hash of doc_id, one row of each; only their gram shares come to the driver. Null languages and texts are not learned from.
     """
     known = docs.where("lang is not null and text is not null and doc_id is not null").where(~held_out()).where(F.length("text") <= longest)
     order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    ranked = known.select("doc_id", "lang").withColumn("place", F.row_number().over(order)).where(F.col("place") <= per_language)
+    ranked = known.select("doc_id", "lang").distinct().withColumn("place", F.row_number().over(order)).where(F.col("place") <= per_language)
     chosen = ranked.orderBy("place", "lang").limit(sample).select("doc_id", "lang").distinct()
-    picked = docs.select("doc_id", "lang", "text").join(chosen, ["doc_id", "lang"])
+    picked = known.select("doc_id", "lang", "text").join(chosen, ["doc_id", "lang"])
+    picked = picked.groupBy("doc_id", "lang").agg(F.min_by("text", F.xxhash64("text")).alias("text"))
 
     def shares(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

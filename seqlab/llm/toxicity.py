@@ -96,14 +96,16 @@ def fit(docs: DataFrame, labels: DataFrame, per_label: int = PER_LABEL, longest:
     """A model of labels (doc_id, toxic) over the texts of documents that are not held out.
 
     Fitted on at most ``per_label`` documents of either label of at most ``longest`` code points, those of the smallest hash of
-    doc_id; their texts, fewer bytes than their grams, come to the driver. A document that is labelled repeatedly is toxic if one label
+    doc_id, one row of each; their texts, fewer bytes than their grams, come to the driver. A document that is labelled repeatedly is toxic if one label
     says so; null labels and null ids are no labels.
     """
     known = labels.where("doc_id is not null and toxic is not null").where(~held_out()).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    short = docs.where(F.length(F.coalesce("text", F.lit(""))) <= longest).select("doc_id").join(known, "doc_id").distinct()
+    bounded = docs.where(F.length(F.coalesce("text", F.lit(""))) <= longest).select("doc_id", "text")
+    short = bounded.select("doc_id").join(known, "doc_id").distinct()
     order = [F.xxhash64("doc_id"), F.col("doc_id")]
     chosen = short.where("toxic > 0").orderBy(*order).limit(per_label).union(short.where("toxic <= 0").orderBy(*order).limit(per_label))
-    picked = docs.select("doc_id", "text").join(chosen, "doc_id").select((F.col("toxic") > 0).cast("int").alias("toxic"), "text")
+    one = bounded.join(chosen, "doc_id").groupBy("doc_id", "toxic").agg(F.min_by("text", F.xxhash64("text")).alias("text"))
+    picked = one.orderBy(*order).select((F.col("toxic") > 0).cast("int").alias("toxic"), "text")
 
     rows = picked.toArrow()
     return train(rows.column("text"), rows.column("toxic").to_numpy())

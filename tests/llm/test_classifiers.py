@@ -69,6 +69,17 @@ def test_scores(spark, documents, odd_texts):
     assert toxicity.score(empty, toxicity.fit(empty, labels)).count() == 0
 
 
+def test_a_repeated_id_is_sampled_once(spark, documents, monkeypatch):
+    rows = [(1, f"text {i}") for i in range(40)] + [(1, "long " * 9000), (2, "two"), (3, "three")]
+    docs, seen = documents(rows), []
+    assert not any(zlib.crc32(str(i).encode()) % 5 == 0 for i in (1, 2, 3))
+    monkeypatch.setattr(toxicity, "train", lambda texts, labels: seen.append(sorted(map(len, texts.to_pylist()))))
+    monkeypatch.setattr(language, "train", lambda rows, langs: seen.append(len(langs)))
+    toxicity.fit(docs, spark.createDataFrame([(1, 1), (2, 0), (3, 0)], "doc_id long, toxic int"))
+    language.fit(docs)
+    assert len(seen[0]) == 3 and max(seen[0]) < 10 and seen[1] == 3
+
+
 def test_held_out_labels_change_nothing(spark, folder):
     docs, labels = (spark.read.parquet(f"{folder}/{t}.parquet") for t in ("documents", "labels"))
     other = labels.selectExpr("doc_id", "quality", "if(crc32(string(doc_id)) % 5 = 0, 1 - toxic, toxic) AS toxic")
