@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from seqlab.llm import chat, language, multi_index, packing, pieces, simhash, spotsigs, token_fst, toxicity, warc
+from seqlab.llm import chat, language, merkle, multi_index, packing, pieces, prefix_trie, rules, simhash, spotsigs, token_fst, toxicity, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -73,14 +73,39 @@ def op10_language(spark: SparkSession, folder: str) -> DataFrame:
     return language.identify(docs, language.fit(docs))
 
 
+def op11_rules(spark: SparkSession, folder: str) -> DataFrame:
+    """The rule ledger of every whole document, and what the base and the production policy say."""
+    return rules.rule_verdicts(table(spark, folder, "documents"))
+
+
+def op12_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    """The trie of the prefixes of all rebuilt conversations."""
+    return prefix_trie.prefix_nodes(table(spark, folder, "conversations"))
+
+
+def op13_merkle(spark: SparkSession, folder: str) -> DataFrame:
+    """The Merkle proof of every document, and what it says of the tampered documents."""
+    return merkle.tampered_proofs(table(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         op1_chat, op2_toxicity, op3_spotsigs, op4_token_counts, op5_packing,
         op6_warc, op7_pieces, op8_multi_index, op9_simhash, op10_language,
+        op11_rules, op12_prefix_trie, op13_merkle,
     )
 }
 
+
+
+def crc32_sql(text: str) -> str:
+    """CRC-32 of an ASCII text in DuckDB, bit by bit."""
+    octets = f"list_transform(string_split({text}, ''), lambda c: CAST(ascii(c) AS BIGINT))"
+    bits = "list_reduce([0, 0, 0, 0, 0, 0, 0, 0], lambda r, z: xor(r >> 1, CASE WHEN r & 1 = 1 THEN 3988292384 ELSE 0 END), xor(a, b))"
+    return f"xor(list_reduce({octets}, lambda a, b: {bits}, CAST(4294967295 AS BIGINT)), 4294967295)"
+
+
 ORACLE: dict[str, str] = {
     "op1_chat": """
         WITH said AS (
@@ -110,4 +135,114 @@ ORACLE: dict[str, str] = {
             CASE WHEN page_id <> first_id THEN first_id END AS refers_to
         FROM grouped
     """,
+    "op11_rules": r"""
+        WITH told AS (
+            SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text,
+                list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS words,
+                list_filter(string_split(coalesce(text, ''), chr(10)), lambda l: regexp_matches(l, '[^\x20\x09-\x0D]')) AS lines
+            FROM documents
+        ), windows AS (
+            SELECT r, i, count(*) OVER (PARTITION BY r, said) AS n FROM (
+                SELECT r, unnest(range(1, len(words) - 3)) AS i, unnest(list_transform(range(1, len(words) - 3), lambda i: array_to_string(words[i:i + 4], ' '))) AS said FROM told
+            )
+        ), repeated AS (
+            SELECT r, count(DISTINCT i + k) AS n FROM (SELECT r, i, unnest(range(5)) AS k FROM windows WHERE n > 1) GROUP BY r
+        ), measured AS (
+            SELECT doc_id, len(words) AS n_words, CAST(length(array_to_string(words, '')) AS BIGINT) AS word_chars,
+                CAST(length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+                len(lines) AS n_lines, CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines, coalesce(n, 0) AS n_repeat_words
+            FROM told LEFT JOIN repeated USING (r)
+        ), failed AS (
+            SELECT *, CAST((n_words < 10)::INT + 2 * (100 * n_repeat_words > 20 * n_words)::INT + 4 * (word_chars < 2 * n_words)::INT
+                + 8 * (word_chars > 14 * n_words)::INT + 16 * (10 * n_symbols > n_words)::INT + 32 * (10 * n_dup_lines > 3 * n_lines)::INT
+                + 64 * (n_words > 100000)::INT AS BIGINT) AS failures
+            FROM measured
+        )
+        SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, failures & 3 > 0 AS base_failed, failures & 63 = 0 AS kept, failures,
+            CAST(CASE WHEN bit_count(failures & 63) = 1 THEN bit_count((failures & 63) - 1) END AS INTEGER) AS decisive
+        FROM failed
+    """,
+    "op12_prefix_trie": f"""
+        WITH own AS (
+            SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST) AS place, coalesce(role, '') AS role, coalesce(text, '') AS text
+            FROM conversations WHERE conv_id IS NOT NULL
+        ), convs AS (
+            SELECT conv_id, conv_id - conv_id % 100 AS base_id, {crc32_sql("CAST(conv_id AS VARCHAR)")} % 6 AS h FROM (SELECT DISTINCT conv_id FROM own)
+        ), turns AS (
+            SELECT c.conv_id, 0 AS part, place, role, text FROM convs c JOIN own o ON o.conv_id = base_id AND place <= h
+            UNION ALL SELECT c.conv_id, 1, place, role, text FROM convs c JOIN own o ON o.conv_id = c.conv_id AND place > h
+        ), walks AS (
+            SELECT conv_id, row_number() OVER w AS depth, list([role, text]) OVER w AS said, length(text) AS chars
+            FROM turns WINDOW w AS (PARTITION BY conv_id ORDER BY part, place)
+            UNION ALL SELECT conv_id, 0, [], 0 FROM convs
+        ), placed AS (
+            SELECT *, min(conv_id) OVER (PARTITION BY said) AS name, max(depth) OVER (PARTITION BY conv_id) = depth AS ends FROM walks
+        ), nodes AS (
+            SELECT name, depth, count(*) AS n_convs, any_value(chars) AS chars,
+                sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (ends), '')) AS ends_sha256
+            FROM placed GROUP BY name, depth, said
+        ), tree AS (
+            SELECT n.*, p.name AS parent FROM nodes n LEFT JOIN placed p ON p.conv_id = n.name AND p.depth = n.depth - 1
+        ), marked AS (
+            SELECT *, (SELECT count(*) FROM tree c WHERE c.parent = t.name AND c.depth = t.depth + 1) AS n_children FROM tree t
+        ), sums AS (
+            SELECT a.name, a.depth, count(*) FILTER (m.n_children = 0) AS n_leaves, CAST(sum((m.n_convs - 1) * m.chars) AS BIGINT) AS saved_tokens
+            FROM marked m JOIN placed a ON a.conv_id = m.name AND a.depth <= m.depth GROUP BY a.name, a.depth
+        )
+        SELECT name AS conv_id, depth, parent AS parent_conv_id, n_convs, n_children, n_leaves, saved_tokens, ends_sha256
+        FROM marked JOIN sums USING (name, depth)
+    """,
+    "op13_merkle": f"""
+        WITH RECURSIVE coded AS (
+            SELECT doc_id, source, text,
+                coalesce(strlen(CAST(doc_id AS VARCHAR)) || ':' || doc_id, '-') || coalesce(strlen(source) || ':' || source, '-')
+                    || coalesce(strlen(lang) || ':' || lang, '-') || coalesce(strlen(CAST(n_chars AS VARCHAR)) || ':' || n_chars, '-') AS head
+            FROM documents
+        ), leaves AS (
+            SELECT doc_id, source, sha256(head || coalesce(strlen(text) || ':' || text, '-')) AS leaf,
+                CASE WHEN {crc32_sql("CAST(doc_id AS VARCHAR)")} % 2 = 0
+                    THEN sha256(head || coalesce(strlen(replace(text, chr(10), '')) || ':' || replace(text, chr(10), ''), '-'))
+                    ELSE sha256(head || coalesce(strlen(text) || ':' || text, '-')) END AS changed
+            FROM coded
+        ), placed AS (
+            SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS idx,
+                dense_rank() OVER (ORDER BY source NULLS FIRST) - 1 AS tree, row_number() OVER () AS r
+            FROM leaves
+        ), inner_nodes AS (
+            SELECT tree, 0 AS level, idx, leaf AS node, count(*) OVER (PARTITION BY tree) AS n FROM placed
+            UNION ALL
+            SELECT tree, level + 1, idx // 3, sha256(string_agg(node, '' ORDER BY idx)), CAST(ceil(any_value(n) / 3) AS BIGINT)
+            FROM inner_nodes WHERE n > 1 GROUP BY tree, level, idx // 3
+        ), subroots AS (
+            SELECT tree, level AS height, node FROM inner_nodes WHERE n = 1
+        ), outer_nodes AS (
+            SELECT 0 AS level, tree AS idx, node, count(*) OVER () AS n FROM subroots
+            UNION ALL
+            SELECT level + 1, idx // 3, sha256(string_agg(node, '' ORDER BY idx)), CAST(ceil(any_value(n) / 3) AS BIGINT)
+            FROM outer_nodes WHERE n > 1 GROUP BY level, idx // 3
+        ), levels AS (
+            SELECT tree, level, idx, node FROM inner_nodes WHERE n > 1
+            UNION ALL SELECT s.tree, height + o.level, o.idx, o.node FROM subroots s, outer_nodes o WHERE o.n > 1
+        ), ways AS (
+            SELECT r, p.tree, 0 AS level, p.idx, height FROM placed p JOIN subroots s USING (tree)
+            UNION ALL
+            SELECT r, tree, level + 1, CASE WHEN level + 1 = height THEN tree ELSE idx // 3 END, height
+            FROM ways w WHERE EXISTS (SELECT 1 FROM levels l WHERE l.tree = w.tree AND l.level = w.level)
+        ), steps AS (
+            SELECT r, w.level, coalesce(string_agg(node, '' ORDER BY l.idx) FILTER (l.idx < w.idx), '') AS before,
+                coalesce(string_agg(node, '' ORDER BY l.idx) FILTER (l.idx > w.idx), '') AS after
+            FROM ways w JOIN levels l ON l.tree = w.tree AND l.level = w.level AND l.idx // 3 = w.idx // 3 GROUP BY r, w.level, w.idx
+        ), proofs AS (
+            SELECT r, sha256(string_agg(before || after, '' ORDER BY level)) AS proof_sha256 FROM steps GROUP BY r
+        ), folds AS (
+            SELECT r, 0 AS level, changed AS node FROM placed
+            UNION ALL SELECT r, level + 1, sha256(before || node || after) FROM folds JOIN steps USING (r, level)
+        ), folded AS (
+            SELECT r, arg_max(node, level) AS folded_root FROM folds GROUP BY r
+        ), root AS (
+            SELECT node AS root FROM outer_nodes WHERE n = 1
+        )
+        SELECT doc_id, leaf, s.node AS subroot, root, coalesce(proof_sha256, sha256('')) AS proof_sha256, folded_root, folded_root = root AS verified
+        FROM placed p JOIN subroots s USING (tree) LEFT JOIN proofs USING (r) JOIN folded USING (r), root
+    """,
 }

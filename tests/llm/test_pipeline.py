@@ -42,5 +42,5 @@ def test_empty_documents(spark, folder, tmp_path):
 def test_queries(spark, folder):
     import __spark_entry__
 
-    names = [*(f"op{n}_" for n in range(1, 11)), "pipeline"]
+    names = [*(f"op{n}_" for n in range(1, 14)), "pipeline"]
     assert all(sum(q.startswith(n) for q in __spark_entry__.queries()) == 1 for n in names)
