@@ -73,3 +73,62 @@ def test_codes_of_any_dimension(dims):
     vectors = rng.normal(size=(300, dims))
     codes = learn(vectors, float(np.sqrt((vectors**2).sum(1).max())), 5, 300)
     assert codes.directions.shape == (dims + 1, multi_index.BITS) and 0 <= codes.radius <= 64
+
+
+def clustered(n, seed=3, dims=24, centres=60):
+    rng = np.random.default_rng(seed)
+    middle = rng.normal(size=(centres, dims))
+    return [(i, [float(x) for x in np.float32(middle[i % centres] + 0.1 * rng.normal(size=dims))]) for i in range(n)]
+
+
+@pytest.mark.parametrize("partitions, adaptive", [(8, "false"), (200, "false"), (8, "true")])
+@pytest.mark.parametrize("block", [250, 100_000])
+def test_all_groups_meet(spark, monkeypatch, partitions, adaptive, block):
+    rows = clustered(4000)
+    if block == 250:
+        monkeypatch.setattr(multi_index, "cell_bits", lambda *a: 3)
+    spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+    spark.conf.set("spark.sql.shuffle.partitions", str(partitions))
+    try:
+        vectors = frame(spark, rows)
+        found = {}
+        for r in search(vectors, vectors.where("vec_id % 20 = 0"), 20, block, 50).collect():
+            found.setdefault(r["query_id"], set()).add(r["vec_id"])
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+    data = np.array([v for _, v in rows])
+    scores = data[::20] @ data.T
+    assert len(found) == 200 and all(len(x) == 20 for x in found.values())
+    hits = 0
+    for at, q in enumerate(range(0, 4000, 20)):
+        scores[at, q] = -np.inf
+        hits += len(found[q] & set(np.argsort(-scores[at])[:20].tolist()))
+    assert hits >= 0.95 * 20 * 200
+
+
+def test_cells_give_every_code_in_the_radius_once():
+    rng = np.random.default_rng(2)
+    codes = rng.integers(0, 1 << 63, 3, dtype=np.uint64).repeat(200) ^ (np.uint64(1) << rng.integers(0, 64, 600).astype(np.uint64))
+    for radius in (2, 9, 21):
+        for code in codes[:4]:
+            got = [r for p in range(multi_index.PARTS) for r in Index(codes, range(p, p + 1)).within(code, radius)]
+            assert sorted(got) == np.flatnonzero(np.bitwise_count(codes ^ code) <= radius).tolist()
+
+
+def test_cells_follow_the_radius():
+    assert multi_index.cell_bits(51_300, 2565, 28, 8192, 4096) == 0
+    assert multi_index.cell_bits(10**9, 5 * 10**7, 8, 8192, 4096) > 8
+    assert multi_index.cell_bits(100, 5, 3, 8192, 4096) == 0
+
+
+def test_queries_with_few_rows_in_the_radius(spark, monkeypatch):
+    learn_codes = multi_index.learn
+    monkeypatch.setattr(multi_index, "learn", lambda *a: multi_index.Codes(learn_codes(*a).directions, a[1], 0))
+    rows = clustered(200, dims=5)
+    vectors = frame(spark, rows)
+    want = brute(rows, rows[:40], 30)
+    found = {}
+    for r in search(vectors, vectors.where("vec_id < 40"), 30, 64, 16).collect():
+        found.setdefault(r["query_id"], {})[r["rank"]] = r["vec_id"]
+    assert {q: [i for _, i in best] for q, best in want.items()} == {q: [x[n] for n in sorted(x)] for q, x in found.items()}
