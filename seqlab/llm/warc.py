@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import base64
 import hashlib
 import posixpath
 import re
@@ -125,7 +126,7 @@ class Archive:
         return self.buffer[at - self.at : at - self.at + size]
 
     def data(self, at: int) -> tuple[bytes, int]:
-        """What is unpacked of the record at a place, and the end of the record."""
+        """What is unpacked of the member at a place, or the record there, and its end."""
         if self.gzip:
             unpacker, parts = zlib.decompressobj(31), []
             while not unpacker.eof:
@@ -154,34 +155,28 @@ class Archive:
             raise Damage("cut off")
         return data, at + size
 
-    def record(self, at: int) -> dict:
-        """The checked record at a place; raises ``Damage`` if a check fails."""
+    def at_place(self, at: int) -> list[dict]:
+        """The checked records at a place: of a member all, with a gap for each part of it that fails; raises ``Damage`` if none is sound.
+
+        ``stop`` is the end of the member, or of the record.
+        """
         data, stop = self.data(at)
-        head, _, rest = data.partition(b"\r\n\r\n")
-        size = length_of(data)
-        block = rest[:size]
-        fields = dict(line.split(": ", 1) for line in head.decode("utf-8", "replace").split("\r\n")[1:] if ": " in line)
-        if not LINE.match(data) or len(block) < size or rest[size:] != b"\r\n\r\n":
-            raise Damage("wrong length")
-        if "WARC-Block-Digest" in fields and fields["WARC-Block-Digest"] != "sha1:" + hashlib.sha1(block).hexdigest():
-            raise Damage("wrong block digest")
-        http, _, payload = block.partition(b"\r\n\r\n")
-        digest = fields.get("WARC-Payload-Digest", "sha1:").removeprefix("sha1:")
-        kind = fields.get("WARC-Type")
-        try:
-            length = length_of(http + b"\r\n\r\n")
-        except Damage:
-            length = len(payload)
-        if kind == "response" and digest and (digest != hashlib.sha1(payload).hexdigest() or length != len(payload)):
-            raise Damage("wrong payload digest")
-        named = lambda name: fields[name].strip("<>") if name in fields else None
-        return {
-            "start": at, "stop": stop, "type": kind, "id": named("WARC-Record-ID"), "refers_to": named("WARC-Refers-To"),
-            "uri": named("WARC-Target-URI"), "digest": digest, "size": length, "payload": payload,
-        }
-
-    def next_record(self, at: int, stop: int) -> dict | None:
-        """The first record that passes all checks and starts from ``at`` to before ``stop``: at a member, or at a version line."""
+        found, inner, first = [], 0, None
+        while inner < len(data):
+            try:
+                one, inner = checked(data, inner)
+                found.append(one)
+            except Damage as damage:
+                first = first or damage
+                found.append({"gap": str(damage)})
+                after = LINE.search(data, inner + 1) if self.gzip else None
+                inner = after.start() if after else len(data)
+        if all("gap" in f for f in found):
+            raise first or Damage("empty")
+        return [f | {"start": at, "stop": stop} for f in found]
+
+    def next_place(self, at: int, stop: int) -> int | None:
+        """The first place from ``at`` to before ``stop`` with a record that passes all checks: a member, or a version line."""
         mark = MEMBER if self.gzip else VERSION
         while at < stop:
             piece = self.read(at, min(BLOCK, stop - at + len(mark) - 1))
@@ -190,7 +185,8 @@ class Archive:
                 at += max(len(piece) - len(mark) + 1, 1)
                 continue
             try:
-                return self.record(at + found)
+                self.at_place(at + found)
+                return at + found
             except Damage:
                 at += found + 1
         return None
@@ -199,28 +195,82 @@ class Archive:
         """The records that start in a range, and the gaps after them: from the end of a good record to the start of the next."""
         at = start
         if start:
-            first = self.next_record(start, min(stop, self.size))
+            first = self.next_place(start, min(stop, self.size))
             if first is None:
                 return
-            at = first["start"]
+            at = first
         while at < self.size:
             try:
-                found = self.record(at)
+                found = self.at_place(at)
             except Damage as damage:
-                after = self.next_record(at + 1, self.size)
-                end = self.size if after is None else after["start"]
+                after = self.next_place(at + 1, self.size)
+                end = self.size if after is None else after
                 yield {"start": at, "stop": end, "gap": str(damage)}
                 at = end
             else:
                 if at >= stop:
                     return
-                yield found
-                at = found["stop"]
+                yield from found
+                at = found[-1]["stop"]
                 continue
             if at >= stop:
                 return
 
 
+def checked(data: bytes, at: int) -> tuple[dict, int]:
+    """The record that starts at a place of unpacked data, and its end; raises ``Damage`` if a check fails.
+
+    Field names may be in any case, and digests in hexadecimal or base 32. The length is that of the WARC header; a block digest
+    that is right vouches for the payload, whose own digest may be of another form of it. Digests of unknown kinds are not checked.
+    """
+    if not LINE.match(data, at):
+        raise Damage("no version line")
+    end = data.find(b"\r\n\r\n", at)
+    if end < 0:
+        raise Damage("no end of the header")
+    head, size = data[at:end], length_of(data[at : end + 4])
+    block, stop = data[end + 4 : end + 4 + size], end + 8 + size
+    lines = (line.split(":", 1) for line in head.decode("utf-8", "replace").split("\r\n")[1:] if ":" in line)
+    fields = {name.strip().lower(): value.strip() for name, value in lines}
+    if len(block) < size or data[stop - 4 : stop] != b"\r\n\r\n":
+        raise Damage("wrong length")
+    sound = same_digest(fields.get("warc-block-digest"), block)
+    if sound is False:
+        raise Damage("wrong block digest")
+    http, _, payload = block.partition(b"\r\n\r\n")
+    kind, told = fields.get("warc-type"), fields.get("warc-payload-digest")
+    if kind == "response" and not sound and same_digest(told, payload) is False:
+        raise Damage("wrong payload digest")
+    length = len(payload)
+    if kind == "revisit":  # it has the header of the payload alone
+        try:
+            length = length_of(http + b"\r\n\r\n")
+        except Damage:
+            pass
+    named = lambda name: fields[name].strip("<>") if name in fields else None
+    one = {"type": kind, "id": named("warc-record-id"), "refers_to": named("warc-refers-to"), "uri": named("warc-target-uri")}
+    return one | {"digest": digest_of(told)[1], "size": length, "payload": payload}, stop
+
+
+def digest_of(told: str | None) -> tuple[str, str]:
+    """The kind of a digest and its value in lower-case hexadecimal, as it is if it is in neither form; nothing for none."""
+    kind, _, value = (told or "").partition(":")
+    kind = kind.lower()
+    size = {"md5": 16, "sha1": 20, "sha256": 32, "sha512": 64}.get(kind)
+    if size and len(value) != 2 * size:
+        try:
+            value = base64.b32decode(value.upper() + "=" * (-len(value) % 8)).hex()
+        except ValueError:
+            return "", value
+    return (kind if size and len(value) == 2 * size else ""), value.lower() if size else value
+
+
+def same_digest(told: str | None, data: bytes) -> bool | None:
+    """Whether data has a digest; None if the digest is of no known kind."""
+    kind, value = digest_of(told)
+    return hashlib.new(kind, data).hexdigest() == value if kind else None
+
+
 def length_of(head: bytes) -> int:
     """The Content-Length of a header."""
     for line in head.partition(b"\r\n\r\n")[0].split(b"\r\n")[1:]:

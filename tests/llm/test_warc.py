@@ -1,3 +1,4 @@
+import base64
 import hashlib
 import random
 
@@ -81,3 +82,44 @@ def test_empty_archive(tmp_path):
     path = tmp_path / "a.warc.gz"
     path.write_bytes(b"")
     assert list(Archive(str(path)).records(0, 100)) == []
+
+
+def base32(kind, data):
+    return f"{kind}:{base64.b32encode(hashlib.new(kind, data).digest()).decode().rstrip('=')}".encode()
+
+
+def foreign(ident, payload, block_digest=None, payload_digest=None, http_length=None, names=str):
+    """A record as other writers make it: digests as they are given, field names in any case, another HTTP length."""
+    block = b"HTTP/1.1 200 OK\r\nContent-Length: %d\r\n\r\n" % (len(payload) if http_length is None else http_length) + payload
+    fields = {"WARC-Type": b"response", "WARC-Record-ID": b"<%s>" % ident.encode(), "Content-Length": b"%d" % len(block)}
+    fields |= {"WARC-Block-Digest": block_digest(block)} if block_digest else {}
+    fields |= {"WARC-Payload-Digest": payload_digest(payload)} if payload_digest else {}
+    return b"WARC/1.0\r\n" + b"".join(names(k).encode() + b": " + v + b"\r\n" for k, v in fields.items()) + b"\r\n" + block + b"\r\n\r\n"
+
+
+@pytest.mark.parametrize("gzip", [True, False])
+def test_records_of_other_writers(tmp_path, gzip):
+    sha = lambda d: base32("sha1", d)
+    good = [
+        foreign("a", b"one", sha, sha), foreign("b", b"two", lambda d: base32("sha256", d), names=str.lower), foreign("c", b"", None, lambda d: b"SHA1:" + hashlib.sha1(d).hexdigest().upper().encode(), names=str.upper),
+        foreign("d", b"chunked", sha, lambda d: sha(b"another form"), http_length=99), foreign("e", b"x", lambda d: b"blake9:abc"), foreign("f", b"y", http_length=5),
+    ]
+    bad = [foreign("g", b"z", lambda d: sha(d + b"!")), foreign("h", b"z", None, lambda d: sha(d + b"!"))]
+    path = tmp_path / ("a.warc.gz" if gzip else "a.warc")
+    path.write_bytes(b"".join(map(compressed if gzip else bytes, good + bad)))
+    found = list(Archive(str(path)).records(0, 1 << 40))
+    records = [r for r in found if "gap" not in r]
+    assert [r["id"] for r in records] == list("abcdef") and records[0]["digest"] == hashlib.sha1(b"one").hexdigest()
+    assert records[2]["digest"] == hashlib.sha1(b"").hexdigest()
+    assert [r["gap"] for r in found if "gap" in r][0] == "wrong block digest"
+
+
+@pytest.mark.parametrize("split", [1 << 40, 64])
+def test_several_records_in_a_member(tmp_path, split):
+    make = lambda i: foreign(i, i.encode() * 20, lambda d: base32("sha1", d))
+    broken = make("x").replace(b"xxx", b"yyy", 1)
+    members = [make("a") + make("b"), make("c") + broken + make("d"), broken + make("e"), broken, make("f")]
+    path = tmp_path / "a.warc.gz"
+    path.write_bytes(data := b"".join(map(compressed, members)))
+    found = [r for at in range(0, len(data), split) for r in Archive(str(path)).records(at, at + split)]
+    assert [r.get("id", r.get("gap")) for r in found] == ["a", "b", "c", "wrong block digest", "d", "wrong block digest", "e", "wrong block digest", "f"]
