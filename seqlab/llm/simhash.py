@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from seqlab.llm.components import components
-from seqlab.llm.worker import append_columns
+from seqlab.llm.worker import append_columns, unused
 from seqlab.session import land
 
 #: Differing bits of linked fingerprints, at most. The two half embeddings below are made for 3.
@@ -167,11 +167,11 @@ def drop_near_duplicates(docs: DataFrame) -> DataFrame:
 
     Rows are told apart by doc_id and a hash of the text, so that the texts are fingerprinted once and shuffled once.
     """
-    digest = F.xxhash64("text").alias("text_hash")
-    rows = land(fingerprints(docs.select("doc_id", "text", digest), ["doc_id", "text_hash"]), "simhash")
+    own = unused("text_hash", docs.columns)
+    rows = land(fingerprints(docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash")), ["doc_id", "text_hash"]), "simhash")
     groups = near_duplicates(rows)
     firsts = rows.join(groups, "fp").groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "text_hash")).alias("kept"))
     firsts = firsts.select(F.col("kept.doc_id").alias("kept_id"), F.col("kept.text_hash").alias("kept_hash"))
     same = docs["doc_id"].eqNullSafe(firsts["kept_id"]) & (F.xxhash64(docs["text"]) == firsts["kept_hash"])
     kept = docs.join(firsts, same, "left_semi")
-    return kept.groupBy("doc_id", F.xxhash64("text").alias("text_hash")).agg(*(F.first(c).alias(c) for c in docs.columns if c != "doc_id")).select(*docs.columns)
+    return kept.groupBy("doc_id", F.xxhash64("text").alias(own)).agg(*(F.first(c).alias(c) for c in docs.columns if c != "doc_id")).select(*docs.columns)

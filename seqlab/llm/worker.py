@@ -65,6 +65,14 @@ def append_columns(
     return source.mapInArrow(run, schema)
 
 
+def unused(name: str, columns: list[str]) -> str:
+    """A column name that none of ``columns`` has, in any case of letters."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
+
+
 def keep_rows(df: DataFrame, accept: Callable[[list[str]], Any], column: str = "text") -> DataFrame:
     """The rows of ``df``, all columns, whose text ``accept`` says true to."""
 

@@ -127,3 +127,12 @@ def test_table(spark, folder):
     found = {r["doc_id"]: r["component_id"] for r in simhash_components(docs).collect()}
     assert [found[r["doc_id"]] for r in rows] == [rows[g]["doc_id"] for g in label]
     assert fingerprints(docs, ["doc_id"]).where(F.col("fp").isNull()).count() == 0
+
+
+def test_columns_that_the_stage_would_name_itself(spark):
+    rows = [(1, "a b c d", "p"), (2, "a b c d", "q"), (3, "e f g h", "r"), (None, "e f g h", "s")]
+    names = ["text_hash", "FP", "root", "kept_id", "kept_hash", "component_id", "first_id"]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, Text_Hash string").repartition(2)
+    docs = docs.selectExpr("*", *(f"1 AS {n}" for n in names[1:]))
+    kept = drop_near_duplicates(docs)
+    assert kept.columns == docs.columns and sorted((r["doc_id"], r["Text_Hash"]) for r in kept.collect()) == [(1, "p"), (3, "r")]
