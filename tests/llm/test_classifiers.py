@@ -52,9 +52,41 @@ def test_whole_texts_count(model):
     assert model.score(["a b " * 40_000, ""]).shape == (2,)
 
 
-def test_training_with_one_label_or_none():
-    assert toxicity.train([], np.array([])).score(["x"])[0] < 0.5
-    assert toxicity.train(["abc"], np.array([1])).score(["x"])[0] > 0.5
+def test_no_evidence_is_the_share_of_labels_and_not_toxic(model):
+    assert model.score(["", "???"]) == pytest.approx([120 / 420] * 2)
+    assert toxicity.train([], np.array([])).score(["x"])[0] < 0.01
+    assert toxicity.train(["abc"], np.array([1])).score(["x", ""]).tolist() == pytest.approx([toxicity.MOST_PRIOR] * 2)
+    for labels in ([0, 1], [0, 0, 1], [0, 1, 0, 0, 1, 0]):
+        few = toxicity.train([f"text number {i}" for i in range(len(labels))], np.array(labels))
+        assert few.score(["text number 1", "", "other"]) == pytest.approx([min(np.mean(labels), toxicity.MOST_PRIOR)] * 3)
+    assert toxicity.train(["a b", "c d"], np.array([0, 1]), share=0.03).score([""])[0] == pytest.approx(0.03)
+
+
+def test_labels_that_texts_do_not_tell_apart():
+    rng = random.Random(5)
+    texts = [prose(rng, 60) for _ in range(400)]
+    blind = toxicity.train(texts, np.array([i % 10 == 0 for i in range(400)]))
+    assert (blind.score([prose(rng, 60) for _ in range(200)]) < 0.5).mean() > 0.97
+
+
+def test_labels_that_differ_by_a_factor():
+    rng, texts, labels = random.Random(9), [], []
+    for i in range(1200):
+        toxic = i % 3 == 0
+        texts.append(prose(rng, 40, ["grubworm"] * 4 if rng.random() < (0.6 if toxic else 0.3) else []))
+        labels.append(int(toxic))
+    model = toxicity.train(texts, np.array(labels))
+    with_word, without = (model.score([prose(rng, 40, extra) for _ in range(100)]).mean() for extra in (["grubworm"] * 4, []))
+    assert without < 0.32 and 0.4 < with_word and model.score([""])[0] == pytest.approx(1 / 3)
+
+
+def test_held_out_documents_of_the_tables(spark):
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet") for t in ("documents", "labels"))
+    model = toxicity.fit(docs, labels)
+    found = toxicity.score(docs, model).where("held_out").join(labels, "doc_id").select("predicted", "toxic").collect()
+    hits = sum(r["predicted"] and r["toxic"] for r in found)
+    assert (model.value != 0).sum() > 1000
+    assert hits >= 0.9 * sum(r["toxic"] for r in found) and hits >= 0.9 * sum(r["predicted"] for r in found)
 
 
 def test_scores(spark, documents, odd_texts):
@@ -73,7 +105,7 @@ def test_a_repeated_id_is_sampled_once(spark, documents, monkeypatch):
     rows = [(1, f"text {i}") for i in range(40)] + [(1, "long " * 9000), (2, "two"), (3, "three")]
     docs, seen = documents(rows), []
     assert not any(zlib.crc32(str(i).encode()) % 5 == 0 for i in (1, 2, 3))
-    monkeypatch.setattr(toxicity, "train", lambda texts, labels: seen.append(sorted(map(len, texts.to_pylist()))))
+    monkeypatch.setattr(toxicity, "train", lambda texts, labels, share: seen.append(sorted(map(len, texts.to_pylist()))))
     monkeypatch.setattr(language, "train", lambda rows, langs: seen.append(len(langs)))
     toxicity.fit(docs, spark.createDataFrame([(1, 1), (2, 0), (3, 0)], "doc_id long, toxic int"))
     language.fit(docs)
