@@ -1,8 +1,8 @@
 """FASTQ and FASTA files as Spark data sources: ``spark.read.format("fastq").load(path)``.
 
-A record is four lines and its number is its position in the file, so a file is read by one task; small files
-share a task. Files are read in blocks and handed over as Arrow batches, in constant memory. Load archives once and
-keep them as Parquet, which is splittable.
+A record is four lines and its number is its position in the file, so here a file is read by one task; small files
+share a task. Files are read in blocks and handed over as Arrow batches, in constant memory. ``splits.read_fastq`` gives
+the same rows with many tasks for a large file.
 """
 
 from __future__ import annotations
@@ -103,6 +103,17 @@ def name_parts(path: str, paired: bool = True) -> tuple[str, int, int]:
     return sample, mate, int(folders.get("chunk", 0))
 
 
+def checked_files(path: str, paired: bool) -> list[tuple[str, int]]:
+    """(path, bytes) of the files below ``path``; two of one sample, mate and chunk are an error."""
+    files, seen = list_files(path, FASTQ_FILE if paired else FASTA_FILE), {}
+    for file, _ in files:
+        key = name_parts(file, paired)
+        if key in seen:
+            raise ValueError(f"{seen[key]} and {file} are both files of sample {key[0]}, mate {key[1]}, chunk {key[2]}.")
+        seen[key] = file
+    return files
+
+
 class SequenceReader(DataSourceReader):
     def __init__(self, options, schema: pa.Schema, parse, paired: bool):
         self.path = options.get("path")
@@ -114,12 +125,7 @@ class SequenceReader(DataSourceReader):
     def partitions(self):
         packs: list[list[str]] = []
         room = 0
-        seen: dict[tuple, str] = {}
-        for path, size in list_files(self.path, FASTQ_FILE if self.paired else FASTA_FILE):
-            key = name_parts(path, self.paired)
-            if key in seen:
-                raise ValueError(f"{seen[key]} and {path} are both files of sample {key[0]}, mate {key[1]}, chunk {key[2]}.")
-            seen[key] = path
+        for path, size in checked_files(self.path, self.paired):
             if not packs or size > room:
                 packs.append([])
                 room = self.bytes
@@ -136,8 +142,8 @@ class SequenceReader(DataSourceReader):
                     )
 
 
-def fastq_blocks(path: str, lines):
-    """Column lists of whole records; the scan ends at the first empty header."""
+def fastq_blocks(path: str, lines, ended_early: list | None = None):
+    """Column lists of whole records; the scan ends at the first empty header, and tells ``ended_early`` that it did."""
     sample, mate, chunk = name_parts(path)
     number, rest, ended = chunk << CHUNK_SHIFT, [], False
     while not ended:
@@ -150,6 +156,8 @@ def fastq_blocks(path: str, lines):
         headers = rest[0:whole:4]
         if "" in headers:
             whole, ended = headers.index("") * 4, True
+            if ended_early is not None:
+                ended_early.append(True)
         size = whole // 4
         if size:
             yield (
@@ -165,7 +173,7 @@ def fastq_blocks(path: str, lines):
         rest = rest[whole:]
 
 
-def fasta_blocks(path: str, lines):
+def fasta_blocks(path: str, lines, ended_early: list | None = None):
     """Column lists of contigs with at least one base; sequence lines are joined."""
     sample, _, chunk = name_parts(path, paired=False)
     # A written chunk holds the indices from chunk * 4096 on; those of chunk 0 start with 1.
