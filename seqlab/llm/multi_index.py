@@ -178,18 +178,24 @@ def cell_of(part: int, bits: int) -> Column:
     return F.shiftrightunsigned("code", (part + 1) * PART_BITS - bits).bitwiseAND(F.lit((1 << bits) - 1)).cast("int")
 
 
-def dealt(rows: DataFrame, asked: DataFrame, block: int, query_block: int) -> tuple[DataFrame, DataFrame]:
+def dealt(rows: DataFrame, asked: DataFrame, block: int, query_block: int, sizes: tuple[int, int] | None = None) -> tuple[DataFrame, DataFrame]:
     """Both sides with the ``KEYS`` of the groups that search: a cell with many rows or visits is split into blocks of either.
 
-    Keys are int on both sides: groups of different types would be hashed to different partitions and never meet.
+    ``sizes`` are those of both sides if all is one cell. Keys are int on both sides: groups of different types would be hashed to
+    different partitions and never meet.
     """
-    n = rows.groupBy("part", "cell").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("blocks"))
-    m = asked.groupBy("part", "cell").agg(F.ceil(F.count(F.lit(1)) / query_block).cast("int").alias("query_blocks"))
-    cells = land(n.join(m, ["part", "cell"]), "cells")
+    if sizes:
+        blocks, query_blocks = (F.lit(max(-(-n // most), 1)) for n, most in zip(sizes, (block, query_block), strict=True))
+        rows, asked = (x.withColumns({"blocks": blocks, "query_blocks": query_blocks}) for x in (rows, asked))
+    else:
+        n = rows.groupBy("part", "cell").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("blocks"))
+        m = asked.groupBy("part", "cell").agg(F.ceil(F.count(F.lit(1)) / query_block).cast("int").alias("query_blocks"))
+        cells = land(n.join(m, ["part", "cell"]), "cells")
+        rows, asked = (x.join(cells, ["part", "cell"]) for x in (rows, asked))
     own = lambda of: F.pmod(F.xxhash64("vec_id"), F.col(of)).cast("int")
     every = lambda of: F.explode(F.sequence(F.lit(0), (F.col(of) - 1).cast("int")))
-    left = rows.join(cells, ["part", "cell"]).select("vec_id", "embedding", "part", "cell", own("blocks").alias("block"), every("query_blocks").alias("query_block"))
-    right = asked.join(cells, ["part", "cell"]).select("vec_id", "embedding", "part", "cell", every("blocks").alias("block"), own("query_blocks").alias("query_block"))
+    left = rows.select("vec_id", "embedding", "part", "cell", own("blocks").alias("block"), every("query_blocks").alias("query_block"))
+    right = asked.select("vec_id", "embedding", "part", "cell", every("blocks").alias("block"), own("query_blocks").alias("query_block"))
     return left, right
 
 
@@ -235,13 +241,14 @@ def search(rows: DataFrame, queries: DataFrame, k: int = 20, block: int = ROWS,
     sample = good.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE).toArrow()["embedding"].to_pylist()
     codes = learn(np.array(sample, np.float64), norm, k, size["count"])
     sent = spark.sparkContext.broadcast((codes.directions, codes.norm, codes.radius))
-    bits = cell_bits(size["count"], asked.count(), codes.radius, block, query_block)
+    n_rows, n_asked = size["count"], asked.count()
+    bits = cell_bits(n_rows, n_asked, codes.radius, block, query_block)
     coded, asks = (with_codes(x, sent, q) if bits else x for x, q in ((good, False), (asked, True)))
-    sides = dealt(in_cells(coded, bits, None), in_cells(asks, bits, codes.radius // PARTS), block, query_block)
+    sides = dealt(in_cells(coded, bits, None), in_cells(asks, bits, codes.radius // PARTS), block, query_block, None if bits else (n_rows, n_asked))
     near = land(best_found(*sides, sent, k, bits, exact=False), "near")
     enough = near.where(F.col("rank") == k).select(F.col("query_id").alias("vec_id"))
     short = land(asked.join(enough, "vec_id", "left_anti"), "short")
     if short.isEmpty():
         return near
-    rest = best_found(*dealt(in_cells(good, 0, None), in_cells(short, 0, None), block, query_block), sent, k, 0, exact=True)
+    rest = best_found(*dealt(in_cells(good, 0, None), in_cells(short, 0, None), block, query_block, (n_rows, short.count())), sent, k, 0, exact=True)
     return near.join(enough.select(F.col("vec_id").alias("query_id")), "query_id", "left_semi").select(*rest.columns).union(rest)
