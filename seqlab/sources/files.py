@@ -17,21 +17,14 @@ from seqlab.sources.sequences import _filesystem
 BLOCK_BYTES = 4 << 20
 
 
-def _listing(spark: SparkSession, path) -> DataFrame:
+def listing(spark: SparkSession, path) -> DataFrame:
     """(path, length); the content column is pruned, so no file is read."""
     return spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("path", "length")
 
 
-def folder_listing(spark: SparkSession, path: str, *folders: str) -> DataFrame:
-    """(path, length) of the data files below ``path`` and the values of the given name=value folders."""
-    files = _listing(spark, path).where(F.element_at(F.split("path", "/"), -1).startswith("part-"))
-    values = {f: F.expr(f"url_decode(replace(regexp_extract(path, '/{f}=([^/]*)/', 1), '+', '%2B'))") for f in folders}
-    return files.withColumns(values)
-
-
 def file_digest(spark: SparkSession, path) -> DataFrame:
     """(path, length, md5) of whole files, digested block by block."""
-    return _listing(spark, path).mapInPandas(_digest_batches, "path string, length bigint, md5 string")
+    return listing(spark, path).mapInPandas(_digest_batches, "path string, length bigint, md5 string")
 
 
 def _digest_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -66,7 +59,7 @@ def corrupt_files(spark: SparkSession, path: str, out: str, seed: int = 42, ensu
     Returns (path, copy, length, position), landed: the files are copied once, before the function returns. The path
     below ``path`` is kept and is the key of the draw, so files of equal names in different folders stay apart.
     """
-    files = _listing(spark, path).where(F.col("length") > 0)
+    files = listing(spark, path).where(F.col("length") > 0)
     root = F.lit(_root(path) + "/")
     inner = F.expr("substring(path, instr(path, root) + length(root))")
     named = files.withColumn("root", root).withColumn("inner", F.when(F.contains("path", "root"), inner).otherwise(F.element_at(F.split("path", "/"), -1)))

@@ -29,7 +29,7 @@ CONTIGS_SHIFT = 12
 # The names of either format; part files of a text writer count for both, as they are in folders of one kind.
 FASTQ_FILE = re.compile(r"\.(fastq|fq)(\.gz)?$|^part-.*\.txt(\.gz)?$", re.IGNORECASE)
 FASTA_FILE = re.compile(r"\.(fasta|fna|fa)(\.gz)?$|^part-.*\.txt(\.gz)?$", re.IGNORECASE)
-MATE_FILE = re.compile(r"^(?P<sample>.+?)[._]R?(?P<mate>[12])(_001)?$")
+MATE_FILE = re.compile(r"^(?P<sample>.+?)[._]R?(?P<mate>[12])(_(?P<segment>\d{3,}))?$")
 FASTQ_SCHEMA = pa.schema(
     [
         ("sample_id", pa.string()),
@@ -93,14 +93,15 @@ def open_text(path: str):
 def name_parts(path: str, paired: bool = True) -> tuple[str, int, int]:
     """(sample, mate, chunk) from sample_id=/mate=/chunk= folders or from the file name.
 
-    Only names of ``paired`` files may end in a mate number; elsewhere a number is part of the name.
+    Only names of ``paired`` files may end in a mate number, and a segment number from 001 on; elsewhere a number is part of the name.
     """
     folders = dict(part.split("=", 1) for part in path.split("/")[:-1] if "=" in part)
     stem = (FASTQ_FILE if paired else FASTA_FILE).sub("", path.rsplit("/", 1)[-1])
     match = MATE_FILE.match(stem) if paired else None
     sample = unquote(folders["sample_id"]) if "sample_id" in folders else (match["sample"] if match else stem)
     mate = int(folders["mate"]) if "mate" in folders else (int(match["mate"]) if match else 1)
-    return sample, mate, int(folders.get("chunk", 0))
+    segment = max(int(match["segment"]) - 1, 0) if match and match["segment"] else 0
+    return sample, mate, int(folders.get("chunk", segment))
 
 
 def checked_files(path: str, paired: bool) -> list[tuple[str, int]]:
@@ -232,9 +233,11 @@ class FastaSource(DataSource):
 
 
 def register(spark: SparkSession) -> SparkSession:
-    """Make the formats "fastq" and "fasta" known to the session."""
-    spark.dataSource.register(FastqSource)
-    spark.dataSource.register(FastaSource)
+    """Make the formats "fastq", "fasta" and "record_files" known to the session."""
+    from seqlab.sources.record_files import RecordFiles
+
+    for source in (FastqSource, FastaSource, RecordFiles):
+        spark.dataSource.register(source)
     return spark
 
 

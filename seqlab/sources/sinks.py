@@ -4,12 +4,12 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from seqlab.functions import div
+from seqlab.functions import div, draw_uniform
 from seqlab.session import land, landing_folder
-from seqlab.sources.files import folder_listing, join_files
+from seqlab.sources.files import join_files, listing
 
 CHUNK_PAIRS = 4_000_000
 CONTIGS_SHIFT = 12
@@ -25,20 +25,32 @@ def write_sheet(df: DataFrame, path: str, columns: list[str] | None = None, orde
     )
 
 
-def write_fastq(reads: DataFrame, path: str, chunk_pairs: int = CHUNK_PAIRS, compression: str = "gzip") -> None:
-    """Folders sample_id=/mate=/chunk= of FASTQ text, both mates in the same record order.
+def chunked(reads: DataFrame, chunk_pairs: int) -> DataFrame:
+    """``reads`` with chunk, and chunks: how many the sample has. A chunk holds the pair ids of one range, of one origin.
 
-    A chunk holds the pair ids of one range, so a sample of any size is spread over many tasks and files. With an
-    ``origin`` column, the chunks of contaminant reads come before those of host reads; nothing in a path tells which
-    is which. Chunks are numbered 0, 1, 2, ... in each sample, so reading and writing again does not raise the numbers.
+    With an ``origin`` column, the chunks of contaminant reads come before those of host reads; nothing in a number tells which is
+    which. Chunks are numbered 0, 1, 2, ... in each sample, so reading and writing again does not raise the numbers.
     """
     host = (F.col("origin") == "host").cast("int") if "origin" in reads.columns else F.lit(0)
     placed = reads.withColumns({"_part": host, "_range": div(F.col("pair_id"), F.lit(chunk_pairs))})
     ranges = placed.select("sample_id", "_part", "_range").distinct()
-    number = F.row_number().over(Window.partitionBy("sample_id").orderBy("_part", "_range")) - 1
-    numbered = placed.join(land(ranges.withColumn("chunk", number), "chunks"), ["sample_id", "_part", "_range"])
+    sample = Window.partitionBy("sample_id")
+    number = (F.row_number().over(sample.orderBy("_part", "_range")) - 1).alias("chunk")
+    counted = ranges.select("*", number, F.count(F.lit(1)).over(sample).alias("chunks"))
+    return placed.join(land(counted, "chunks"), ["sample_id", "_part", "_range"])
+
+
+def fastq_record() -> Column:
+    return F.concat_ws("\n", "header", "sequence", "plus", "quality").alias("value")
+
+
+def write_fastq(reads: DataFrame, path: str, chunk_pairs: int = CHUNK_PAIRS, compression: str = "gzip") -> None:
+    """Folders sample_id=/mate=/chunk= of FASTQ text, both mates in the same record order; for chunks see ``chunked``.
+
+    A sample of any size is spread over many tasks and files.
+    """
     folders = ["sample_id", "mate", "chunk"]
-    records = numbered.select(*folders, "pair_id", F.concat_ws("\n", "header", "sequence", "plus", "quality").alias("value"))
+    records = chunked(reads, chunk_pairs).select(*folders, "pair_id", fastq_record())
     (
         records.repartition(*folders)
         .sortWithinPartitions(*folders, "pair_id")
@@ -49,23 +61,64 @@ def write_fastq(reads: DataFrame, path: str, chunk_pairs: int = CHUNK_PAIRS, com
     )
 
 
-def write_read_files(reads: DataFrame, path: str, corrupt: DataFrame | None = None, seed: int = 42, chunk_pairs: int = CHUNK_PAIRS) -> DataFrame:
-    """One file <sample_id>_R<mate>.fastq.gz for each sample and mate; returns the table of files that were written.
+def write_read_files(
+    reads: DataFrame, path: str, corrupt: DataFrame | None = None, seed: int = 42, chunk_pairs: int = CHUNK_PAIRS, segmented: bool = False
+) -> DataFrame:
+    """One file <sample_id>_R<mate>.fastq.gz for each sample and mate; returns (target, path, length, position) of the files.
 
-    The chunks are written by many tasks and joined as the members of one gzip file. Of the (sample_id, mate) in
-    ``corrupt`` one byte of the file is overwritten.
+    A sample of one chunk is written once, under its name, by the tasks that sort it. The chunks of a larger one are files of their
+    own, written by many tasks: joined as the members of one file, or left as <sample_id>_R<mate>_001.fastq.gz, _002 and so on
+    if ``segmented``, which no byte is copied for. Of the (sample_id, mate) in ``corrupt`` one byte of the file, or of the first
+    segment, is overwritten.
     """
-    staged = f"{landing_folder(reads.sparkSession)}/fastq-{uuid.uuid4().hex}"
-    write_fastq(reads, staged, chunk_pairs)
-    files = folder_listing(reads.sparkSession, staged, "sample_id", "mate", "chunk")
-    target = F.concat("sample_id", F.lit("_R"), F.col("mate").cast("int").cast("string"), F.lit(".fastq.gz"))
-    files = files.withColumn("target", target)
+    placed = chunked(reads, chunk_pairs)
+    target = F.concat("sample_id", F.lit("_R"), F.col("mate").cast("string"), F.lit(".fastq.gz"))
+    part = F.concat("sample_id", F.lit("_R"), F.col("mate").cast("string"), F.lit("_"), F.lpad((F.col("chunk") + 1).cast("string"), 3, "0"), F.lit(".fastq.gz"))
     if corrupt is not None:
-        chosen = corrupt.select("sample_id", F.col("mate").cast("string").alias("mate"), F.lit(True).alias("corrupt")).distinct()
-        files = files.join(chosen, ["sample_id", "mate"], "left")
+        chosen = corrupt.select("sample_id", F.col("mate").cast("int").alias("mate"), F.lit(True).alias("corrupt")).distinct()
+        placed = placed.join(chosen, ["sample_id", "mate"], "left")
     else:
-        files = files.withColumn("corrupt", F.lit(None).cast("boolean"))
-    return join_files(files, path, seed)
+        placed = placed.withColumn("corrupt", F.lit(None).cast("boolean"))
+    return write_files(placed.withColumns({"target": target, "part": part, "order": F.col("pair_id"), "value": fastq_record()}), path, seed, segmented)
+
+
+def write_files(records: DataFrame, path: str, seed: int, segmented: bool) -> DataFrame:
+    """Write ``records`` (target, part, chunk, chunks, corrupt, order, value): targets of one chunk at once, of others the parts.
+
+    Parts are joined, unless ``segmented``. Returns (target, path, length, position) of the files, landed.
+    """
+    spark, staged = records.sparkSession, f"{landing_folder(records.sparkSession)}/parts-{uuid.uuid4().hex}"
+    single = F.col("chunks") == 1
+    file = F.when(single, F.col("target")).otherwise(F.col("part"))
+    hit = F.col("corrupt") & (single | (F.lit(segmented) & (F.col("chunk") == 0)))
+    share = F.when(hit, draw_uniform(seed, "corrupt", "target"))
+    rows = records.select(file.alias("file"), "order", "value", share.alias("corrupt_at"), single.alias("single"))
+
+    def write(chosen: DataFrame, folder: str) -> None:
+        ordered = chosen.repartition("file").sortWithinPartitions("file", "order").select("file", "value", "corrupt_at")
+        ordered.write.format("record_files").mode("append").save(folder)
+
+    files = land(records.select(file.alias("file"), "target", "chunk", "corrupt", share.alias("share"), "chunks").distinct(), "files")
+    several = not files.where("chunks > 1").isEmpty()
+    write(rows if segmented or not several else rows.where("single"), path)
+    whole = listed(files if segmented else files.where("chunks = 1"), path)
+    position = F.floor(F.col("share") * F.col("length")).cast("bigint").alias("position")
+    whole = whole.select(F.col("file").alias("target"), "path", "length", position)
+    if segmented or not several:
+        return land(whole, "written")
+    write(rows.where(~F.col("single")), staged)
+    joined = join_files(listed(files.where("chunks > 1"), staged).select("target", "chunk", "corrupt", "path", "length"), path, seed)
+    return land(whole.unionByName(joined), "written")
+
+
+def listed(files: DataFrame, folder: str) -> DataFrame:
+    """``files`` (file, ...) with the path and length of each below ``folder``; one that is not there is an error."""
+    spark = files.sparkSession
+    if files.isEmpty():
+        return files.withColumns({"path": F.lit(None).cast("string"), "length": F.lit(None).cast("bigint")})
+    there = listing(spark, folder).withColumn("name", F.element_at(F.split("path", "/"), -1)).groupBy("name").agg(F.max("path").alias("path"), F.max("length").alias("length"))
+    found = files.join(there, F.col("file") == F.col("name"), "left").drop("name")
+    return found.withColumn("path", F.coalesce("path", F.raise_error(F.concat(F.lit("Not written: "), "file"))))
 
 
 def write_fasta(contigs: DataFrame, path: str, name: str = "contig_name", compression: str = "none") -> None:
@@ -87,9 +140,19 @@ def write_fasta(contigs: DataFrame, path: str, name: str = "contig_name", compre
 
 
 def write_contig_files(contigs: DataFrame, path: str, name: str = "contig_name") -> DataFrame:
-    """One file <sample_id>.fasta for each sample; returns the table of files that were written."""
-    staged = f"{landing_folder(contigs.sparkSession)}/fasta-{uuid.uuid4().hex}"
-    write_fasta(contigs, staged, name)
-    files = folder_listing(contigs.sparkSession, staged, "sample_id", "chunk")
-    named = files.withColumns({"target": F.concat("sample_id", F.lit(".fasta")), "corrupt": F.lit(None).cast("boolean")})
-    return join_files(named, path)
+    """One file <sample_id>.fasta for each sample; returns (target, path, length, position) of the files.
+
+    Contigs beyond the first 4096 of a sample are chunks of their own, joined to its file.
+    """
+    sample = Window.partitionBy("sample_id")
+    placed = contigs.withColumn("_range", F.shiftright(F.col("contig_index").cast("bigint"), CONTIGS_SHIFT))
+    number = (F.row_number().over(sample.orderBy("_range")) - 1).alias("chunk")
+    ranges = land(placed.select("sample_id", "_range").distinct().select("*", number, F.count(F.lit(1)).over(sample).alias("chunks")), "chunks")
+    made = {
+        "target": F.concat("sample_id", F.lit(".fasta")),
+        "part": F.concat("sample_id", F.lit(".part"), (F.col("chunk") + 1).cast("string"), F.lit(".fasta")),
+        "order": F.col("contig_index").cast("bigint"),
+        "value": F.concat(F.lit(">"), F.col(name), F.lit("\n"), F.col("sequence")),
+        "corrupt": F.lit(None).cast("boolean"),
+    }
+    return write_files(placed.join(ranges, ["sample_id", "_range"]).withColumns(made), path, 42, False)

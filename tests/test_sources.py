@@ -194,3 +194,33 @@ def test_corrupted_bytes_expression(spark):
     df = spark.createDataFrame([(bytearray(b"\x01\x00\x03"),)], "c binary")
     row = df.select(corrupted_bytes(F.col("c"), F.lit(3)).alias("a"), corrupted_bytes(F.col("c"), F.lit(2), True).alias("b")).first()
     assert bytes(row.a) == b"\x01\x00\x00" and bytes(row.b) == b"\x01\xff\x03"
+
+
+def test_files_are_renamed_at_commit_alone(spark, tmp_path):
+    rows = spark.range(400).selectExpr("concat('f', id % 4, '.gz') AS file", "concat('line ', id) AS value", "CAST(NULL AS DOUBLE) AS corrupt_at", "id")
+    ordered = rows.repartition(4, "file").sortWithinPartitions("file", "id").drop("id")
+    ordered.write.format("record_files").option("memberBytes", 100).mode("append").save(str(tmp_path / "good"))
+    for i in range(4):
+        data = (tmp_path / "good" / f"f{i}.gz").read_bytes()
+        assert gzip.decompress(data).decode().split("\n")[:-1] == [f"line {k}" for k in range(i, 400, 4)] and data.count(b"\x1f\x8b\x08") > 5
+    assert len(list((tmp_path / "good").iterdir())) == 4
+    broken = ordered.withColumn("value", F.when(F.col("value") == "line 399", F.raise_error(F.lit("broken row"))).otherwise(F.col("value")))
+    with pytest.raises(Exception, match="broken row"):
+        broken.write.format("record_files").mode("append").save(str(tmp_path / "bad"))
+    assert not (tmp_path / "bad").exists() or not list((tmp_path / "bad").iterdir())
+
+
+@pytest.mark.parametrize("segmented", [False, True])
+def test_large_samples_are_written_by_many_tasks(spark, tmp_path, make_reads, segmented):
+    reads = make_reads({"hot": 90, "a": 5})
+    corrupt = spark.createDataFrame([("hot", 1), ("a", 2)], "sample_id string, mate int")
+    files = {r["target"]: r for r in write_read_files(reads, str(tmp_path / "o"), corrupt, 42, 10, segmented).collect()}
+    names = [f"hot_R{m}_{i:03}.fastq.gz" for m in (1, 2) for i in range(1, 10)] if segmented else ["hot_R1.fastq.gz", "hot_R2.fastq.gz"]
+    assert sorted(p.name for p in (tmp_path / "o").iterdir()) == sorted(files) == sorted([*names, "a_R1.fastq.gz", "a_R2.fastq.gz"])
+    assert {t for t, r in files.items() if r["position"] is not None} == {"a_R2.fastq.gz", names[0]}
+    assert all((tmp_path / "o" / t).stat().st_size == r["length"] for t, r in files.items())
+    write_read_files(reads, str(tmp_path / "p"), None, 42, 10, segmented)
+    back = spark.read.format("fastq").load(str(tmp_path / "p"))
+    columns = ["sample_id", "mate", "header", "sequence", "plus", "quality"]
+    assert sorted(map(tuple, back.select(*columns).collect())) == sorted(map(tuple, reads.select(*columns).collect()))
+    assert complete_pairs(back).count() == 190
