@@ -10,6 +10,7 @@ from seqlab.catalog.sheet_queries import n50_sql
 from seqlab.functions import div, draw_choice, draw_int
 from seqlab.operators import mixing, sampling, stats
 from seqlab.operators import reads as read_ops
+from seqlab.operators import screen
 from seqlab.operators.screen import encoded_kmers
 from seqlab.operators.screen import kmer_containment as containment
 
@@ -281,3 +282,34 @@ def kmer_codes(spark: SparkSession, sf: str) -> DataFrame:
     codes = encoded_kmers(table(spark, sf, "documents").select("source", bases.alias("text")), "text", 8, "source")
     counted = [F.count(F.lit(1)).alias("n_kmers"), F.sum("kmer").alias("sum_kmers"), F.min("kmer").alias("least"), F.max("kmer").alias("most")]
     return codes.groupBy("source").agg(*counted)
+
+
+def sketch_sql(by: str, k: int, size: int) -> str:
+    return f"""SELECT {by}, hash FROM (
+      SELECT {by}, hash, row_number() OVER (PARTITION BY {by} ORDER BY hash) AS place
+      FROM (SELECT DISTINCT {by}, CAST('0x' || substr(md5(kmer), 1, 15) AS BIGINT) AS hash FROM ({kmer_sql('documents', by, k)}))
+    ) WHERE place <= {size}"""
+
+
+@query(f"""
+WITH a AS ({sketch_sql('source', 12, 1000)}),
+b AS ({sketch_sql('lang', 12, 1000)}),
+pairs AS (SELECT DISTINCT source, lang FROM a JOIN b USING (hash)),
+merged AS (
+  SELECT *, row_number() OVER (PARTITION BY source, lang ORDER BY hash) AS place FROM (
+    SELECT source, lang, hash FROM pairs JOIN a USING (source) UNION SELECT source, lang, hash FROM pairs JOIN b USING (lang)
+  )
+),
+counted AS (
+  SELECT m.source, m.lang, count(*) AS n_compared, count(a.hash + b.hash) AS n_common
+  FROM merged m LEFT JOIN a ON a.source = m.source AND a.hash = m.hash LEFT JOIN b ON b.lang = m.lang AND b.hash = m.hash
+  WHERE place <= 1000 GROUP BY m.source, m.lang
+)
+SELECT *, n_common / n_compared AS similarity,
+  CASE WHEN n_common > 0 THEN round(abs(ln(2 * (n_common / n_compared) / (1 + n_common / n_compared))) / 12, 9) END AS distance
+FROM counted
+""")
+def sketch_distance(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents")
+    left, right = (screen.sketches(docs.select(by, "text"), "text", 12, 1000, by) for by in ("source", "lang"))
+    return screen.sketch_distances(left, right, "source", "lang", 1000, 12).withColumn("distance", F.round("distance", 9))

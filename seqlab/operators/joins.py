@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+from collections import Counter
+from collections.abc import Iterator
+from os.path import commonprefix
+
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from seqlab.functions import is_blank
-from seqlab.session import land
 
 
 def contaminant_pool(candidates: DataFrame, sheet: DataFrame, species: str = "species", assembly: str = "assembly") -> DataFrame:
@@ -32,28 +36,83 @@ def unnamed(df: DataFrame, names: DataFrame, key: str) -> DataFrame:
 
 
 def prefix_lookup(prefixes: DataFrame, paths: DataFrame, prefix: str, path: str) -> DataFrame:
-    """For each prefix the first path (in text order) that starts with it, and how many do.
+    """For each prefix the first path (in text order) that starts with it, and how many do. Null paths count for none.
 
-    Every path is cut to each prefix length that occurs and joined by equality. Paths are reduced per cut
-    before the join, so a prefix that covers a third of all paths is one row there.
+    Prefixes and paths are range-partitioned and sorted together, a row each, and every partition is passed once: what a prefix
+    covers follows it. Where a prefix covers rows of later partitions, it is a start of their first path, so each
+    partition also tells how many of its paths share how much of its first one. Equal paths may be in several partitions.
     """
-    wanted = land(prefixes.select(F.col(prefix).alias("prefix")).where(~is_blank("prefix")).distinct(), "prefixes")
-    lengths = [r[0] for r in wanted.select(F.length("prefix").alias("n")).distinct().orderBy("n").collect()]
-    if not lengths:
-        return wanted.select("prefix", F.lit(None).cast("string").alias("first_path"), F.lit(0).cast("bigint").alias("n_paths"))
-    cuts = F.array(*[F.when(F.length(path) >= n, F.substring(path, 1, n)) for n in lengths])
-    reduced = (
-        paths.select(F.col(path), F.explode(cuts).alias("prefix"))
-        .where(F.col("prefix").isNotNull())
-        .join(wanted, "prefix", "left_semi")
-        .groupBy("prefix")
-        .agg(F.min(path).alias("first_path"), F.count(F.lit(1)).alias("n_paths"))
-    )
-    return wanted.join(reduced, "prefix", "left").select(
-        "prefix", "first_path", F.coalesce("n_paths", F.lit(0)).alias("n_paths")
+    wanted = prefixes.select(F.col(prefix).alias("text")).where(~is_blank("text")).distinct()
+    # One of many equal paths is told from the others by the row, so that they can be dealt out.
+    rows = paths.where(F.col(path).isNotNull()).select(F.col(path).alias("text"), F.lit(1).alias("kind"), F.monotonically_increasing_id().alias("row"))
+    both = wanted.select("text", F.lit(0).alias("kind"), F.lit(0).cast("bigint").alias("row")).union(rows)
+    ordered = both.repartitionByRange("text", "kind", "row").sortWithinPartitions("text", "kind", "row").select("text", "kind")
+    told = ordered.mapInArrow(covered, "prefix string, first_path string, n_paths bigint")
+    summed = told.groupBy("prefix").agg(F.min("first_path").alias("first_path"), F.sum("n_paths").alias("n_paths"))
+    # Starts of first paths that nobody asked for have no row of their own.
+    return summed.where(F.col("n_paths") >= OPENED).select(
+        "prefix", "first_path", (F.col("n_paths") % OPENED).alias("n_paths")
     )
 
 
+#: Added once to the number of paths of a prefix that was asked for, by the partition that has its row.
+OPENED = 1 << 50
+
+
+def covered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(prefix, first_path, n_paths) of the prefixes in a sorted partition, and of all starts of its first path.
+
+    ``OPENED`` marks the prefixes that have a row here.
+    """
+    # Open prefixes: text, first path, number of paths. Of the first path the number of paths that share so many letters.
+    way: list[list] = []
+    done: list[tuple] = []
+    first, opened, shared = None, set(), Counter()
+    least = 0
+
+    def close() -> None:
+        text, start, n = way.pop()
+        done.append((text, start, n + OPENED))
+        if way:
+            way[-1][2] += n
+
+    for batch in batches:
+        for text, kind in zip(batch.column("text").to_pylist(), batch.column("kind").to_pylist(), strict=True):
+            while way and not text.startswith(way[-1][0]):
+                close()
+            if not kind:
+                way.append([text, None, 0])
+                continue
+            if first is None:
+                first, least, opened = text, len(text), {x[0] for x in way}
+            for one in reversed(way):
+                if one[1] is not None:
+                    break
+                one[1] = text
+            if way:
+                way[-1][2] += 1
+            if least:
+                if not text.startswith(first[:least]):
+                    least = len(commonprefix([first[:least], text]))
+                shared[least] += 1
+        yield told(done)
+        done.clear()
+    while way:
+        close()
+    n = 0
+    for size in range(len(first or ""), 0, -1):
+        n += shared[size]
+        if n and first[:size] not in opened:
+            done.append((first[:size], first, n))
+    yield told(done)
+
+
+def told(rows: list[tuple]) -> pa.RecordBatch:
+    columns = list(zip(*rows, strict=True)) if rows else [(), (), ()]
+    types = (pa.string(), pa.string(), pa.int64())
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=["prefix", "first_path", "n_paths"])
+
+
 def mate_pairs(reads: DataFrame, sample: str, pair: str, mate: str, columns: list[str], mates: tuple[int, int] = (1, 2)) -> DataFrame:
     """One row per complete pair, columns suffixed _1 and _2; one shuffle, no self-join."""
     picks = [

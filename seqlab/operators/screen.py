@@ -1,44 +1,139 @@
-"""K-mer containment: which share of a sample's distinct k-mers occurs in a reference set."""
+"""K-mer containment: which share of a sample's distinct k-mers occurs in a reference set, in full or by sketches."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
+import pyarrow as pa
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 PIECE = 10_000
+#: Letters of a minimizer, at most.
+MINIMIZER = 8
+#: Fixed odd factors of the hash of a minimizer.
+FACTORS = (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB)
 
 
-def kmers(df: DataFrame, text: str, k: int, *keys: str, scale: int = 1) -> DataFrame:
-    """Distinct (keys, kmer). Long texts are cut into overlapping pieces first, so no row holds a huge array.
+def minimizers(codes: np.ndarray, k: int, m: int) -> np.ndarray:
+    """For each k-mer of some letters (uint64) the least hash of ``m`` letters in it."""
+    value = numbers_of(codes, m, FACTORS[0])
+    value = (value ^ (value >> np.uint64(30))) * np.uint64(FACTORS[1])
+    value = (value ^ (value >> np.uint64(27))) * np.uint64(FACTORS[2])
+    return np.lib.stride_tricks.sliding_window_view(value, k - m + 1).min(1)
+
+
+def numbers_of(letters: np.ndarray, k: int, factor: int) -> np.ndarray:
+    """The number of every ``k`` letters in a row, in the base ``factor``, modulo 2**64."""
+    out = np.zeros(len(letters) - k + 1, np.uint64)
+    for j in range(k):
+        out = out * np.uint64(factor) + letters[j : j + len(out)]
+    return out
+
 
-    The pieces are dealt out evenly before they multiply: a text, or a file, with a third of all bases does not stay
-    in one task, and the shuffle of the pieces is a twentieth of the shuffle of their k-mers. One
-    regular-expression pass lists all overlapping k-mers of a piece. ``scale`` > 1 keeps the k-mers whose hash
-    falls into one of ``scale`` classes: a sketch whose containment estimates the full one.
+def runs(text: str, k: int, m: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(letters, starts, minimizers): where stretches of k-mers start that follow each other and have one minimizer."""
+    letters = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
+    if len(letters) < k:
+        return letters, np.zeros(0, np.int64), np.zeros(0, np.int64)
+    least = minimizers(letters, k, m)
+    starts = np.flatnonzero(np.concatenate([[True], least[1:] != least[:-1]]))
+    return letters, starts, least[starts].view(np.int64)
+
+
+def pieces_of(df: DataFrame, text: str, k: int, *keys: str, letters: str | None = None) -> DataFrame:
+    """(keys, piece): the texts in pieces that overlap by k - 1 letters, dealt out evenly; of ``letters`` alone, if given.
+
+    A text or a file with a third of all bases does not stay in one task.
     """
     starts = F.sequence(F.lit(1), F.greatest(F.length(text) - (k - 1), F.lit(1)), F.lit(PIECE))
     pieces = df.select(*keys, F.col(text).alias("_t"), F.explode(starts).alias("_s")).select(
-        *keys, F.substring(F.col("_t"), F.col("_s"), F.lit(PIECE + k - 1)).alias("_piece")
+        *keys, F.substring(F.col("_t"), F.col("_s"), F.lit(PIECE + k - 1)).alias("piece")
     )
-    pieces = pieces.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    if letters:
+        pieces = pieces.select(*keys, F.explode(F.regexp_extract_all("piece", F.lit(f"[{letters}]{{{k},}}"), F.lit(0))).alias("piece"))
+    return pieces.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
+
+def dealt_runs(pieces: DataFrame, k: int, keys: list[str], factor: int | None, digits: np.ndarray | None = None) -> DataFrame:
+    """(keys, run, minimizer), partitioned by minimizer: what holds all k-mers of ``pieces`` (keys, piece).
+
+    Neighbouring k-mers mostly share their minimizer, so they go as one row: as a stretch of text, n + k - 1 letters for n
+    k-mers, or with ``factor`` as the numbers of the k-mers (of ``digits`` of the letters, if given). Equal k-mers have equal
+    minimizers and meet in a partition, so what is made of runs there needs no other shuffle. Equal runs of a batch are sent once.
+    """
+    m, kind = min(MINIMIZER, k), pa.string() if factor is None else pa.list_(pa.int64())
+    types = [f"`{c}` {pieces.schema[c].dataType.simpleString()}" for c in keys] + [f"run {'string' if factor is None else 'array<bigint>'}", "minimizer bigint"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at, counts, least, values, texts = ([] for _ in range(5))
+            for i, piece in enumerate(batch.column("piece").to_pylist()):
+                letters, starts, found = runs(piece or "", k, m)
+                if not len(starts):
+                    continue
+                ends = np.append(starts[1:], len(letters) - k + 1)
+                at.append(np.full(len(starts), i, np.int32))
+                counts.append(ends - starts)
+                least.append(found)
+                values.append(numbers_of(letters if digits is None else digits[letters], k, factor or FACTORS[1]).view(np.int64))
+                if factor is None:
+                    texts += [piece[a : b + k - 1] for a, b in zip(starts.tolist(), ends.tolist(), strict=True)]
+            joined = lambda x, kind: np.concatenate(x) if x else np.zeros(0, kind)
+            at, counts, least, values = joined(at, np.int32), joined(counts, np.int64), joined(least, np.int64), joined(values, np.int64)
+            stops = np.cumsum(counts)
+            # The first and the last k-mer of a run, which overlap or touch, hold all its letters.
+            same = {"n": counts, "first": values[stops - counts], "last": values[stops - 1]}
+            same |= {c: batch.column(c).dictionary_encode("encode").indices.to_numpy(zero_copy_only=False)[at] for c in keys}
+            new = pa.array(~pd.DataFrame(same).duplicated().to_numpy())
+            if factor is None:
+                told = pa.array(texts, kind)
+            else:
+                told = pa.ListArray.from_arrays(pa.array(np.append(0, stops), pa.int32()), pa.array(values))
+            rows = pa.array(at).filter(new)
+            yield pa.RecordBatch.from_arrays([*(batch.column(c).take(rows) for c in keys), told.filter(new), pa.array(least).filter(new)], names=[*keys, "run", "minimizer"])
+
+    return pieces.mapInArrow(run, ", ".join(types)).repartition("minimizer")
+
+
+def kmers(df: DataFrame, text: str, k: int, *keys: str, scale: int = 1) -> DataFrame:
+    """Distinct (keys, kmer) as text. ``scale`` > 1 keeps the k-mers of one of ``scale`` classes of a hash: a sketch whose
+    containment estimates the full one."""
     pattern = F.lit(r"(?s)(?![\uDC00-\uDFFF])(?=(.{%d}))" % k)
-    found = pieces.select(*keys, F.explode(F.regexp_extract_all("_piece", pattern, F.lit(1))).alias("kmer"))
+    dealt = dealt_runs(pieces_of(df, text, k, *keys), k, list(keys), None)
+    found = dealt.select(*keys, "minimizer", F.explode(F.regexp_extract_all("run", pattern, F.lit(1))).alias("kmer"))
     if scale > 1:
         found = found.where(F.pmod(F.xxhash64("kmer"), F.lit(scale)) == 0)
-    return found.distinct()
+    return found.distinct().select(*keys, "kmer")
+
+
+def numbered_kmers(pieces: DataFrame, k: int, keys: list[str], factor: int, digits: np.ndarray | None = None) -> DataFrame:
+    """Distinct (keys, minimizer, kmer) of ``pieces``: kmer is the number of the letters, see ``dealt_runs``."""
+    dealt = dealt_runs(pieces, k, keys, factor, digits)
+    return dealt.select(*keys, "minimizer", F.explode("run").alias("kmer")).distinct()
 
 
 def kmer_containment(
     samples: DataFrame, references: DataFrame, sample: str, sample_text: str, reference: str, reference_text: str, k: int = 20, scale: int = 1
 ) -> DataFrame:
-    """Share of each sample's distinct k-mers found in each reference set that it shares any with."""
-    # Both uses of the samples' k-mers have the filter that the joins imply, so their shuffle is made once.
-    own = kmers(samples, sample_text, k, sample, scale=scale).where(F.col("kmer").isNotNull() & F.col(sample).isNotNull())
-    known = kmers(references, reference_text, k, reference, scale=scale)
+    """Share of each sample's distinct k-mers found in each reference set that it shares any with.
+
+    K-mers are told apart by two numbers of 64 bits: that of their minimizer and that of all their letters.
+    """
+    # All of a sample's k-mers are shuffled once: both uses have the same filters.
+    there = F.col("minimizer").isNotNull() & F.col("kmer").isNotNull()
+    own, known = (
+        numbered_kmers(pieces_of(df.where(F.col(by).isNotNull() | F.lit(keep)), text, k, by), k, [by], FACTORS[1]).where(there)
+        for df, text, by, keep in ((samples, sample_text, sample, False), (references, reference_text, reference, True))
+    )
+    if scale > 1:
+        own, known = (x.where(F.pmod(F.xxhash64("minimizer", "kmer"), F.lit(scale)) == 0) for x in (own, known))
     # Rows, not one array of sets for each k-mer: a k-mer that all sets hold is in as many rows, and both counts combine
     # before they are shuffled.
     totals = own.groupBy(sample).agg(F.count(F.lit(1)).alias("n_kmers"))
-    shared = own.join(known, "kmer").groupBy(sample, reference).agg(F.count(F.lit(1)).alias("n_shared"))
+    shared = own.join(known.select(reference, "minimizer", "kmer"), ["minimizer", "kmer"]).groupBy(sample, reference).agg(F.count(F.lit(1)).alias("n_shared"))
     return (
         shared.join(totals, sample)
         .select(sample, reference, "n_kmers", "n_shared")
@@ -49,10 +144,52 @@ def kmer_containment(
 def encoded_kmers(df: DataFrame, text: str, k: int, *keys: str) -> DataFrame:
     """Distinct (keys, kmer) of the k-mers of A, C, G and T, each as a number of two bits a base; k is 31 at most.
 
-    Upper case only. A k-mer with any other character is none here: ``kmers`` keeps it as text.
+    Upper case only. A k-mer with any other character is none here: ``kmers`` keeps it as text. Other characters end a run before
+    anything is shuffled, and the numbers are made from the runs, never from single k-mers as text.
     """
     if not 0 < k <= 31:
         raise ValueError("k is 1 to 31.")
-    found = kmers(df, text, k, *keys).where(F.col("kmer").rlike(f"^[ACGT]{{{k}}}$"))
-    digits = F.conv(F.translate("kmer", "ACGT", "0123"), 4, 10).cast("bigint")
-    return found.select(*keys, digits.alias("kmer"))
+    digits = np.zeros(128, np.uint64)
+    digits[[ord(c) for c in "ACGT"]] = range(4)
+    return numbered_kmers(pieces_of(df, text, k, *keys, letters="ACGT"), k, list(keys), 4, digits).select(*keys, "kmer")
+
+
+def sketches(df: DataFrame, text: str, k: int, size: int, key: str) -> DataFrame:
+    """(key, sketch): the ``size`` least hashes of the distinct k-mers of each set, ascending; of all, if it has fewer.
+
+    Sketches merge: that of a union is made of the least of both. A k-mer's hash is 60 bits of the MD5 of its text, so hashes of
+    different sets compare. Each partition cuts down to ``size`` hashes of a set before the shuffle by set. A null text has none.
+    """
+    hashed = kmers(df, text, k, key).select(key, F.conv(F.substring(F.md5("kmer"), 1, 15), 16, 10).cast("bigint").alias("hash"))
+    return least_hashes(hashed, key, size)
+
+
+def least_hashes(hashed: DataFrame, key: str, size: int) -> DataFrame:
+    """(key, sketch) of (key, hash): the ``size`` least different hashes of each key, ascending."""
+    place = F.dense_rank().over(Window.partitionBy(key).orderBy("hash"))
+    least = hashed.withColumn("_place", place).where(F.col("_place") <= size)
+    return least.groupBy(key).agg(F.sort_array(F.collect_set("hash")).alias("sketch"))
+
+
+def merged_sketches(parts: DataFrame, key: str, size: int) -> DataFrame:
+    """(key, sketch) of several sketches (key, sketch) of each key, as that of all their k-mers would be."""
+    return least_hashes(parts.select(key, F.explode("sketch").alias("hash")), key, size)
+
+
+def sketch_distances(left: DataFrame, right: DataFrame, left_key: str, right_key: str, size: int, k: int) -> DataFrame:
+    """(left_key, right_key, n_compared, n_common, similarity, distance) of all pairs of sketches that share a hash.
+
+    n_compared is the number of hashes of the sketch of both together, n_common how many of these both have; similarity is their
+    share and estimates that of all k-mers. distance = -ln(2 s / (1 + s)) / k is the mutation rate that would leave it. Pairs are
+    found by their hashes, so sets that share none cost nothing.
+    """
+    a, b = (s.select(F.col(c).alias(f"_{c}"), F.col("sketch").alias(f"_s{i}")) for i, (s, c) in enumerate(((left, left_key), (right, right_key))))
+    one, two = (s.select(s.columns[0], F.explode(s.columns[1]).alias("_hash")) for s in (a, b))
+    pairs = one.join(two, "_hash").select(one.columns[0], two.columns[0]).distinct()
+    both = pairs.join(a, a.columns[0]).join(b, b.columns[0])
+    merged = F.slice(F.array_sort(F.array_union("_s0", "_s1")), 1, size)
+    met = both.withColumn("_merged", merged).withColumn("n_common", F.size(F.array_intersect(F.array_intersect("_s0", "_s1"), "_merged")).cast("bigint"))
+    share = F.col("n_common") / F.col("n_compared")
+    named = met.select(F.col(a.columns[0]).alias(left_key), F.col(b.columns[0]).alias(right_key), F.size("_merged").cast("bigint").alias("n_compared"), "n_common")
+    distance = F.when(F.col("n_common") > 0, F.abs(F.log(2 * share / (1 + share))) / k)
+    return named.withColumns({"similarity": share, "distance": distance})

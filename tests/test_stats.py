@@ -1,9 +1,10 @@
+import hashlib
 import random
 
 import pytest
 from pyspark.sql import functions as F
 
-from seqlab.operators import hits, stats
+from seqlab.operators import hits, screen, stats
 from seqlab.operators.joins import mate_pairs
 from seqlab.operators.screen import kmer_containment
 
@@ -95,3 +96,52 @@ def test_containment_against_brute_force(spark):
     assert got == want
     sketch = kmer_containment(samples, refs, "s", "t", "r", "t", k, scale=4).where("s = 's0' AND r = 'r1'").first()
     assert sketch.containment == 1.0 and sketch.n_kmers < want[("s0", "r1")][1] / 2
+
+
+def test_sketches(spark):
+    rng = random.Random(7)
+    base = "".join(rng.choices("ACGT", k=12_000))
+    mutated = "".join(c if rng.random() > 0.01 else rng.choice("ACGT") for c in base)
+    texts = [("a", base), ("b", mutated), ("c", "".join(rng.choices("ACGT", k=3000))), ("d", "short"), ("e", None)]
+    k, size = 15, 800
+    df = spark.createDataFrame(texts, "s string, t string").repartition(3)
+    made = {r["s"]: r["sketch"] for r in screen.sketches(df, "t", k, size, "s").collect()}
+    bags = {s: {t[i : i + k] for i in range(len(t) - k + 1)} for s, t in texts if t}
+    number = lambda w: int(hashlib.md5(w.encode()).hexdigest()[:15], 16)
+    assert made == {s: sorted(map(number, words))[:size] for s, words in bags.items() if words}
+    # Sketches of halves merge into the sketch of the whole.
+    halves = spark.createDataFrame([("a", base[: 6000 + k - 1]), ("a", base[6000:])], "s string, t string")
+    parts = screen.sketches(halves.where("length(t) > 6000"), "t", k, size, "s").union(screen.sketches(halves.where("length(t) <= 6000"), "t", k, size, "s"))
+    assert screen.merged_sketches(parts, "s", size).first()["sketch"] == made["a"]
+    sketched = screen.sketches(df, "t", k, size, "s")
+    pairs = {(r["x"], r["y"]): r for r in screen.sketch_distances(sketched.withColumnRenamed("s", "x"), sketched.withColumnRenamed("s", "y"), "x", "y", size, k).collect()}
+    true = len(bags["a"] & bags["b"]) / len(bags["a"] | bags["b"])
+    assert abs(pairs["a", "b"]["similarity"] - true) < 3 * (true * (1 - true) / size) ** 0.5
+    assert abs(pairs["a", "b"]["distance"] - 0.0075) < 0.002 and pairs["a", "a"]["distance"] == 0
+    assert ("a", "d") not in pairs and pairs["a", "b"]["n_compared"] == size
+
+
+def test_equal_kmers_have_equal_minimizers():
+    rng = random.Random(3)
+    for n in (0, 5, 8, 9, 40, 700):
+        text = "".join(rng.choices("abcd日𝔘\ud800", k=n))
+        for k in (1, 4, 9):
+            letters, starts, least = screen.runs(text, k, min(8, k))
+            assert len(letters) == n and (n < k) == (not len(starts))
+            found, ends = {}, [*starts[1:].tolist(), n - k + 1]
+            for start, end, minimizer in zip(starts.tolist(), ends, least.tolist()):
+                assert all(found.setdefault(text[i : i + k], minimizer) == minimizer for i in range(start, end))
+            assert found.keys() == {text[i : i + k] for i in range(n - k + 1)}
+
+
+def test_kmers_as_text(spark):
+    texts = [("a", "abcabcabcx𝔘yz"), ("a", "abcabc"), ("b", "日本語日本語"), ("b", None), ("c", "ab"), (None, "abcd")]
+    found = screen.kmers(spark.createDataFrame(texts, "s string, t string"), "t", 3, "s").collect()
+    assert len(found) == len(set(map(tuple, found)))
+    assert {tuple(r) for r in found} == {(s, t[i : i + 3]) for s, t in texts if t for i in range(len(t) - 2)}
+
+
+def test_distinct_kmers_need_one_shuffle_by_minimizer(spark):
+    df = spark.createDataFrame([("s", "ACGTACGTTTGACCA" * 9)], "s string, t string")
+    plan = screen.numbered_kmers(screen.pieces_of(df, "t", 9, "s"), 9, ["s"], 3)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning(") == 1 and "Exchange hashpartitioning(minimizer" in plan
