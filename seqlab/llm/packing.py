@@ -21,8 +21,8 @@ from seqlab.session import land
 
 MOST_TOKENS, END = 1024, 2
 VOCABULARY, RANKS = "byte_bpe_50k.json", "byte_bpe_50k.tiktoken"
-#: Buckets that the pieces of one length are numbered in.
-BUCKETS = 64
+#: Pieces of one length that are numbered in one window, about.
+BUCKET = 1 << 20
 
 
 class Encoder:
@@ -165,29 +165,31 @@ def plan(counts: dict[int, int], most: int = MOST_TOKENS) -> list[tuple[int, int
     return rows
 
 
-def pack(docs: DataFrame, most: int = MOST_TOKENS, path: str | None = None, buckets: int = BUCKETS) -> DataFrame:
+def pack(docs: DataFrame, most: int = MOST_TOKENS, path: str | None = None, bucket: int = BUCKET) -> DataFrame:
     """(doc_id, piece, start, length, ids_crc32, sequence_id, offset) of all pieces of ``docs`` (doc_id, text; others are ignored).
 
-    The tokens are counted once and landed without texts; the plan is made on the driver from the counts of at most ``most``
-    lengths. The pieces of a length are numbered in buckets, each a window of its own, so that a length that most pieces
-    have is no single task. Repeated rows and null ids are pieces like any other; an empty table gives an empty table.
+    The tokens are counted once and landed without texts. Full pieces are sequences of their own, numbered where they are read. Of
+    the others, one for each document at most, the plan is made on the driver from the counts of fewer than ``most`` lengths; the
+    pieces of a length are numbered in as many windows as keep about ``bucket`` of them each, so that a length that most
+    pieces have is no single task. Repeated rows and null ids are pieces like any other; an empty table gives an empty table.
     """
     spark = docs.sparkSession
     cut = land(pieces(docs, most, path), "pieces")
-    salted = cut.withColumn("bucket", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(buckets)))
-    sizes = salted.groupBy("length", "bucket").count().collect()  # at most buckets rows for each of ``most`` lengths
-    counts: Counter = Counter()
-    firsts = []
-    for row in sorted(sizes):
-        firsts.append((row["length"], row["bucket"], counts[row["length"]]))
-        counts[row["length"]] += row["count"]
-    before = spark.createDataFrame(firsts, "length long, bucket long, before long")
-    ranges = spark.createDataFrame(plan(counts, most), "length long, first long, last long, sequence long, offset long")
-    # Both have a few rows for each length or bucket, however many pieces there are.
-    before, ranges = F.broadcast(before), F.broadcast(ranges)
+    rest, columns = cut.where(F.col("length") < most), ["doc_id", "piece", "start", "length", "ids_crc32"]
+    sizes = {r["length"]: r["count"] for r in rest.groupBy("length").count().collect()}  # fewer than ``most`` rows
+    planned = plan(sizes, most)
+    first = max((sequence + last - begin + 1 for _, begin, last, sequence, _ in planned), default=0)
+    full = cut.where(F.col("length") == most).select(*columns, (F.monotonically_increasing_id() + first).alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
+    if not planned:
+        return full
+    # Both have a few rows for each length, however many pieces there are.
+    windows = F.broadcast(spark.createDataFrame([(x, -(-n // bucket)) for x, n in sizes.items()], "length long, windows long"))
+    ranges = F.broadcast(spark.createDataFrame(planned, "length long, first long, last long, sequence long, offset long"))
+    salted = rest.join(windows, "length").withColumn("bucket", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.col("windows")))
+    upto = Window.partitionBy("length").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    counts = salted.groupBy("length", "bucket").count()
+    before = counts.select("length", "bucket", F.coalesce(F.sum("count").over(upto), F.lit(0)).alias("before"))
     order = Window.partitionBy("length", "bucket").orderBy("doc_id", "piece", "start", "ids_crc32")
     placed = salted.withColumn("place", F.row_number().over(order) - 1).join(before, ["length", "bucket"])
     placed = placed.withColumn("number", F.col("place") + F.col("before")).join(ranges, "length").where("number between first and last")
-    return placed.select(
-        "doc_id", "piece", "start", "length", "ids_crc32", (F.col("sequence") + F.col("number") - F.col("first")).alias("sequence_id"), "offset"
-    )
+    return placed.select(*columns, (F.col("sequence") + F.col("number") - F.col("first")).alias("sequence_id"), "offset").union(full)

@@ -53,9 +53,8 @@ class Encoder:
         return ids, source[places]
 
     def decode(self, ids: list[int]) -> str:
-        """The text of ids: pieces joined, bytes put together, the space in front dropped; wrong bytes are U+FFFD."""
-        joined = b"".join(map(self.surface.__getitem__, ids))
-        return (joined[1:] if ids and self.model.names[ids[0]].startswith(SPACE) else joined).decode("utf-8", "replace")
+        """The text of any ids, as the library gives it; also of bytes that are no character."""
+        return self.library.decode(ids)
 
 
 def _encoder(sent) -> Encoder:

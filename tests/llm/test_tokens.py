@@ -59,6 +59,13 @@ def test_pieces_and_spans(documents, library, texts):
         assert encoder.decode([*ids, 2]) == library.decode([*ids, 2])
 
 
+def test_any_ids_are_decoded(library):
+    encoder = pieces.Encoder(DATA)
+    byte = {n: i for i in range(library.get_piece_size()) for n in [library.id_to_piece(i)] if library.is_byte(i)}
+    for ids in ([byte["<0xE4>"], byte["<0xBD>"]], [byte["<0xFF>"]] * 3, [0, 1, 2], [], library.encode("a b")[::-1]):
+        assert encoder.decode(ids) == library.decode(ids)
+
+
 def test_encoded_documents(documents, library, odd_texts):
     rows = [(i, t) for i, t in enumerate(odd_texts)] + [(None, "x"), (1, "")]
     sha = lambda t: hashlib.sha256(t.encode()).hexdigest()
@@ -132,7 +139,7 @@ def test_packed_documents(documents, odd_texts):
 
 
 def test_one_hot_length(documents):
-    found = packing.pack(documents([(i, "same words") for i in range(500)]), 8, buckets=4).collect()
+    found = packing.pack(documents([(i, "same words") for i in range(500)]), 8, bucket=125).collect()
     assert check_packing(found, 8) == 250 and len({(r["sequence_id"], r["offset"]) for r in found}) == 500
 
 
