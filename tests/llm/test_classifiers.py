@@ -165,3 +165,31 @@ def test_the_nearest_codeword_wins():
         assert names[0] == name and scores[0] > 0.9 and not unsure[0]
     names, scores, unsure = model.predict(["text"])
     assert unsure[0] and scores[0] == pytest.approx(0.25)
+
+
+def test_texts_far_from_every_codeword_go(spark, documents):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    model = language.fit(docs)
+    texts = ["Это русский текст о погоде " * 5, "我们在学习中文句子" * 8, "Καλημέρα κόσμε " * 5, "Да", "A.", "12 34", None]
+    known = {r["doc_id"] for r in language.drop_unknown(documents(list(enumerate(texts))), model).select("doc_id").collect()}
+    assert known == {3, 4}
+    held = docs.where(toxicity.held_out())
+    kept, letters = language.drop_unknown(held, model).count(), held.where(r"text rlike '\\p{L}'").count()
+    assert letters - kept <= 0.003 * letters
+
+
+def test_sample_of_languages(spark, monkeypatch):
+    rows = [(i, "en") for i in range(4000)] + [(i, "de") for i in range(5000, 5030)] + [(9000, "fr")] * 50
+    known = spark.createDataFrame(rows, "doc_id long, lang string").repartition(5)
+    found = [tuple(r) for r in language.sampled_ids(known, 300, 100).collect()]
+    by = {x: {i for i, lang in found if lang == x} for x in ("en", "de", "fr")}
+    assert len(found) == len(set(found)) == 131 and [len(by[x]) for x in ("en", "de", "fr")] == [100, 30, 1]
+    assert len(language.sampled_ids(known, 60, 100).collect()) == 60
+    with pytest.raises(ValueError, match="3 languages"):
+        language.sampled_ids(known, 2, 100)
+
+
+def test_languages_of_long_documents_are_learned(spark):
+    rows = [(i, "the and of it " * 3000, "en") for i in range(20)] + [(100 + i, "le la les des que " * 3000, "fr") for i in range(20)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(4)
+    assert {(r["doc_id"] >= 100, r["lang_pred"]) for r in language.identify(docs, language.fit(docs)).collect()} == {(False, "en"), (True, "fr")}
