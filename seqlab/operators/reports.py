@@ -95,3 +95,29 @@ def parse_reports(df: DataFrame, text: str, paths: list[str] = REPORT_PATHS) ->
     """Replace a JSON text column by the struct column ``report``."""
     schema = report_schema(paths, {p: f for p, f in FALLBACKS.items() if p in paths})
     return df.withColumn("report", F.from_json(text, schema)).drop(text)
+
+
+def variant_reports(df: DataFrame, text: str) -> DataFrame:
+    """Replace a JSON text column by the variant column ``report``, parsed once; a line that is no JSON is NULL (see ``malformed``)."""
+    return df.withColumn("report", F.try_parse_json(text)).drop(text)
+
+
+def malformed(df: DataFrame, text: str) -> DataFrame:
+    """The rows whose text is not blank and no JSON object."""
+    kind = F.schema_of_variant(F.try_parse_json(text))
+    return df.where((F.trim(text) != "") & ~F.coalesce(kind.startswith("OBJECT"), F.lit(False)))
+
+
+def flatten_variant(
+    df: DataFrame, paths: list[str] = REPORT_PATHS, root: str = "report", keep: tuple[str, ...] = (), fallbacks: dict[str, str] = FALLBACKS
+) -> DataFrame:
+    """As ``flatten_report``, by paths into the variant column ``root``; any other path can be read from it without parsing again.
+
+    Numbers are as the variant holds them: an exponent is written out.
+    """
+
+    def leaf(path: str) -> Column:
+        return truthy(F.try_variant_get(F.col(root), f"$.{path}", "string"))
+
+    columns = [F.coalesce(leaf(p), *([leaf(fallbacks[p])] if p in fallbacks else [])).alias(flat_name(p)) for p in paths]
+    return df.select(*keep, *columns)

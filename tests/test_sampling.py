@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from seqlab.operators import mixing, sampling, selection
-from seqlab.operators.positions import ordered_position, rank_by_bucket, shuffled_position
+from seqlab.operators.positions import ordered_position, rank_by_bucket, rank_by_range, shuffled_position
 
 FIRST = "mate = 1"
 
@@ -151,3 +151,16 @@ def test_large_parameter_tables_are_not_broadcast(spark, make_reads):
         assert ids(sampling.subsample_quota(reads, "sample_id", "pair_id", wanted, 42, FIRST)) == usual
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+
+
+@pytest.mark.parametrize("plain", [0, 40, 10**6])
+def test_positions_of_large_and_small_groups(spark, plain):
+    rows = [("hot", i % 7, i) for i in range(300)] + [(None, i, i) for i in range(50)] + [(g, 1, i) for g in "abc" for i in range(3)]
+    df = spark.createDataFrame(rows, "g string, a long, b long").repartition(4)
+    found = sorted(map(repr, map(tuple, rank_by_range(df, ["g"], ["a", "b"], "p", plain).collect())))
+    want = []
+    for g in ("hot", None, "a", "b", "c"):
+        want += [(g, a, b, i + 1) for i, (a, b) in enumerate(sorted((a, b) for x, a, b in rows if x == g))]
+    assert found == sorted(map(repr, want))
+    whole = rank_by_range(df.where("g = 'hot'"), [], ["a", "b"], "p", plain).orderBy("p").collect()
+    assert [(r["a"], r["b"]) for r in whole] == sorted((a, b) for g, a, b in rows if g == "hot") and [r["p"] for r in whole] == list(range(1, 301))

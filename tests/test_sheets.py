@@ -3,7 +3,7 @@ from pyspark.sql import functions as F
 
 from seqlab.operators import joins, reports, sheet, validate
 from seqlab.plans import exams, simulate
-from seqlab.sources import read_first_row, read_hits, read_reports, read_sheet, write_sheet
+from seqlab.sources import malformed_reports, read_first_row, read_hits, read_reports, read_sheet, write_sheet
 
 CATALOGUE = (
     "SAMPLE_NAME,SHORT_READS,ASSEMBLY,SPECIES,ST,AMR,USE_ORIGINAL_READS\n"
@@ -170,3 +170,23 @@ def test_exam_notes(spark):
     assert rows["CONTAMINATED"].notes == "Contamined sample with 17% using c_R1.gz and c_R2.gz"
     assert (rows["NORMAL"].qc, rows["NORMAL"].error, rows["NORMAL"].notes) == ("PASSED", "NONE", "None")
     assert rows["POOR_QUALITY"].error == "DEGRADED" and rows["LOW_COVERAGE"].notes == "Low coverage sample with 17%"
+
+
+def test_reports_as_variants(spark, tmp_path):
+    good = [
+        '{"accession":"GCA_1","assemblyInfo":{"biosample":{"accession":"SAMN1","strain":""}},"assemblyStats":{"gcPercent":31.5,"contigN50":0},"checkmInfo":{"checkmSpeciesTaxId":2097}}',
+        '{"accession":"GCA_2","checkmInfo":{"species":"sp","checkmSpeciesTaxId":1},"organism":{"taxId":false},"annotationInfo":{"stats":{"geneCounts":{"total":12345678901}}}}',
+    ]
+    bad = {2: '{"accession": "GCA_3"', 4: "no json", 7: "[1, 2]"}
+    lines = [good[0], bad[2], "", bad[4], "  ", good[1], bad[7]]
+    (tmp_path / "a.jsonl").write_text("\n".join(lines) + "\n")
+    (tmp_path / "b.jsonl").write_text("\n".join([good[0]] * 3000 + ["{broken"] + [good[1]] * 3000))
+    text = spark.createDataFrame([(x,) for x in good], "json string")
+    want = sorted(map(repr, reports.flatten_report(reports.parse_reports(text, "json"), root="report").collect()))
+    assert sorted(map(repr, reports.flatten_variant(reports.variant_reports(text, "json")).collect())) == want
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "100000")
+    try:
+        found = malformed_reports(spark, str(tmp_path)).collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert {(r["path"].rsplit("/", 1)[1], r["line_number"]): r["line"] for r in found} == {("a.jsonl", n): x for n, x in bad.items()} | {("b.jsonl", 3001): "{broken"}
