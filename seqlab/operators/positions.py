@@ -61,7 +61,10 @@ def ranged_rank(df: DataFrame, group: list[str], order: list[str], out: str) ->
     """The positions of ``rank_by_range`` by range partitions."""
     keys = [*group, *order]
     ranged = df.select(*keys).repartitionByRange(*keys).withColumn("_range", F.spark_partition_id())
-    ranked = rank_by_bucket(land(ranged, "ranged"), group, F.col("_range"), [F.col(c) for c in order], out)
+    landed = land(ranged, "ranged")
+    # A struct is never NULL, so a NULL group is one too.
+    grouped = landed.withColumn("_group", F.struct(*group)) if group else landed
+    ranked = rank_by_bucket(grouped, ["_group"] if group else [], F.col("_range"), [F.col(c) for c in order], out)
     named = ranked.select(*[F.col(c).alias(f"_key_{c}") for c in keys], out)
     same = [df[c].eqNullSafe(named[f"_key_{c}"]) for c in keys]
     return df.join(named, same).select(*[df[c] for c in df.columns], F.col(out).cast("bigint").alias(out))
