@@ -20,7 +20,7 @@ from seqlab.session import land
 #: Grams of one to three characters within words, hashed to 2**BITS features.
 ORDERS, BITS = range(1, 4), 13
 #: The bounded sample to fit on: documents in all and of one language. Ids are looked for in so many stretches of their hashes.
-SAMPLE, PER_LANGUAGE, HASH_BITS = 3200, 800, 16
+SAMPLE, PER_LANGUAGE, HASH_BITS = 3200, 800, 12
 STEPS, RATE, DECAY = 60, 0.05, 1e-4
 #: A prediction is ambiguous if the nearest two codewords are closer in probability than this.
 MARGIN = 0.1
