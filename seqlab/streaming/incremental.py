@@ -1,6 +1,6 @@
 """The stateless operators on a stream: reads that arrive as Parquet files are damaged as they come.
 
-Nothing here keeps state between batches; whatever needs a whole group (exact counts, ranks) stays a batch job.
+Nothing here keeps state between batches; for exact samples see ``sampling``.
 """
 
 from __future__ import annotations
