@@ -19,7 +19,8 @@ ORDERS, BITS, DIMENSIONS = range(3, 7), 20, 8
 PER_LABEL, LONGEST = 3000, 20_000
 #: A gram is learned if so many documents of the sample have it and its shares of the two labels differ by so many standard
 #: errors, of all such grams those with the most; the embedding of any other stays zero but counts in the average, which is
-#: scaled up. How far an embedding may go shrinks with the errors that so many grams show by chance.
+#: scaled up. How fast an embedding grows shrinks with the errors that so many grams show by chance, and with the share that
+#: the gram has in documents of the rarer label for it.
 LEAST_DOCUMENTS, LEAST_ERRORS, MOST_GRAMS, SCALE, STEPS, RATE, DECAY = 4, 3.0, 1 << 15, 100.0, 200, 0.05, 1e-3
 #: A text without evidence scores the share of toxic labels, and at most this.
 MOST_PRIOR = 0.4
@@ -71,7 +72,8 @@ def train(texts: Iterable[str | None], labels: np.ndarray, share: float | None =
     if not len(used):
         return Toxicity(value, bias)
     chance = 2 * np.log(max((seen >= LEAST_DOCUMENTS).sum(), 2))
-    trust = np.maximum(1 - chance / errors[used] ** 2, 0.02)
+    one, zero = toxic[used] / n1, (seen - toxic)[used] / (n - n1)
+    trust = np.maximum(1 - chance / errors[used] ** 2, 0.02) * (1 - np.minimum(one, zero) / np.maximum(one, zero)) ** 2
     place = np.full(1 << BITS, -1, np.int32)
     place[used] = np.arange(len(used))
     found = [(place[grams][kept], shares[kept]) for grams, shares in map(bag, texts) for kept in [place[grams] >= 0]]
