@@ -31,13 +31,19 @@ def chunked(reads: DataFrame, chunk_pairs: int) -> DataFrame:
     With an ``origin`` column, the chunks of contaminant reads come before those of host reads; nothing in a number tells which is
     which. Chunks are numbered 0, 1, 2, ... in each sample, so reading and writing again does not raise the numbers.
     """
+    return numbered_chunks(reads, chunk_pairs)[0]
+
+
+def numbered_chunks(reads: DataFrame, chunk_pairs: int) -> tuple[DataFrame, DataFrame]:
+    """``chunked`` reads, and (sample_id, mate, chunk, chunks) of all that there are, landed: one narrow pass over the reads."""
     host = (F.col("origin") == "host").cast("int") if "origin" in reads.columns else F.lit(0)
     placed = reads.withColumns({"_part": host, "_range": div(F.col("pair_id"), F.lit(chunk_pairs))})
-    ranges = placed.select("sample_id", "_part", "_range").distinct()
-    sample = Window.partitionBy("sample_id")
-    number = (F.row_number().over(sample.orderBy("_part", "_range")) - 1).alias("chunk")
-    counted = ranges.select("*", number, F.count(F.lit(1)).over(sample).alias("chunks"))
-    return placed.join(land(counted, "chunks"), ["sample_id", "_part", "_range"])
+    ranges = placed.select("sample_id", "mate", "_part", "_range").distinct()
+    number = F.dense_rank().over(Window.partitionBy("sample_id").orderBy("_part", "_range")) - 1
+    numbered = ranges.withColumn("chunk", number).withColumn("chunks", F.max("chunk").over(Window.partitionBy("sample_id")) + 1)
+    table = land(numbered, "chunks")
+    once = table.select("sample_id", "_part", "_range", "chunk", "chunks").distinct()
+    return placed.join(once, ["sample_id", "_part", "_range"]), table.select("sample_id", "mate", "chunk", "chunks")
 
 
 def fastq_record() -> Column:
@@ -71,43 +77,44 @@ def write_read_files(
     if ``segmented``, which no byte is copied for. Of the (sample_id, mate) in ``corrupt`` one byte of the file, or of the first
     segment, is overwritten.
     """
-    placed = chunked(reads, chunk_pairs)
-    target = F.concat("sample_id", F.lit("_R"), F.col("mate").cast("string"), F.lit(".fastq.gz"))
-    part = F.concat("sample_id", F.lit("_R"), F.col("mate").cast("string"), F.lit("_"), F.lpad((F.col("chunk") + 1).cast("string"), 3, "0"), F.lit(".fastq.gz"))
+    placed, table = numbered_chunks(reads, chunk_pairs)
     if corrupt is not None:
         chosen = corrupt.select("sample_id", F.col("mate").cast("int").alias("mate"), F.lit(True).alias("corrupt")).distinct()
-        placed = placed.join(chosen, ["sample_id", "mate"], "left")
+        placed, table = (x.join(chosen, ["sample_id", "mate"], "left") for x in (placed, table))
     else:
-        placed = placed.withColumn("corrupt", F.lit(None).cast("boolean"))
-    return write_files(placed.withColumns({"target": target, "part": part, "order": F.col("pair_id"), "value": fastq_record()}), path, seed, segmented)
+        placed, table = (x.withColumn("corrupt", F.lit(None).cast("boolean")) for x in (placed, table))
+    target = F.concat("sample_id", F.lit("_R"), F.col("mate").cast("string"), F.lit(".fastq.gz"))
+    part = F.concat("sample_id", F.lit("_R"), F.col("mate").cast("string"), F.lit("_"), F.lpad((F.col("chunk") + 1).cast("string"), 3, "0"), F.lit(".fastq.gz"))
+    placed, table = (x.withColumns({"target": target, "part": part}) for x in (placed, table))
+    return write_files(placed.withColumns({"order": F.col("pair_id"), "value": fastq_record()}), table, path, seed, segmented)
 
 
-def write_files(records: DataFrame, path: str, seed: int, segmented: bool) -> DataFrame:
+def write_files(records: DataFrame, table: DataFrame, path: str, seed: int, segmented: bool) -> DataFrame:
     """Write ``records`` (target, part, chunk, chunks, corrupt, order, value): targets of one chunk at once, of others the parts.
 
-    Parts are joined, unless ``segmented``. Returns (target, path, length, position) of the files, landed.
+    ``table`` has a row (without order and value) for each part that there is. Parts are joined, unless ``segmented``. Returns
+    (target, path, length, position) of the files, landed.
     """
-    spark, staged = records.sparkSession, f"{landing_folder(records.sparkSession)}/parts-{uuid.uuid4().hex}"
+    staged = f"{landing_folder(records.sparkSession)}/parts-{uuid.uuid4().hex}"
     single = F.col("chunks") == 1
-    file = F.when(single, F.col("target")).otherwise(F.col("part"))
     hit = F.col("corrupt") & (single | (F.lit(segmented) & (F.col("chunk") == 0)))
-    share = F.when(hit, draw_uniform(seed, "corrupt", "target"))
-    rows = records.select(file.alias("file"), "order", "value", share.alias("corrupt_at"), single.alias("single"))
+    named = {"file": F.when(single, F.col("target")).otherwise(F.col("part")), "share": F.when(hit, draw_uniform(seed, "corrupt", "target"))}
 
     def write(chosen: DataFrame, folder: str) -> None:
-        ordered = chosen.repartition("file").sortWithinPartitions("file", "order").select("file", "value", "corrupt_at")
+        rows = chosen.withColumns(named).select("file", "order", "value", F.col("share").alias("corrupt_at"))
+        ordered = rows.repartition("file").sortWithinPartitions("file", "order").select("file", "value", "corrupt_at")
         ordered.write.format("record_files").mode("append").save(folder)
 
-    files = land(records.select(file.alias("file"), "target", "chunk", "corrupt", share.alias("share"), "chunks").distinct(), "files")
-    several = not files.where("chunks > 1").isEmpty()
-    write(rows if segmented or not several else rows.where("single"), path)
-    whole = listed(files if segmented else files.where("chunks = 1"), path)
+    files = land(table.withColumns(named).select("file", "target", "chunk", "chunks", "corrupt", "share").distinct(), "files")
+    joined_later = not segmented and not files.where("chunks > 1").isEmpty()
+    write(records.where(single) if joined_later else records, path)
+    whole = listed(files.where(single) if joined_later else files, path)
     position = F.floor(F.col("share") * F.col("length")).cast("bigint").alias("position")
     whole = whole.select(F.col("file").alias("target"), "path", "length", position)
-    if segmented or not several:
+    if not joined_later:
         return land(whole, "written")
-    write(rows.where(~F.col("single")), staged)
-    joined = join_files(listed(files.where("chunks > 1"), staged).select("target", "chunk", "corrupt", "path", "length"), path, seed)
+    write(records.where(~single), staged)
+    joined = join_files(listed(files.where(~single), staged).select("target", "chunk", "corrupt", "path", "length"), path, seed)
     return land(whole.unionByName(joined), "written")
 
 
@@ -151,8 +158,8 @@ def write_contig_files(contigs: DataFrame, path: str, name: str = "contig_name")
     made = {
         "target": F.concat("sample_id", F.lit(".fasta")),
         "part": F.concat("sample_id", F.lit(".part"), (F.col("chunk") + 1).cast("string"), F.lit(".fasta")),
-        "order": F.col("contig_index").cast("bigint"),
-        "value": F.concat(F.lit(">"), F.col(name), F.lit("\n"), F.col("sequence")),
         "corrupt": F.lit(None).cast("boolean"),
     }
-    return write_files(placed.join(ranges, ["sample_id", "_range"]).withColumns(made), path, 42, False)
+    written = {"order": F.col("contig_index").cast("bigint"), "value": F.concat(F.lit(">"), F.col(name), F.lit("\n"), F.col("sequence"))}
+    records = placed.join(ranges, ["sample_id", "_range"]).withColumns(made).withColumns(written)
+    return write_files(records, ranges.withColumns(made), path, 42, False)
