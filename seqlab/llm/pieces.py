@@ -11,7 +11,7 @@ import pyarrow as pa
 import sentencepiece
 from pyspark.sql import DataFrame
 
-from seqlab.llm.piece_model import BYTE, NORMAL, SPACE, identity, read_model
+from seqlab.llm.piece_model import BYTE, NORMAL, SPACE, identity, read_model, without_normaliser
 from seqlab.llm.worker import append_columns, texts_of, worker_state
 
 VOCABULARY = "piece_bpe_32k.model"
@@ -20,12 +20,14 @@ VOCABULARY = "piece_bpe_32k.model"
 class Encoder:
     """Encodes whole texts with the library and places their pieces in them.
 
-    A text is normalised here too, through the character map, which gives the alignment of its bytes; the pieces follow each
-    other in the normalised text, so the ends of their widths are places that the alignment takes back to the text.
+    A text is normalised here, through the character map, which gives the alignment of its bytes; the library merges the normalised
+    text and changes nothing in it. The pieces follow each other in that text, so the ends of their widths are places that the
+    alignment takes back to the text.
     """
 
     def __init__(self, data: bytes):
         self.library = sentencepiece.SentencePieceProcessor(model_proto=data)
+        self.merger = sentencepiece.SentencePieceProcessor(model_proto=without_normaliser(data))
         self.model = read_model(data)
         names, kinds = self.model.names, self.model.kinds
         if BYTE not in kinds:
@@ -43,8 +45,8 @@ class Encoder:
 
         The space in front belongs to no byte. The bytes of a character without a piece are pieces of one byte.
         """
-        ids = self.library.encode(text)
-        source = self.model.normalised(text)[1]
+        normal, source = self.model.normalised(text)
+        ids = self.merger.encode(normal)
         source = identity(text, self.model.prefix) if source is None else source
         places = np.zeros(len(ids) + 1, np.int64)
         np.cumsum(self.width[ids], out=places[1:]) if ids else None

@@ -47,8 +47,8 @@ def op5_packing(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op6_warc(spark: SparkSession, folder: str) -> DataFrame:
-    """Every page, written to archives and read back."""
-    return warc.archived_pages(table(spark, folder, "pages"))
+    """Every page, written to archives and read back; a damaged copy precedes one record in sixteen, which the reader salvages."""
+    return warc.archived_pages(table(spark, folder, "pages"), spoil="digest LIKE '0%'")
 
 
 def op7_pieces(spark: SparkSession, folder: str) -> DataFrame:
@@ -132,7 +132,7 @@ ORACLE: dict[str, str] = {
         )
         SELECT page_id, payload_bytes, payload_digest,
             CASE WHEN page_id = first_id THEN 'response' ELSE 'revisit' END AS record_type,
-            CASE WHEN page_id <> first_id THEN first_id END AS refers_to
+            CASE WHEN page_id <> first_id THEN first_id END AS refers_to, payload_digest LIKE '0%' AS salvaged
         FROM grouped
     """,
     "op11_rules": r"""

@@ -49,8 +49,14 @@ def compressed(data: bytes, level: int = 1) -> bytes:
     return packer.compress(data) + packer.flush()
 
 
-def planned(pages: DataFrame) -> DataFrame:
-    """``pages`` (page_id, url, html) as records: page_id, url, payload, digest, size, first_id, leads.
+def spoilt(data: bytes, gzip: bool) -> bytes:
+    """A written record with one changed byte: in the middle of a gzip member, or at the end of the block of a plain record."""
+    at = len(data) // 2 if gzip else len(data) - 5
+    return data[:at] + bytes([data[at] ^ 0x41]) + data[at + 1 :]
+
+
+def planned(pages: DataFrame, spoil: str = "false") -> DataFrame:
+    """``pages`` (page_id, url, html) as records: page_id, url, payload, digest, size, first_id, leads, spoil.
 
     Of the rows with equal payloads of ``LEAST_REVISIT`` bytes or more, one with the largest page_id leads, the one of the smallest url;
     the others refer to it. The groups are counted without the payloads and joined back, so a payload that most pages have
@@ -65,12 +71,16 @@ def planned(pages: DataFrame) -> DataFrame:
     place = F.row_number().over(Window.partitionBy("digest").orderBy("url"))
     heads = joined.where(leading).withColumn("leads", place == 1)  # one row for each repeated payload, unless ids repeat
     others = joined.where(~leading).withColumn("leads", F.col("repeated").isNull())
-    return heads.unionByName(others).select("page_id", "url", "payload", "digest", "size", "first_id", "leads")
+    made = heads.unionByName(others).select("page_id", "url", "payload", "digest", "size", "first_id", "leads")
+    return made.withColumn("spoil", F.coalesce(F.expr(spoil), F.lit(False)))
 
 
-def write_archives(pages: DataFrame, folder: str | None = None, gzip: bool = True) -> DataFrame:
+def write_archives(pages: DataFrame, folder: str | None = None, gzip: bool = True, spoil: str = "false") -> DataFrame:
     """Write a record for every row of ``pages`` and return the manifest (path, bytes, records) of the archives.
 
+    Where ``spoil``, a condition on the columns of ``planned``, holds, a copy of the record with one changed byte comes before it: a
+    trial of the reader, which has to quarantine the copy and to find the record after it. The manifest does not count such copies.
+
     Each task writes an archive of its own name in ``folder`` (in the shared folder if it is not given). The manifest is landed
     by Spark's commit, so the file of a lost or repeated attempt is in no manifest and is never read. Empty pages, no archive.
     """
@@ -91,6 +101,10 @@ def write_archives(pages: DataFrame, folder: str | None = None, gzip: bool = Tru
                     row["payload"] if leads else None, None if leads else page_name(row["first_id"]),
                 )
                 data = compressed(data) if gzip else data
+                if row["spoil"]:
+                    damaged = spoilt(data, gzip)
+                    out.write(damaged)
+                    written += len(damaged)
                 out.write(data)
                 written += len(data)
                 records += 1
@@ -98,7 +112,7 @@ def write_archives(pages: DataFrame, folder: str | None = None, gzip: bool = Tru
             out.close()
             yield pa.RecordBatch.from_pylist([{"path": path, "bytes": written, "records": records}])
 
-    return land(planned(pages).mapInArrow(run, "path string, bytes long, records long"), "warc_manifest")
+    return land(planned(pages, spoil).mapInArrow(run, "path string, bytes long, records long"), "warc_manifest")
 
 
 def page_name(page_id: int | None) -> str:
@@ -308,18 +322,24 @@ def read_archives(manifest: DataFrame, split: int = SPLIT, payloads: bool = True
     return ranges.repartition(max(ranges.count(), 1)).mapInArrow(run, RECORD)
 
 
-def archived_pages(pages: DataFrame) -> DataFrame:
+def archived_pages(pages: DataFrame, spoil: str = "false") -> DataFrame:
     """Every row of ``pages`` (page_id, url, html; other columns are ignored) as its record was read back from the archives.
 
-    (page_id, payload_bytes, payload_digest, record_type, refers_to). A null html is empty; equal payloads are written once, see
-    ``planned``. An empty table gives an empty table. Raises if not as many records are read as were written.
+    (page_id, payload_bytes, payload_digest, record_type, refers_to, salvaged). ``salvaged`` is true if the reader had to quarantine
+    the bytes right before the record; see ``write_archives`` for ``spoil``. A null html is empty; equal payloads are written once,
+    see ``planned``. An empty table gives an empty table. Raises if not as many records are read as were written.
     """
-    manifest = write_archives(pages)
-    read = read_archives(manifest, payloads=False).select("gap", "id", "size", "digest", "type", "refers_to")
-    read = land(read, "warc_records").where("gap is null")
-    written, found = manifest.agg(F.coalesce(F.sum("records"), F.lit(0))).first()[0], read.count()
+    manifest = write_archives(pages, spoil=spoil)
+    read = read_archives(manifest, payloads=False).select("path", "start", "stop", "gap", "id", "size", "digest", "type", "refers_to")
+    read = land(read, "warc_records")
+    records = read.where("gap is null")
+    written, found = manifest.agg(F.coalesce(F.sum("records"), F.lit(0))).first()[0], records.count()
     if found != written:
         raise RuntimeError(f"{written} records were written and {found} read back")
+    gaps = read.where("gap is not null").select("path", F.col("stop").alias("start"), F.lit(True).alias("salvaged")).distinct()
     kind = pages.schema["page_id"].dataType
     page = lambda name: F.when(F.col(name) != "urn:page:", F.substring_index(name, ":", -1)).cast(kind)
-    return read.select(page("id").alias("page_id"), F.col("size").alias("payload_bytes"), F.col("digest").alias("payload_digest"), F.col("type").alias("record_type"), page("refers_to").alias("refers_to"))
+    return records.join(gaps, ["path", "start"], "left").select(
+        page("id").alias("page_id"), F.col("size").alias("payload_bytes"), F.col("digest").alias("payload_digest"),
+        F.col("type").alias("record_type"), page("refers_to").alias("refers_to"), F.coalesce("salvaged", F.lit(False)).alias("salvaged"),
+    )

@@ -59,6 +59,13 @@ def test_pieces_and_spans(documents, library, texts):
         assert encoder.decode([*ids, 2]) == library.decode([*ids, 2])
 
 
+def test_the_merger_changes_no_text(library, texts):
+    merger = pieces.Encoder(DATA).merger
+    assert merger.encode("a  b ") != library.encode("a  b ")  # no space in front
+    for text in texts:
+        assert merger.encode(read_model(DATA).normalised(text)[0]) == library.encode(text)
+
+
 def test_any_ids_are_decoded(library):
     encoder = pieces.Encoder(DATA)
     byte = {n: i for i in range(library.get_piece_size()) for n in [library.id_to_piece(i)] if library.is_byte(i)}

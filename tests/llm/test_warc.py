@@ -39,7 +39,7 @@ def test_line_breaks_in_urls(spark):
 
 def test_missing_records_are_an_error(spark, monkeypatch):
     write = warc.write_archives
-    monkeypatch.setattr(warc, "write_archives", lambda p: write(p).selectExpr("path", "bytes", "records + 1 AS records"))
+    monkeypatch.setattr(warc, "write_archives", lambda p, **given: write(p, **given).selectExpr("path", "bytes", "records + 1 AS records"))
     with pytest.raises(RuntimeError, match="read back"):
         warc.archived_pages(pages(spark, [(1, "u", "one"), (2, "u", "two")]))
 
@@ -78,6 +78,26 @@ def test_salvage(tmp_path, gzip, split):
     assert sorted(gaps) == want
 
 
+@pytest.mark.parametrize("gzip", [True, False])
+@pytest.mark.parametrize("split", [warc.SPLIT, 301])
+def test_damaged_copies_are_quarantined(spark, gzip, split):
+    rows = [(i, f"u{i}", f"<p>{'x' * (i * 7 % 50)}</p>") for i in range(60)] + [(100 + i, "w", "é" * 700) for i in range(9)]
+    manifest = warc.write_archives(pages(spark, rows), gzip=gzip, spoil="page_id % 3 = 1 OR page_id IS NULL").collect()
+    found = [r for m in manifest for at in range(0, m["bytes"], split) for r in Archive(m["path"]).records(at, at + split)]
+    assert sorted(r["id"] for r in found if "gap" not in r) == sorted(f"urn:page:{i}" for i, _, _ in rows) and sum(m["records"] for m in manifest) == len(rows)
+    before = {r["stop"] - r["start"] for r in found if "gap" in r}
+    assert sum("gap" in r for r in found) == sum(i % 3 == 1 for i, _, _ in rows) and min(before) > 0
+
+
+def test_pages_after_damaged_copies(spark):
+    rows = [(i, f"u{i}", f"<p>{i}</p>") for i in range(40)] + [(100 + i, "w", "b" * 2000) for i in range(5)] + [(None, "n", None)]
+    plain, salvaged = (warc.archived_pages(pages(spark, rows), *spoil).collect() for spoil in ((), ("page_id % 4 = 0",)))
+    assert sorted(map(repr, (r[:5] for r in plain))) == sorted(map(repr, (r[:5] for r in salvaged)))
+    assert not any(r["salvaged"] for r in plain)
+    assert sorted(r["page_id"] for r in salvaged if r["salvaged"]) == [i for i, _, _ in rows if i is not None and i % 4 == 0]
+    assert warc.archived_pages(pages(spark, []), "true").count() == 0
+
+
 def test_empty_archive(tmp_path):
     path = tmp_path / "a.warc.gz"
     path.write_bytes(b"")
