@@ -127,7 +127,7 @@ SELECT sample_id, pair_id, origin, md5(sequence) AS sequence_md5, md5(quality) A
 @query(_error_reads_sql())
 def introduce_errors(spark: SparkSession, sf: str) -> DataFrame:
     host, foreign = host_and_foreign(spark, sf)
-    reads = errors.damaged_reads(host, foreign, document_error_parameters(spark, sf), 42, SINGLE_END)
+    reads, _ = errors.damaged_reads(host, foreign, document_error_parameters(spark, sf), 42, SINGLE_END)
     return reads.select("sample_id", "pair_id", "origin", md5_of("sequence"), md5_of("quality"))
 
 

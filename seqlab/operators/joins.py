@@ -113,8 +113,24 @@ def told(rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=["prefix", "first_path", "n_paths"])
 
 
+def cluster_reads(
+    reads: DataFrame, name: str, buckets: int, sample: str = "sample_id", pair: str = "pair_id", path: str | None = None
+) -> DataFrame:
+    """Write reads as the table ``name``, in buckets by (sample, pair) and sorted in them, and return the table.
+
+    The files are in the warehouse, or in ``path``.
+
+    Both mates of a pair are in one bucket, so ``mate_pairs`` of the table, and every grouping or join of two such tables by these
+    columns, needs no exchange. The pair is a part of the key: a sample with a third of all reads is in all buckets.
+    """
+    placed = reads.repartition(buckets, sample, pair)  # as the buckets are, so that a task writes one file
+    writer = placed.write.bucketBy(buckets, sample, pair).sortBy(sample, pair).mode("overwrite").format("parquet")
+    (writer.option("path", path) if path else writer).saveAsTable(name)
+    return reads.sparkSession.table(name)
+
+
 def mate_pairs(reads: DataFrame, sample: str, pair: str, mate: str, columns: list[str], mates: tuple[int, int] = (1, 2)) -> DataFrame:
-    """One row per complete pair, columns suffixed _1 and _2; one shuffle, no self-join."""
+    """One row per complete pair, columns suffixed _1 and _2; one shuffle, no self-join. None of a table of ``cluster_reads``."""
     picks = [
         F.max(F.when(F.col(mate) == value, F.col(c))).alias(f"{c}_{side}")
         for side, value in ((1, mates[0]), (2, mates[1]))

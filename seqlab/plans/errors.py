@@ -22,7 +22,7 @@ class Exam:
     """Reads (or contigs), the answer sheet, and the participant's sheet of one exam.
 
     names: (sample_id, public_name) of the reads if they are under the hidden names; corrupt: (sample_id, mate) of the read files
-    that are to be damaged, by the name in ``reads``.
+    that are to be damaged, by the name in ``reads``; mixed: the planned mixtures (sample_id, contaminant_id, pct, pairs, n_own, n_foreign).
     """
 
     reads: DataFrame
@@ -30,6 +30,7 @@ class Exam:
     blank: DataFrame
     names: DataFrame | None = None
     corrupt: DataFrame | None = None
+    mixed: DataFrame | None = None
 
     def published(self, table: DataFrame) -> DataFrame:
         """A table of sample_ids under the public names."""
@@ -37,16 +38,28 @@ class Exam:
             return table
         return table.join(self.names, "sample_id").drop("sample_id").withColumnRenamed("public_name", "sample_id")
 
-    def write(self, path: str, seed: int = 42) -> None:
-        """The files that the sheets name, in ``reads`` or ``contigs``, and the sheets; no path holds a hidden name or an origin."""
+    def write(self, path: str, seed: int = 42) -> DataFrame | None:
+        """The files that the sheets name, in ``reads`` or ``contigs``, and the sheets; no path holds a hidden name or an origin.
+
+        Returns the audit of the read files, a row for each sample under its public name: the pairs written, got_own and
+        got_foreign, beside what was planned if it is a mixture. It is made from the counts of the writing, without another pass.
+        """
+        audit = None
         if "contig_name" in self.reads.columns:
             write_contig_files(self.published(self.reads), f"{path}/contigs")
         else:
             corrupt = None if self.corrupt is None else self.published(self.corrupt)
-            write_read_files(self.published(self.reads), f"{path}/reads", corrupt, seed)
+            audit = self.audit(write_read_files(self.published(self.reads), f"{path}/reads", corrupt, seed))
         write_sheet(self.answers, f"{path}/answer_sheet", order_by="public_name")
         first = self.blank.columns[0]
         write_sheet(self.blank, f"{path}/sample_sheet", order_by=first)
+        return audit
+
+    def audit(self, files: DataFrame) -> DataFrame:
+        """(sample_id, got_own, got_foreign, planned columns) of written files; the mate with more reads gives the pairs."""
+        sample = F.regexp_replace("target", r"_R\d+\.fastq\.gz$", "").alias("sample_id")
+        got = files.groupBy(sample).agg(F.max("own").alias("got_own"), F.max("foreign").alias("got_foreign"))
+        return got if self.mixed is None else got.join(self.published(self.mixed), "sample_id", "left")
 
 
 def one_output_per_row(sheet: DataFrame, reads: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -117,8 +130,8 @@ def error_answers(params: DataFrame, columns: list[str]) -> DataFrame:
 
 def damaged_reads(
     reads: DataFrame, foreign_reads: DataFrame, params: DataFrame, seed: int, first: str | None = None
-) -> DataFrame:
-    """The reads of all samples with the errors of ``params``."""
+) -> tuple[DataFrame, DataFrame]:
+    """The reads of all samples with the errors of ``params``, and the planned mixtures."""
     error = F.col("error")
     samples = params.withColumn("sample_id", F.col("sample_name"))
     plan = samples.where(error == "CONTAMINATED").select(
@@ -149,7 +162,7 @@ def damaged_reads(
         ),
         "damage",
     )
-    return with_foreign_reads(damage_reads(reads, damage, seed), foreign_reads, mixture.cuts, seed)
+    return with_foreign_reads(damage_reads(reads, damage, seed), foreign_reads, mixture.cuts, seed), mixture.sized
 
 
 def introduce_errors(
@@ -172,4 +185,5 @@ def introduce_errors(
     mates = F.when(F.col("corrupt_mates") == "both", F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.substring("corrupt_mates", 2, 1).cast("int")))
     corrupt = params.where(F.col("error") == "CORRUPT").select(F.col("sample_name").alias("sample_id"), F.explode(mates).alias("mate"))
     names = params.select(F.col("sample_name").alias("sample_id"), "public_name")
-    return Exam(damaged_reads(reads, foreign_reads, params, seed, first), answers, blank_sheet(answers), names, corrupt)
+    made, mixed = damaged_reads(reads, foreign_reads, params, seed, first)
+    return Exam(made, answers, blank_sheet(answers), names, corrupt, mixed)

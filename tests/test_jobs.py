@@ -4,6 +4,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
+from seqlab.operators.mixing import mixing_audit
 from seqlab.plans import errors, exams, titration
 from seqlab.plans.damage import DAMAGE
 from seqlab.session import land
@@ -63,7 +64,16 @@ def test_introduce_errors(spark, tmp_path, sheet, contaminants, make_reads):
         else:
             assert answer.error == "LOW_COVERAGE" and 0 < len(mine) < 50
 
-    exam.write(str(tmp_path / "exam"))
+    audit = exam.write(str(tmp_path / "exam")).collect()
+    wanted = {r.sample_id: r for r in mixing_audit(exam.reads, exam.mixed, "mate = 1").collect()}
+    own_names = {r.public_name: r.sample_id for r in exam.names.collect()}
+    assert len(audit) == len(answers) and sum(r.n_own is not None for r in audit) == len(wanted) > 0
+    for r in audit:
+        mine = by_sample[own_names[r.sample_id]]
+        assert (r.got_own, r.got_foreign) == tuple(sum(x.origin == o and x.mate == 1 for x in mine) for o in ("host", "contaminant"))
+        if r.n_own is not None:
+            same = wanted[own_names[r.sample_id]]
+            assert all(r[c] == same[c] for c in ("contaminant_id", "pct", "pairs", "n_own", "n_foreign", "got_own", "got_foreign"))
     back = spark.read.format("fastq").load(str(tmp_path / "exam" / "reads"))
     corrupt = {(r.sample_id, r.mate) for r in exam.published(exam.corrupt).collect()}
     names = {r.public_name: r.sample_name for r in exam.answers.collect()}

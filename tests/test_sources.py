@@ -219,6 +219,7 @@ def test_large_samples_are_written_by_many_tasks(spark, tmp_path, make_reads, se
     assert sorted(p.name for p in (tmp_path / "o").iterdir()) == sorted(files) == sorted([*names, "a_R1.fastq.gz", "a_R2.fastq.gz"])
     assert {t for t, r in files.items() if r["position"] is not None} == {"a_R2.fastq.gz", names[0]}
     assert all((tmp_path / "o" / t).stat().st_size == r["length"] for t, r in files.items())
+    assert all((r["own"], r["foreign"]) == (5 if t.startswith("a") else 10 if segmented else 90, 0) for t, r in files.items())
     write_read_files(reads, str(tmp_path / "p"), None, 42, 10, segmented)
     back = spark.read.format("fastq").load(str(tmp_path / "p"))
     columns = ["sample_id", "mate", "header", "sequence", "plus", "quality"]

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from seqlab.operators import hits, screen, stats
-from seqlab.operators.joins import mate_pairs
+from seqlab.operators.joins import cluster_reads, mate_pairs
 from seqlab.operators.screen import kmer_containment
 
 
@@ -78,6 +78,17 @@ def test_mate_pairs_need_both_mates(spark, make_reads):
     assert [(r.pair_id, r.header_1, r.header_2) for r in pairs] == [(0, "@a.0/1", "@a.0/2"), (2, "@a.2/1", "@a.2/2")]
 
 
+def test_clustered_reads_pair_without_an_exchange(spark, make_reads, tmp_path):
+    reads = make_reads({"a": 40, "b": 3}).where("NOT (pair_id = 1 AND mate = 2)")
+    table = cluster_reads(reads, "clustered_reads", 4, path=str(tmp_path / "clustered"))
+    pairs = mate_pairs(table, "sample_id", "pair_id", "mate", ["header"])
+    assert "Exchange" not in pairs._jdf.queryExecution().executedPlan().toString()
+    assert sorted(pairs.collect()) == sorted(mate_pairs(reads, "sample_id", "pair_id", "mate", ["header"]).collect())
+    joined = table.hint("merge").join(table.select("sample_id", "pair_id", F.col("header").alias("other")), ["sample_id", "pair_id"])
+    assert "Exchange" not in joined._jdf.queryExecution().executedPlan().toString()
+    spark.sql("DROP TABLE clustered_reads")
+
+
 def test_containment_against_brute_force(spark):
     rng = random.Random(2)
     texts = ["".join(rng.choices("ACGT", k=n)) for n in (300, 25_000, 5, 40)]
