@@ -13,6 +13,7 @@ from seqlab.operators import reads as read_ops
 from seqlab.operators import screen
 from seqlab.operators.screen import encoded_kmers
 from seqlab.operators.screen import kmer_containment as containment
+from seqlab.session import land
 
 HOST, FOREIGN = "en", ["de", "es", "fr"]
 SINGLE_END = "true"
@@ -310,6 +311,7 @@ SELECT *, n_common / n_compared AS similarity,
 FROM counted
 """)
 def sketch_distance(spark: SparkSession, sf: str) -> DataFrame:
-    docs = table(spark, sf, "documents")
-    left, right = (screen.sketches(docs.select(by, "text"), "text", 12, 1000, by) for by in ("source", "lang"))
+    # Every text is hashed once: sketches of sources and of languages merge from those of both.
+    parts = land(screen.sketches(table(spark, sf, "documents"), "text", 12, 1000, "source", "lang"), "sketches")
+    left, right = (screen.merged_sketches(parts, by, 1000) for by in ("source", "lang"))
     return screen.sketch_distances(left, right, "source", "lang", 1000, 12).withColumn("distance", F.round("distance", 9))

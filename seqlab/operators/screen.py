@@ -2,15 +2,21 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import hashlib
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 PIECE = 10_000
+#: Bytes of text whose k-mers a task has in memory at a time.
+SLICE = 1 << 20
+#: Numbers that a task keeps to send each of them once.
+HELD = 1 << 21
 #: Letters of a minimizer, at most.
 MINIMIZER = 8
 #: Fixed odd factors of the hash of a minimizer.
@@ -43,6 +49,137 @@ def runs(text: str, k: int, m: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]
     return letters, starts, least[starts].view(np.int64)
 
 
+#: MD5: its start, the left rotations of its four rounds, which word each step adds, and the constants of its 64 steps.
+MD5_START = (0x67452301, 0xEFCDAB89, 0x98BADCFE, 0x10325476)
+MD5_TURNS = ((7, 12, 17, 22), (5, 9, 14, 20), (4, 11, 16, 23), (6, 10, 15, 21))
+MD5_WORDS = ((1, 0), (5, 1), (3, 5), (7, 0))
+MD5_STEPS = (np.abs(np.sin(np.arange(1, 65, dtype=np.float64))) * 2**32).astype(np.uint32)
+
+
+def md5_heads(data: np.ndarray, starts: np.ndarray, n: int) -> np.ndarray:
+    """The first 15 hexadecimal digits of the MD5 of the ``n`` bytes of ``data`` at each of ``starts``, as numbers."""
+    if n > 55:  # More than one block.
+        whole = data.tobytes()
+        return np.array([int(hashlib.md5(whole[i : i + n]).hexdigest()[:15], 16) for i in starts.tolist()], np.int64)
+    padded = np.concatenate([data, np.zeros(4, np.uint8)]).astype(np.uint32)
+    words = padded[:-3] | padded[1:-2] << 8 | padded[2:-1] << 16 | padded[3:] << 24
+    out = np.empty(len(starts), np.int64)
+    for i in range(0, len(starts), 1 << 14):
+        out[i : i + (1 << 14)] = md5_block(words, starts[i : i + (1 << 14)], n)
+    return out
+
+
+def md5_block(words: np.ndarray, starts: np.ndarray, n: int) -> np.ndarray:
+    """``md5_heads`` of one block each; ``words`` has the four bytes from each place on."""
+    full, rest = divmod(n, 4)
+    message: dict[int, np.ndarray | int] = {j: words[starts + 4 * j] for j in range(full)} | {14: 8 * n}
+    message[full] = (words[starts + 4 * full] & ((1 << 8 * rest) - 1)) | (0x80 << 8 * rest) if rest else 0x80
+    a, b, c, d = (np.full(len(starts), x, np.uint32) for x in MD5_START)
+    for i in range(64):
+        kind = i // 16
+        if kind == 0:
+            mixed = d ^ (b & (c ^ d))
+        elif kind == 1:
+            mixed = c ^ (d & (b ^ c))
+        elif kind == 2:
+            mixed = b ^ c ^ d
+        else:
+            mixed = c ^ (b | ~d)
+        factor, offset = MD5_WORDS[kind]
+        word = message.get((factor * i + offset) % 16, 0)
+        mixed += a
+        if isinstance(word, np.ndarray):
+            mixed += word
+            word = 0
+        mixed += np.uint32((int(MD5_STEPS[i]) + word) % 2**32)
+        turn = MD5_TURNS[kind][i % 4]
+        a, b, c, d = d, ((mixed << turn) | (mixed >> (32 - turn))) + b, b, c
+    first, second = ((x + np.uint32(y)).byteswap().astype(np.int64) for x, y in ((a, MD5_START[0]), (b, MD5_START[1])))
+    return first << 28 | second >> 4
+
+
+def slices(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches in parts whose texts ``piece`` have about SLICE bytes: a batch of full pieces has a hundred times as many."""
+    for batch in batches:
+        part = np.cumsum(pc.binary_length(batch.column("piece")).fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)) // SLICE
+        cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), len(part)]
+        yield from (batch.slice(a, b - a) for a, b in zip(cuts, cuts[1:]) if b > a)
+
+
+def bytes_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(bytes, bounds): the texts one after the other in UTF-8, and where each starts, and the end; a null is empty."""
+    texts = texts.cast(pa.large_string()).fill_null("")
+    bounds = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
+    return np.frombuffer(texts.buffers()[2] or b"", np.uint8)[bounds[0] : bounds[-1]], bounds - bounds[0]
+
+
+def hashes_of(data: np.ndarray, bounds: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """(text, hash) of every k-mer of texts as of ``bytes_of``."""
+    letters = np.flatnonzero((data & 0xC0) != 0x80)
+    if len(letters) < k:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    ends = np.append(letters, len(data))[k:]
+    text = np.repeat(np.arange(len(bounds) - 1), np.diff(np.searchsorted(letters, bounds)))
+    within = text[: len(ends)] == text[k - 1 :]
+    starts, ends, text = letters[: len(ends)][within], ends[within], text[: len(ends)][within]
+    sizes, hashes = ends - starts, np.empty(len(starts), np.int64)
+    for n in np.unique(sizes).tolist():
+        hashes[sizes == n] = md5_heads(data, starts[sizes == n], n)
+    return text, hashes
+
+
+def distinct_numbers(
+    pieces: DataFrame, keys: list[str], name: str, numbers: Callable[[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]], size: int | None = None
+) -> DataFrame:
+    """(keys, name): the different ``numbers`` of ``pieces`` (keys, piece), with ``size`` only the least of a key.
+
+    A task sends a number of a key once, or again after it had HELD different ones and let go of them, so what is made of the rows
+    has to take out repeats. ``numbers`` gets texts as of ``bytes_of`` and returns (text, number).
+    """
+    types = [f"`{c}` {pieces.schema[c].dataType.simpleString()}" for c in keys] + [f"`{name}` bigint"]
+
+    def told(held: dict[tuple, list[np.ndarray]], kinds: list[pa.DataType]) -> pa.RecordBatch:
+        found = {key: np.unique(np.concatenate(parts))[:size] for key, parts in held.items()}
+        place = pa.array(np.repeat(np.arange(len(found)), [len(x) for x in found.values()]))
+        columns = [pa.array([key[j] for key in found], kind).take(place) for j, kind in enumerate(kinds)]
+        return pa.RecordBatch.from_arrays([*columns, pa.array(np.concatenate(list(found.values())))], names=[*keys, name])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[tuple, list[np.ndarray]] = {}
+        n, kinds = 0, []
+        for batch in slices(batches):
+            kinds = [batch.schema.field(c).type for c in keys]
+            places: dict[tuple, int] = {}
+            owner = np.array([places.setdefault(key, len(places)) for key in zip(*(batch.column(c).to_pylist() for c in keys), strict=True)], np.int32)
+            text, found = numbers(*bytes_of(batch.column("piece")))
+            group = owner[text]
+            if size is not None:
+                most = [held[key][0][-1] if key in held and len(held[key][0]) == size else np.iinfo(np.int64).max for key in places]
+                near = found <= np.array(most)[group]
+                group, found = group[near], found[near]
+            order = np.argsort(group, kind="stable")
+            for key, part in zip(places, np.split(found[order], np.cumsum(np.bincount(group, minlength=len(places)))[:-1]), strict=True):
+                if not len(part):
+                    continue
+                known = held.setdefault(key, [])
+                known.append(np.unique(part))
+                n += len(known[-1])
+                if size is not None:
+                    n -= sum(map(len, known))
+                    known[:] = [np.unique(np.concatenate(known))[:size]]
+                    n += len(known[0])
+            if n > HELD:
+                held = {key: [np.unique(np.concatenate(parts))] for key, parts in held.items()}
+                n = sum(len(parts[0]) for parts in held.values())
+                if n > HELD // 2:
+                    yield told(held, kinds)
+                    held, n = {}, 0
+        if held:
+            yield told(held, kinds)
+
+    return pieces.mapInArrow(run, ", ".join(types))
+
+
 def pieces_of(df: DataFrame, text: str, k: int, *keys: str, letters: str | None = None) -> DataFrame:
     """(keys, piece): the texts in pieces that overlap by k - 1 letters, dealt out evenly; of ``letters`` alone, if given.
 
@@ -154,26 +291,27 @@ def encoded_kmers(df: DataFrame, text: str, k: int, *keys: str) -> DataFrame:
     return numbered_kmers(pieces_of(df, text, k, *keys, letters="ACGT"), k, list(keys), 4, digits).select(*keys, "kmer")
 
 
-def sketches(df: DataFrame, text: str, k: int, size: int, key: str) -> DataFrame:
-    """(key, sketch): the ``size`` least hashes of the distinct k-mers of each set, ascending; of all, if it has fewer.
+def sketches(df: DataFrame, text: str, k: int, size: int, *keys: str) -> DataFrame:
+    """(keys, sketch): the ``size`` least hashes of the distinct k-mers of each set, ascending; of all, if it has fewer.
 
     Sketches merge: that of a union is made of the least of both. A k-mer's hash is 60 bits of the MD5 of its text, so hashes of
-    different sets compare. Each partition cuts down to ``size`` hashes of a set before the shuffle by set. A null text has none.
+    different sets compare. Each task hashes its k-mers where it reads them and keeps the ``size`` least of each set, so hashes of
+    sketches are all that is shuffled. A null text has none.
     """
-    hashed = kmers(df, text, k, key).select(key, F.conv(F.substring(F.md5("kmer"), 1, 15), 16, 10).cast("bigint").alias("hash"))
-    return least_hashes(hashed, key, size)
+    hashed = distinct_numbers(pieces_of(df, text, k, *keys), list(keys), "hash", lambda data, bounds: hashes_of(data, bounds, k), size)
+    return least_hashes(hashed, size, *keys)
 
 
-def least_hashes(hashed: DataFrame, key: str, size: int) -> DataFrame:
-    """(key, sketch) of (key, hash): the ``size`` least different hashes of each key, ascending."""
-    place = F.dense_rank().over(Window.partitionBy(key).orderBy("hash"))
+def least_hashes(hashed: DataFrame, size: int, *keys: str) -> DataFrame:
+    """(keys, sketch) of (keys, hash): the ``size`` least different hashes of each set, ascending."""
+    place = F.dense_rank().over(Window.partitionBy(*keys).orderBy("hash"))
     least = hashed.withColumn("_place", place).where(F.col("_place") <= size)
-    return least.groupBy(key).agg(F.sort_array(F.collect_set("hash")).alias("sketch"))
+    return least.groupBy(*keys).agg(F.sort_array(F.collect_set("hash")).alias("sketch"))
 
 
 def merged_sketches(parts: DataFrame, key: str, size: int) -> DataFrame:
     """(key, sketch) of several sketches (key, sketch) of each key, as that of all their k-mers would be."""
-    return least_hashes(parts.select(key, F.explode("sketch").alias("hash")), key, size)
+    return least_hashes(parts.select(key, F.explode("sketch").alias("hash")), size, key)
 
 
 def sketch_distances(left: DataFrame, right: DataFrame, left_key: str, right_key: str, size: int, k: int) -> DataFrame:

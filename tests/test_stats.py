@@ -156,3 +156,33 @@ def test_distinct_kmers_need_one_shuffle_by_minimizer(spark):
     df = spark.createDataFrame([("s", "ACGTACGTTTGACCA" * 9)], "s string, t string")
     plan = screen.numbered_kmers(screen.pieces_of(df, "t", 9, "s"), 9, ["s"], 3)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning(") == 1 and "Exchange hashpartitioning(minimizer" in plan
+
+
+def test_sketches_shuffle_hashes_of_sketches_alone(spark, monkeypatch):
+    rng = random.Random(11)
+    texts = [(rng.choice("ab"), rng.choice(["x", None]), "".join(rng.choices("acgtéß日𝔘 ", k=rng.randint(0, 9000)))) for _ in range(60)]
+    df = spark.createDataFrame([*texts, (None, "x", "acgtacgtacgtacgt"), ("a", "x", None)], "s string, l string, t string").repartition(3)
+    k, size = 9, 50
+    plan = screen.sketches(df, "t", k, size, "s")._jdf.queryExecution().executedPlan().toString()
+    assert "minimizer" not in plan and "kmer" not in plan
+    hashed = screen.distinct_numbers(screen.pieces_of(df, "t", k, "s"), ["s"], "hash", lambda data, bounds: screen.hashes_of(data, bounds, k), size)
+    assert hashed.count() <= 3 * size * hashed.rdd.getNumPartitions()
+    want = {}
+    for s, l, t in [*texts, (None, "x", "acgtacgtacgtacgt")]:
+        want.setdefault((s, l), set()).update(int(hashlib.md5(t[i : i + k].encode()).hexdigest()[:15], 16) for i in range(len(t) - k + 1))
+    want = {key: sorted(hashes)[:size] for key, hashes in want.items() if hashes}
+    # Also if a task lets go of what it holds.
+    for held in (screen.HELD, 70):
+        monkeypatch.setattr(screen, "HELD", held)
+        parts = screen.sketches(df, "t", k, size, "s", "l")
+        assert {(r["s"], r["l"]): r["sketch"] for r in parts.collect()} == want
+    merged = {r["s"]: r["sketch"] for r in screen.merged_sketches(parts, "s", size).collect()}
+    assert merged == {s: sorted(set().union(*(h for key, h in want.items() if key[0] == s)))[:size] for s in ("a", "b", None)}
+
+
+@pytest.mark.parametrize("n", [0, 1, 3, 4, 11, 12, 13, 54, 55, 56, 130])
+def test_md5_heads(n):
+    data = random.Random(n).randbytes(300)
+    starts = screen.np.arange(300 - n + 1)
+    want = [int(hashlib.md5(data[i : i + n]).hexdigest()[:15], 16) for i in starts]
+    assert screen.md5_heads(screen.np.frombuffer(data, screen.np.uint8), starts, n).tolist() == want
