@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 PIECE = 10_000
 #: Bytes of text whose k-mers a task has in memory at a time.
 SLICE = 1 << 20
+#: Runs that a task knows, to send each of them once.
+KNOWN = 1 << 18
 #: Numbers that a task keeps to send each of them once.
 HELD = 1 << 21
 #: Letters of a minimizer, at most.
@@ -28,15 +30,20 @@ def minimizers(codes: np.ndarray, k: int, m: int) -> np.ndarray:
     value = numbers_of(codes, m, FACTORS[0])
     value = (value ^ (value >> np.uint64(30))) * np.uint64(FACTORS[1])
     value = (value ^ (value >> np.uint64(27))) * np.uint64(FACTORS[2])
-    return np.lib.stride_tricks.sliding_window_view(value, k - m + 1).min(1)
+    size, most = 1, k - m + 1
+    while 2 * size <= most:
+        value = np.minimum(value[:-size], value[size:])
+        size *= 2
+    return np.minimum(value[: len(value) - (most - size)], value[most - size :])
 
 
 def numbers_of(letters: np.ndarray, k: int, factor: int) -> np.ndarray:
     """The number of every ``k`` letters in a row, in the base ``factor``, modulo 2**64."""
-    out = np.zeros(len(letters) - k + 1, np.uint64)
-    for j in range(k):
-        out = out * np.uint64(factor) + letters[j : j + len(out)]
-    return out
+    if k == 1:
+        return letters.copy()
+    half = numbers_of(letters, k // 2, factor)
+    out = half[: len(half) - k // 2] * np.uint64(pow(factor, k // 2, 2**64)) + half[k // 2 :]
+    return out[:-1] * np.uint64(factor) + letters[k - 1 :] if k % 2 else out
 
 
 def runs(text: str, k: int, m: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -199,13 +206,15 @@ def dealt_runs(pieces: DataFrame, k: int, keys: list[str], factor: int | None, d
 
     Neighbouring k-mers mostly share their minimizer, so they go as one row: as a stretch of text, n + k - 1 letters for n
     k-mers, or with ``factor`` as the numbers of the k-mers (of ``digits`` of the letters, if given). Equal k-mers have equal
-    minimizers and meet in a partition, so what is made of runs there needs no other shuffle. Equal runs of a batch are sent once.
+    minimizers and meet in a partition, so what is made of runs there needs no other shuffle. A task has the runs of SLICE bytes in memory at a
+    time, however long its texts are, and sends a run that is among the last KNOWN ones not again.
     """
     m, kind = min(MINIMIZER, k), pa.string() if factor is None else pa.list_(pa.int64())
     types = [f"`{c}` {pieces.schema[c].dataType.simpleString()}" for c in keys] + [f"run {'string' if factor is None else 'array<bigint>'}", "minimizer bigint"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        known, places = pd.DataFrame(), {}
+        for batch in slices(batches):
             at, counts, least, values, texts = ([] for _ in range(5))
             for i, piece in enumerate(batch.column("piece").to_pylist()):
                 letters, starts, found = runs(piece or "", k, m)
@@ -221,10 +230,20 @@ def dealt_runs(pieces: DataFrame, k: int, keys: list[str], factor: int | None, d
             joined = lambda x, kind: np.concatenate(x) if x else np.zeros(0, kind)
             at, counts, least, values = joined(at, np.int32), joined(counts, np.int64), joined(least, np.int64), joined(values, np.int64)
             stops = np.cumsum(counts)
-            # The first and the last k-mer of a run, which overlap or touch, hold all its letters.
-            same = {"n": counts, "first": values[stops - counts], "last": values[stops - 1]}
-            same |= {c: batch.column(c).dictionary_encode("encode").indices.to_numpy(zero_copy_only=False)[at] for c in keys}
-            new = pa.array(~pd.DataFrame(same).duplicated().to_numpy())
+            # The first and the last k-mer of a run mostly hold all its letters; of a long run, one minimizer again and again, they don't.
+            # The numbers are sums of letters, so they are mixed before they are summed.
+            mixed = values.view(np.uint64)
+            mixed = (mixed ^ (mixed >> np.uint64(30))) * np.uint64(FACTORS[2])
+            mixed = (mixed ^ (mixed >> np.uint64(27))).view(np.int64)
+            total = np.add.reduceat(mixed, stops - counts) if len(counts) else mixed
+            same = {"n": counts, "first": values[stops - counts], "last": values[stops - 1], "total": total}
+            owner = [places.setdefault(key, len(places)) for key in zip(*(batch.column(c).to_pylist() for c in keys), strict=True)]
+            seen = pd.concat([known, pd.DataFrame(same | {"owner": np.array(owner, np.int64)[at]})], ignore_index=True)
+            repeated = seen.duplicated().to_numpy()
+            new = pa.array(~repeated[len(known) :])
+            known = seen[~repeated].iloc[-KNOWN:]
+            if len(places) > KNOWN:
+                known, places = pd.DataFrame(), {}
             if factor is None:
                 told = pa.array(texts, kind)
             else:

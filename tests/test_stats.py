@@ -1,6 +1,8 @@
 import hashlib
 import random
+import tracemalloc
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -186,3 +188,47 @@ def test_md5_heads(n):
     starts = screen.np.arange(300 - n + 1)
     want = [int(hashlib.md5(data[i : i + n]).hexdigest()[:15], 16) for i in starts]
     assert screen.md5_heads(screen.np.frombuffer(data, screen.np.uint8), starts, n).tolist() == want
+
+
+def test_runs_take_memory_of_a_slice_not_of_a_batch(spark):
+    rng = random.Random(12)
+    pieces = ["".join(rng.choices("acgt", k=10_000)) for _ in range(60)] * 10 + ["".join(rng.choices("acgt", k=10_000)) for _ in range(300)]
+
+    class Pieces:
+        schema = spark.createDataFrame([], "s string, piece string").schema
+
+        def mapInArrow(self, run, types):
+            self.run = run
+            return self
+
+        def repartition(self, *columns):
+            return self
+
+    def numbers(dealt, texts):
+        batch = pa.RecordBatch.from_pydict({"s": [f"s{i % 2}" for i in range(len(texts))], "piece": texts})
+        tracemalloc.start()
+        rows = found = 0
+        for out in dealt.run(iter([batch])):
+            rows, found = rows + len(out), found + len(out.column("run").flatten())
+        most = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        return rows, found, most
+
+    dealt = screen.dealt_runs(Pieces(), 20, ["s"], screen.FACTORS[1])
+    rows, found, most = numbers(dealt, pieces)
+    assert most < 200e6
+    # A piece that another slice had is not sent again.
+    assert found < 1.01 * 360 * 9981
+    assert numbers(dealt, pieces * 4)[2] < 200e6
+
+
+def test_long_runs_of_one_minimizer_are_told_apart(spark):
+    # One word, which every k-mer holds, is the minimizer throughout; the middle alone differs.
+    rng = random.Random(13)
+    texts = []
+    while any(len(screen.runs(t, 20, 8)[1]) != 1 for t in texts) or not texts:
+        word, between = "".join(rng.choices("acgt", k=8)), "".join(rng.choices("acgt", k=4))
+        texts = [f"{word}{between}" * 3 + f"{word}{x}" + f"{word}{between}" * 3 for x in ("cgat", "ctag", "cacc", "gatt")]
+    pieces = spark.createDataFrame([("s", t) for t in texts], "s string, piece string").coalesce(1)
+    want = len({t[i : i + 20] for t in texts for i in range(len(t) - 19)})
+    assert screen.numbered_kmers(pieces, 20, ["s"], screen.FACTORS[1]).count() == want
