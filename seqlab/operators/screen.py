@@ -120,6 +120,11 @@ def bytes_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(texts.buffers()[2] or b"", np.uint8)[bounds[0] : bounds[-1]], bounds - bounds[0]
 
 
+def sets_of(batch: pa.RecordBatch, keys: list[str]) -> list[tuple]:
+    """The keys of each row."""
+    return list(zip(*(batch.column(c).to_pylist() for c in keys), strict=True)) if keys else [()] * len(batch)
+
+
 def hashes_of(data: np.ndarray, bounds: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
     """(text, hash) of every k-mer of texts as of ``bytes_of``."""
     letters = np.flatnonzero((data & 0xC0) != 0x80)
@@ -157,7 +162,7 @@ def distinct_numbers(
         for batch in slices(batches):
             kinds = [batch.schema.field(c).type for c in keys]
             places: dict[tuple, int] = {}
-            owner = np.array([places.setdefault(key, len(places)) for key in zip(*(batch.column(c).to_pylist() for c in keys), strict=True)], np.int32)
+            owner = np.array([places.setdefault(key, len(places)) for key in sets_of(batch, keys)], np.int32)
             text, found = numbers(*bytes_of(batch.column("piece")))
             group = owner[text]
             if size is not None:
@@ -187,8 +192,8 @@ def distinct_numbers(
     return pieces.mapInArrow(run, ", ".join(types))
 
 
-def pieces_of(df: DataFrame, text: str, k: int, *keys: str, letters: str | None = None) -> DataFrame:
-    """(keys, piece): the texts in pieces that overlap by k - 1 letters, dealt out evenly; of ``letters`` alone, if given.
+def pieces_of(df: DataFrame, text: str, k: int, *keys: str) -> DataFrame:
+    """(keys, piece): the texts in pieces that overlap by k - 1 letters, dealt out evenly.
 
     A text or a file with a third of all bases does not stay in one task.
     """
@@ -196,18 +201,16 @@ def pieces_of(df: DataFrame, text: str, k: int, *keys: str, letters: str | None
     pieces = df.select(*keys, F.col(text).alias("_t"), F.explode(starts).alias("_s")).select(
         *keys, F.substring(F.col("_t"), F.col("_s"), F.lit(PIECE + k - 1)).alias("piece")
     )
-    if letters:
-        pieces = pieces.select(*keys, F.explode(F.regexp_extract_all("piece", F.lit(f"[{letters}]{{{k},}}"), F.lit(0))).alias("piece"))
     return pieces.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
 
-def dealt_runs(pieces: DataFrame, k: int, keys: list[str], factor: int | None, digits: np.ndarray | None = None) -> DataFrame:
+def dealt_runs(pieces: DataFrame, k: int, keys: list[str], factor: int | None) -> DataFrame:
     """(keys, run, minimizer), partitioned by minimizer: what holds all k-mers of ``pieces`` (keys, piece).
 
     Neighbouring k-mers mostly share their minimizer, so they go as one row: as a stretch of text, n + k - 1 letters for n
-    k-mers, or with ``factor`` as the numbers of the k-mers (of ``digits`` of the letters, if given). Equal k-mers have equal
-    minimizers and meet in a partition, so what is made of runs there needs no other shuffle. A task has the runs of SLICE bytes in memory at a
-    time, however long its texts are, and sends a run that is among the last KNOWN ones not again.
+    k-mers, or with ``factor`` as the numbers of the k-mers. Equal k-mers have equal
+    minimizers and meet in a partition, so what is made of runs there needs no other shuffle. A task has the runs of
+    SLICE bytes in memory at a time, however long its texts are, and sends a run that is among the last KNOWN ones not again.
     """
     m, kind = min(MINIMIZER, k), pa.string() if factor is None else pa.list_(pa.int64())
     types = [f"`{c}` {pieces.schema[c].dataType.simpleString()}" for c in keys] + [f"run {'string' if factor is None else 'array<bigint>'}", "minimizer bigint"]
@@ -224,7 +227,7 @@ def dealt_runs(pieces: DataFrame, k: int, keys: list[str], factor: int | None, d
                 at.append(np.full(len(starts), i, np.int32))
                 counts.append(ends - starts)
                 least.append(found)
-                values.append(numbers_of(letters if digits is None else digits[letters], k, factor or FACTORS[1]).view(np.int64))
+                values.append(numbers_of(letters, k, factor or FACTORS[1]).view(np.int64))
                 if factor is None:
                     texts += [piece[a : b + k - 1] for a, b in zip(starts.tolist(), ends.tolist(), strict=True)]
             joined = lambda x, kind: np.concatenate(x) if x else np.zeros(0, kind)
@@ -237,7 +240,7 @@ def dealt_runs(pieces: DataFrame, k: int, keys: list[str], factor: int | None, d
             mixed = (mixed ^ (mixed >> np.uint64(27))).view(np.int64)
             total = np.add.reduceat(mixed, stops - counts) if len(counts) else mixed
             same = {"n": counts, "first": values[stops - counts], "last": values[stops - 1], "total": total}
-            owner = [places.setdefault(key, len(places)) for key in zip(*(batch.column(c).to_pylist() for c in keys), strict=True)]
+            owner = [places.setdefault(key, len(places)) for key in sets_of(batch, keys)]
             seen = pd.concat([known, pd.DataFrame(same | {"owner": np.array(owner, np.int64)[at]})], ignore_index=True)
             repeated = seen.duplicated().to_numpy()
             new = pa.array(~repeated[len(known) :])
@@ -265,9 +268,9 @@ def kmers(df: DataFrame, text: str, k: int, *keys: str, scale: int = 1) -> DataF
     return found.distinct().select(*keys, "kmer")
 
 
-def numbered_kmers(pieces: DataFrame, k: int, keys: list[str], factor: int, digits: np.ndarray | None = None) -> DataFrame:
+def numbered_kmers(pieces: DataFrame, k: int, keys: list[str], factor: int) -> DataFrame:
     """Distinct (keys, minimizer, kmer) of ``pieces``: kmer is the number of the letters, see ``dealt_runs``."""
-    dealt = dealt_runs(pieces, k, keys, factor, digits)
+    dealt = dealt_runs(pieces, k, keys, factor)
     return dealt.select(*keys, "minimizer", F.explode("run").alias("kmer")).distinct()
 
 
@@ -300,14 +303,26 @@ def kmer_containment(
 def encoded_kmers(df: DataFrame, text: str, k: int, *keys: str) -> DataFrame:
     """Distinct (keys, kmer) of the k-mers of A, C, G and T, each as a number of two bits a base; k is 31 at most.
 
-    Upper case only. A k-mer with any other character is none here: ``kmers`` keeps it as text. Other characters end a run before
-    anything is shuffled, and the numbers are made from the runs, never from single k-mers as text.
+    Upper case only. A k-mer with any other character is none here: ``kmers`` keeps it as text. A task makes the numbers from the
+    bytes of many texts at once and sends each number of a key once as far as it can hold them, so short k-mers cost what there are
+    of them and not what there is of text.
     """
     if not 0 < k <= 31:
         raise ValueError("k is 1 to 31.")
-    digits = np.zeros(128, np.uint64)
+    return distinct_numbers(pieces_of(df, text, k, *keys), list(keys), "kmer", lambda data, bounds: codes_of(data, bounds, k)).distinct()
+
+
+def codes_of(data: np.ndarray, bounds: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """(text, code) of every k-mer of A, C, G and T of texts as of ``bytes_of``."""
+    if len(data) < k:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    digits = np.full(256, 4, np.uint64)
     digits[[ord(c) for c in "ACGT"]] = range(4)
-    return numbered_kmers(pieces_of(df, text, k, *keys, letters="ACGT"), k, list(keys), 4, digits).select(*keys, "kmer")
+    letters = digits[data]
+    text = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
+    others = np.append(0, np.cumsum(letters == 4))
+    within = (text[: len(text) - k + 1] == text[k - 1 :]) & (others[:-k] == others[k:])
+    return text[: len(within)][within], numbers_of(letters, k, 4)[within].view(np.int64)
 
 
 def sketches(df: DataFrame, text: str, k: int, size: int, *keys: str) -> DataFrame:
