@@ -50,9 +50,27 @@ def compressed(data: bytes, level: int = 1) -> bytes:
 
 
 def spoilt(data: bytes, gzip: bool) -> bytes:
-    """A written record with one changed byte: in the middle of a gzip member, or at the end of the block of a plain record."""
+    """A written record with one changed byte: in the middle of a gzip member, or at the end of the block of a plain record.
+
+    A changed byte of a member may name another place where the same letters stand, so that the member stays sound (about one page
+    in 22,000). The next byte is changed instead then, and so on; a byte of the checksum, close to the end, never does that.
+    """
     at = len(data) // 2 if gzip else len(data) - 5
-    return data[:at] + bytes([data[at] ^ 0x41]) + data[at + 1 :]
+    while True:
+        damaged = data[:at] + bytes([data[at] ^ 0x41]) + data[at + 1 :]
+        if not gzip or not unpacks(damaged):
+            return damaged
+        at += 1
+
+
+def unpacks(member: bytes) -> bool:
+    """Whether a gzip member is whole."""
+    unpacker = zlib.decompressobj(31)
+    try:
+        unpacker.decompress(member)
+    except zlib.error:
+        return False
+    return unpacker.eof
 
 
 def planned(pages: DataFrame, spoil: str = "false") -> DataFrame:
