@@ -19,8 +19,18 @@ SLICE = 1 << 20
 KNOWN = 1 << 18
 #: Numbers that a task keeps to send each of them once.
 HELD = 1 << 21
+#: Letters of text whose runs a task gathers before it sends those of each bucket as one compressed row.
+GATHERED = 1 << 23
+#: Letters that are copied from the gathered ones, and bytes that are unpacked, at a time.
+COPIED = 1 << 20
+#: Buckets of minimizers for each shuffle partition.
+BUCKETS = 8
+#: K-mers of a bucket that are held before repeats are taken out, and different ones of a side that are compared at a time.
+REPEATS, DIFFERENT = 1 << 22, 1 << 23
 #: Letters of a minimizer, at most.
 MINIMIZER = 8
+#: The same for k-mers that go as text: the shorter it is, the fewer letters go twice, and the more k-mers one minimizer has.
+SHORT_MINIMIZER = 6
 #: Fixed odd factors of the hash of a minimizer.
 FACTORS = (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB)
 
@@ -192,8 +202,8 @@ def distinct_numbers(
     return pieces.mapInArrow(run, ", ".join(types))
 
 
-def pieces_of(df: DataFrame, text: str, k: int, *keys: str) -> DataFrame:
-    """(keys, piece): the texts in pieces that overlap by k - 1 letters, dealt out evenly.
+def pieces_of(df: DataFrame, text: str, k: int, *keys: str, tasks: int | None = None) -> DataFrame:
+    """(keys, piece): the texts in pieces that overlap by k - 1 letters, dealt out evenly over ``tasks``; left where they are if these are 0.
 
     A text or a file with a third of all bases does not stay in one task.
     """
@@ -201,7 +211,8 @@ def pieces_of(df: DataFrame, text: str, k: int, *keys: str) -> DataFrame:
     pieces = df.select(*keys, F.col(text).alias("_t"), F.explode(starts).alias("_s")).select(
         *keys, F.substring(F.col("_t"), F.col("_s"), F.lit(PIECE + k - 1)).alias("piece")
     )
-    return pieces.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) if tasks is None else tasks
+    return pieces.repartition(tasks) if tasks else pieces
 
 
 def dealt_runs(pieces: DataFrame, k: int, keys: list[str], factor: int | None) -> DataFrame:
@@ -274,28 +285,214 @@ def numbered_kmers(pieces: DataFrame, k: int, keys: list[str], factor: int) -> D
     return dealt.select(*keys, "minimizer", F.explode("run").alias("kmer")).distinct()
 
 
+def letters_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(letters, text): the code points of texts one after the other, and which text each is of; a null is empty."""
+    data, bounds = bytes_of(texts)
+    letters = np.frombuffer(data.tobytes().decode("utf-8", "surrogatepass").encode("utf-32-le", "surrogatepass"), np.uint32)
+    before = np.append(0, np.cumsum((data & 0xC0) != 0x80))
+    return letters, np.repeat(np.arange(len(bounds) - 1), np.diff(before[bounds]))
+
+
+def stretches(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The places of stretches of some sizes, one after the other."""
+    ends = np.cumsum(sizes)
+    return np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts - (ends - sizes), sizes)
+
+
+def bucketed_runs(pieces: DataFrame, k: int, key: str, buckets: int) -> DataFrame:
+    """(bucket, owners, runs, kmers, size, letters): what holds all k-mers of ``pieces`` (key, piece), as compressed text.
+
+    Neighbouring k-mers that share a minimizer are a run, n + k - 1 letters for n k-mers; ``bucket`` is of the minimizer, so equal
+    k-mers have equal buckets. A row has the runs of a bucket among GATHERED letters of a task: ``runs`` says how many each of
+    ``owners`` has, in their order, ``kmers`` (compressed) how many k-mers each run has, ``letters`` (compressed, ``size`` bytes) is
+    the text of all runs.
+    """
+    m = min(SHORT_MINIMIZER, k)
+
+    def told(held: list[tuple[np.ndarray, ...]], keys: pa.Array) -> Iterator[pa.RecordBatch]:
+        codec = pa.Codec("zstd", compression_level=3)
+        sizes = [len(h[0]) for h in held]
+        letters = np.concatenate([h[0] for h in held])
+        starts = np.concatenate([h[1] + at for h, at in zip(held, np.cumsum(sizes) - sizes, strict=True)])
+        counts, owner, bucket = (np.concatenate([h[i] for h in held]) for i in (2, 3, 4))
+        held.clear()
+        order = np.argsort(bucket * len(keys) + owner)
+        starts, counts, owner, bucket = starts[order], counts[order], owner[order], bucket[order]
+        cuts = np.append(np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1])), len(bucket))
+        ends = np.append(0, np.cumsum(counts + k - 1))[cuts]
+        for part in np.split(np.arange(len(cuts) - 1), np.flatnonzero(np.diff(ends[:-1] // COPIED)) + 1):
+            low, high = cuts[part[0]], cuts[part[-1] + 1]
+            copied = letters[stretches(starts[low:high], counts[low:high] + k - 1)]
+            rows = []
+            for i in part.tolist():
+                a, b = cuts[i], cuts[i + 1]
+                who = np.append(0, np.flatnonzero(np.diff(owner[a:b])) + 1)
+                text = copied[ends[i] - ends[part[0]] : ends[i + 1] - ends[part[0]]].tobytes().decode("utf-32-le", "surrogatepass").encode("utf-8", "surrogatepass")
+                rows.append((bucket[a], keys.take(pa.array(owner[a:b][who])), np.diff(np.append(who, b - a)), codec.compress(counts[a:b].astype(np.int32), asbytes=True), len(text), codec.compress(text, asbytes=True)))
+            ids, owners, runs, kmers, size, texts = zip(*rows, strict=True)
+            whose = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum([len(x) for x in owners])), pa.int32()), pa.concat_arrays(owners))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(ids, pa.int64()), whose, pa.array(runs, pa.list_(pa.int32())), pa.array(kmers, pa.binary()), pa.array(size, pa.int64()), pa.array(texts, pa.binary())],
+                names=["bucket", "owners", "runs", "kmers", "size", "letters"],
+            )
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        places: dict = {}
+        held, n, kind = [], 0, None
+        for batch in slices(batches):
+            kind = batch.schema.field(key).type
+            letters, text = letters_of(batch.column("piece"))
+            within = np.flatnonzero(text[: max(len(text) - k + 1, 0)] == text[k - 1 :])
+            if not len(within):
+                continue
+            least, text = minimizers(letters.astype(np.uint64), k, m)[within], text[within]
+            first = np.flatnonzero(np.append(True, (least[1:] != least[:-1]) | (text[1:] != text[:-1])))
+            owner = np.array([places.setdefault(x, len(places)) for x in batch.column(key).to_pylist()], np.int64)
+            # The least of some hashes has small leading bits; those in the middle are even.
+            bucket = (least[first] >> np.uint64(16)) % np.uint64(buckets)
+            held.append((letters, within[first], np.diff(np.append(first, len(within))), owner[text[first]], bucket.astype(np.int64)))
+            n += len(letters)
+            if n >= GATHERED:
+                yield from told(held, pa.array(list(places), kind))
+                places, held, n = {}, [], 0
+        if held:
+            yield from told(held, pa.array(list(places), kind))
+
+    kind = pieces.schema[key].dataType.simpleString()
+    return pieces.mapInArrow(run, f"bucket bigint, owners array<{kind}>, runs array<int>, kmers binary, size bigint, letters binary")
+
+
+def two_numbers(letters: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Two numbers of every ``k`` letters in a row (uint64), which together tell the numbers of both halves."""
+    if k == 1:
+        return letters, letters
+    half = numbers_of(letters, k // 2, FACTORS[1])
+    one, two = half[: len(letters) - 2 * (k // 2) + 1], half[k // 2 :]
+    # One factor is odd and the other is even, so both numbers are equal only if both halves are.
+    first, second = one * np.uint64(pow(FACTORS[1], k // 2, 2**64)) + two, one * np.uint64(FACTORS[2] - 1) + two
+    if k % 2:
+        first, second = (x[:-1] * np.uint64(f) + letters[k - 1 :] for x, f in ((first, FACTORS[1]), (second, FACTORS[0])))
+    return first, second
+
+
+def unrepeated(parts: list[np.ndarray]) -> np.ndarray:
+    """The different values of some arrays, ascending; a sort is many times as fast as ``numpy.unique``."""
+    found = np.concatenate(parts)
+    found.sort()
+    return found[np.append(True, found[1:] != found[:-1])] if len(found) else found
+
+
+def owners_of(rows: pa.Table) -> tuple[pa.Array, np.ndarray]:
+    """(names, place): the different owners of a bucket, and the place of each entry of the column ``owners`` among them."""
+    told = pc.list_flatten(rows.column("owners")).combine_chunks().dictionary_encode("encode")
+    return told.dictionary, told.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+
+
+def bucket_kmers(rows: pa.Table, owners: np.ndarray, k: int, bits: int, low: float, high: float, scale: int) -> np.ndarray | None:
+    """The different (k-mer, owner) of a bucket as of ``bucketed_runs``, ascending; None if they are more than DIFFERENT.
+
+    A value is a complex number of two whole ones of 53 bits: the leading bits of the first number of the k-mer, and those of the
+    second one with the place of the owner as the last ``bits``. The first one is in ``low`` to before ``high``; ``scale`` keeps the
+    k-mers of one of as many classes.
+    """
+    codec, held, n, most = pa.Codec("zstd"), [np.zeros(0, np.complex128)], 0, REPEATS
+    size, runs = rows.column("size").to_numpy(), pc.list_flatten(rows.column("runs")).to_numpy()
+    entries = np.append(0, np.cumsum(pc.list_value_length(rows.column("runs")).to_numpy()))
+    before = np.append(0, np.cumsum(runs))[entries]
+    for some in np.split(np.arange(len(size)), np.flatnonzero(np.diff(np.cumsum(size) // COPIED)) + 1):
+        if not len(some):
+            continue
+        a, b = some[0], some[-1] + 1
+        packed = zip(rows.column("kmers")[a:b], (4 * np.diff(before)[a:b]).tolist(), rows.column("letters")[a:b], size[a:b].tolist(), strict=True)
+        unpacked = [(codec.decompress(x.as_buffer(), i, asbytes=True), codec.decompress(y.as_buffer(), j, asbytes=True)) for x, i, y, j in packed]
+        counts = np.frombuffer(b"".join(x for x, _ in unpacked), np.int32).astype(np.int64)
+        text = b"".join(x for _, x in unpacked).decode("utf-8", "surrogatepass")
+        letters = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
+        at = stretches(np.cumsum(counts + k - 1) - counts - (k - 1), counts)
+        # The last letters alone make little difference to the numbers, so these are mixed before their leading bits are taken.
+        first, second = ((x ^ (x >> np.uint64(32))) * np.uint64(factor) for x, factor in zip((y[at] for y in two_numbers(letters, k)), FACTORS))
+        whose = np.repeat(np.repeat(owners[entries[a] : entries[b]], runs[entries[a] : entries[b]]), counts).astype(np.uint64)
+        found = np.empty(len(at), np.complex128)
+        found.real = first >> np.uint64(11)
+        found.imag = second >> np.uint64(11 + bits) << np.uint64(bits) | whose
+        if scale > 1:
+            found = found[found.real % scale == 0]
+        if (low, high) != (0, 2.0**53):
+            found = found[(found.real >= low) & (found.real < high)]
+        held.append(found)
+        n += len(found)
+        if n > most:
+            held = [unrepeated(held)]
+            n = len(held[0])
+            most = n + REPEATS
+            if n > DIFFERENT:
+                return None
+    return unrepeated(held)
+
+
+def compared(own: pa.Table, known: pa.Table, k: int, scale: int) -> Iterator[tuple[bool, pa.Array, pa.Array, np.ndarray]]:
+    """(whole, samples, references, counts) of a bucket: how many k-mers each sample has as a whole, and how many each pair shares.
+
+    If there are too many different k-mers, those in a range of their numbers are taken at a time.
+    """
+    (names, owners), (sets, members) = owners_of(own), owners_of(known)
+    bits, parts, part = max(len(names), len(sets)).bit_length(), 1, 0
+    while part < parts:
+        low, high = part * 2.0**53 / parts, (part + 1) * 2.0**53 / parts
+        left = bucket_kmers(own, owners, k, bits, low, high, scale)
+        right = None if left is None else bucket_kmers(known, members, k, bits, low, high, scale)
+        if right is None:
+            parts, part = 2 * parts, 2 * part
+            continue
+        part += 1
+        samples, references = (side.imag.astype(np.int64) % (1 << bits) for side in (left, right))
+        counts = np.bincount(samples, minlength=len(names))
+        there = np.flatnonzero(counts)
+        yield True, names.take(pa.array(there)), pa.nulls(len(there), sets.type), counts[there]
+        left.imag, right.imag = left.imag - samples, right.imag - references
+        at, stop = np.searchsorted(left, right, "left"), np.searchsorted(left, right, "right")
+        met = np.flatnonzero(stop > at)
+        at, sizes, references = at[met], (stop - at)[met], references[met]
+        for some in np.split(np.arange(len(met)), np.flatnonzero(np.diff(np.cumsum(sizes) // REPEATS)) + 1):
+            if len(some):
+                pairs = samples[stretches(at[some], sizes[some])] * len(sets) + np.repeat(references[some], sizes[some])
+                pairs.sort()
+                new = np.flatnonzero(np.append(True, pairs[1:] != pairs[:-1]))
+                one, two = np.divmod(pairs[new], len(sets))
+                yield False, names.take(pa.array(one)), sets.take(pa.array(two)), np.diff(np.append(new, len(pairs)))
+
+
 def kmer_containment(
     samples: DataFrame, references: DataFrame, sample: str, sample_text: str, reference: str, reference_text: str, k: int = 20, scale: int = 1
 ) -> DataFrame:
-    """Share of each sample's distinct k-mers found in each reference set that it shares any with.
+    """Share of each sample's distinct k-mers found in each reference set that it shares any with. ``scale`` > 1: of a sketch of both.
 
-    K-mers are told apart by two numbers of 64 bits: that of their minimizer and that of all their letters.
+    K-mers go as compressed text to buckets of their minimizers, where they are made distinct, counted and compared; then what the
+    buckets say of a pair is added up. In a bucket, k-mers are told apart by the leading 85 bits, or more, of two numbers of all their
+    letters, as long as fewer than 2 million sets are in it.
     """
-    # All of a sample's k-mers are shuffled once: both uses have the same filters.
-    there = F.col("minimizer").isNotNull() & F.col("kmer").isNotNull()
-    own, known = (
-        numbered_kmers(pieces_of(df.where(F.col(by).isNotNull() | F.lit(keep)), text, k, by), k, [by], FACTORS[1]).where(there)
-        for df, text, by, keep in ((samples, sample_text, sample, False), (references, reference_text, reference, True))
-    )
-    if scale > 1:
-        own, known = (x.where(F.pmod(F.xxhash64("minimizer", "kmer"), F.lit(scale)) == 0) for x in (own, known))
-    # Rows, not one array of sets for each k-mer: a k-mer that all sets hold is in as many rows, and both counts combine
-    # before they are shuffled.
-    totals = own.groupBy(sample).agg(F.count(F.lit(1)).alias("n_kmers"))
-    shared = own.join(known.select(reference, "minimizer", "kmer"), ["minimizer", "kmer"]).groupBy(sample, reference).agg(F.count(F.lit(1)).alias("n_shared"))
+    spark = samples.sparkSession
+    buckets, tasks = BUCKETS * int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism
+    kinds, dealt = [], []
+    for df, text, by in ((samples.where(F.col(sample).isNotNull()), sample_text, sample), (references, reference_text, reference)):
+        # Only texts that fewer tasks read than can run at once are dealt out before.
+        pieces = pieces_of(df, text, k, by, tasks=tasks if df.rdd.getNumPartitions() < tasks else 0)
+        kinds.append(pieces.schema[by].dataType.simpleString())
+        dealt.append(bucketed_runs(pieces, k, by, buckets).groupBy("bucket"))
+
+    def run(own: pa.Table, known: pa.Table) -> pa.Table:
+        types = [side.schema.field("owners").type.value_type for side in (own, known)]
+        schema = pa.schema([(sample, types[0]), (reference, types[1]), ("_whole", pa.bool_()), ("_n", pa.int64())])
+        told = compared(own, known, k, scale) if len(own) else []
+        return pa.concat_tables([schema.empty_table(), *(pa.Table.from_arrays([a, b, pa.array([whole] * len(n), pa.bool_()), pa.array(n)], schema=schema) for whole, a, b, n in told)])
+
+    counted = dealt[0].cogroup(dealt[1]).applyInArrow(run, f"`{sample}` {kinds[0]}, `{reference}` {kinds[1]}, _whole boolean, _n bigint")
+    added = counted.groupBy(sample, reference, "_whole").agg(F.sum("_n").alias("n_shared"))
+    n_kmers = F.max(F.when(F.col("_whole"), F.col("n_shared"))).over(Window.partitionBy(sample))
     return (
-        shared.join(totals, sample)
-        .select(sample, reference, "n_kmers", "n_shared")
+        added.select(sample, reference, n_kmers.alias("n_kmers"), "n_shared", "_whole")
+        .where(~F.col("_whole"))
+        .drop("_whole")
         .withColumn("containment", F.col("n_shared") / F.col("n_kmers"))
     )
 

@@ -232,3 +232,53 @@ def test_long_runs_of_one_minimizer_are_told_apart(spark):
     pieces = spark.createDataFrame([("s", t) for t in texts], "s string, piece string").coalesce(1)
     want = len({t[i : i + 20] for t in texts for i in range(len(t) - 19)})
     assert screen.numbered_kmers(pieces, 20, ["s"], screen.FACTORS[1]).count() == want
+
+
+def shuffled_bytes(spark):
+    """Bytes that all stages of the session have written to shuffles."""
+    jvm = spark.sparkContext._jvm
+    stages = spark.sparkContext._jsc.sc().statusStore().stageList(None, False, False, spark.sparkContext._gateway.new_array(jvm.double, 0), jvm.java.util.ArrayList())
+    return sum(stages.apply(i).shuffleWriteBytes() for i in range(stages.size()))
+
+
+def test_containment_shuffles_text_not_numbers(spark):
+    rng = random.Random(14)
+    words = ["".join(rng.choices("aeinrst", k=rng.randint(2, 6))) for _ in range(200)]
+    texts = [(f"s{i % 3}", " ".join(rng.choices(words, k=4000))) for i in range(60)]
+    samples = spark.createDataFrame(texts, "s string, t string").repartition(8)
+    refs = spark.createDataFrame([("r", texts[0][1][:500])], "r string, t string")
+    before = shuffled_bytes(spark)
+    assert kmer_containment(samples, refs, "s", "t", "r", "t").count() >= 1
+    # The texts are dealt out once here; the numbers of their k-mers alone are 8 bytes a letter.
+    assert shuffled_bytes(spark) - before < 4 * sum(len(t) for _, t in texts)
+
+
+@pytest.mark.parametrize("k", [1, 2, 5, 20])
+@pytest.mark.parametrize("small", [False, True])
+def test_containment_in_buckets(spark, monkeypatch, k, small):
+    # Small limits: many rows for a bucket, repeats taken out often, and k-mers compared by ranges of their numbers.
+    if small:
+        for name, value in (("SLICE", 3000), ("GATHERED", 5000), ("COPIED", 500), ("REPEATS", 60), ("DIFFERENT", 25)):
+            monkeypatch.setattr(screen, name, value)
+    rng = random.Random(15)
+    texts = ["".join(rng.choices("acgté日𝔘", k=rng.choice([0, 3, 19, 20, 21, 400]))) for _ in range(25)] + [None, "x" * 9000, "ab" * 300]
+    texts += [texts[i][5:] + texts[i + 1] for i in range(5)]
+    samples = [(rng.choice([1, 2, 3, None]), t) for t in texts]
+    refs = [(rng.choice(["p", "q", None]), t[:150]) for t in texts[10:] if t] + [("q", None), ("only", "§" * 40)]
+    bags = [{} for _ in range(2)]
+    for bag, rows in zip(bags, (samples, refs), strict=True):
+        for key, t in rows:
+            bag.setdefault(key, set()).update(t[i : i + k] for i in range(len(t or "") - k + 1))
+    want = {(s, r, len(a & b), len(a)) for s, a in bags[0].items() for r, b in bags[1].items() if s is not None and a & b}
+    found = kmer_containment(
+        spark.createDataFrame(samples, "s int, t string").repartition(3), spark.createDataFrame(refs, "r string, t string"), "s", "t", "r", "t", k
+    )
+    assert found.columns == ["s", "r", "n_kmers", "n_shared", "containment"]
+    rows = [tuple(r) for r in found.collect()]
+    assert {(s, r, shared, n) for s, r, n, shared, _ in rows} == want and len(rows) == len(want)
+
+
+def test_containment_of_empty_tables(spark):
+    some, none = (spark.createDataFrame(rows, "s string, t string") for rows in ([("a", "acgtacgtacgt")], []))
+    assert kmer_containment(none, some.withColumnRenamed("s", "r"), "s", "t", "r", "t", 4).count() == 0
+    assert kmer_containment(some, none.withColumnRenamed("s", "r"), "s", "t", "r", "t", 4).count() == 0
